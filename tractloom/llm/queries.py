@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractloom.llm import decontaminate, flac, language, mixing, quality, simhash, toxicity
+from tractloom.llm import decontaminate, flac, language, licenses, mixing, quality, simhash, toxicity, urls, wrapper
 from tractloom.llm.common import fold_of, table
 
 THRESHOLD = 0.7
+WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
 def ids_digest(ids: Column) -> Column:
@@ -62,14 +63,61 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality.score_quality(docs, model, out="score"), 4, 2)
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = wrapper.extract(pages.select("page_id", "url", "html"), wrapper.induce_wrappers(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), "rule", "license", F.size("sentence_ids").cast("long").alias("n_sentences"))
+
+
+# The rules of the contract.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by its document, whose number ends its path: block is low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract(urls.path_of(F.col("url")), "/([0-9]{1,18})(?:\\.[a-z]+)?/?$", 1)
+    bad = labels.groupBy("doc_id").agg(F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("block"))
+    labelled = pages.where(number != "").withColumn("doc_id", number.cast("long")).join(bad, "doc_id").select("url", "block")
+    found = urls.judge(pages, URL_RULES, urls.mine_rules(labelled))
+    return found.select("page_id", "host", "path", "rule", "verdict", F.array_join(F.col("mined.tokens"), " ").alias("mined_rule"))
+
+
 QUERIES = {
     "op1_decontamination": decontaminated,
     "op2_toxicity": toxic,
     "op3_mixing": mixed,
     "op4_language_id": languages,
+    "op5_main_text": main_text,
     "op6_flac_media": media,
+    "op7_license_scan": license_scan,
+    "op8_url_filter": url_verdicts,
     "op9_simhash_near_dedup": near_duplicates,
     "op10_quality": good,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The rest is learnt, drawn, hashed or decoded; tests hold those against brute force, round trips or held-out labels.
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH low AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+        items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+        windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS part
+            FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+        ),
+        lengths AS (SELECT DISTINCT n FROM windows),
+        spread AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM low, lengths WHERE len(w) >= n),
+        hits AS (SELECT s.doc_id, s.i, s.n, x.item_id FROM spread s JOIN windows x ON x.n = s.n AND x.part = array_to_string(list_slice(s.w, s.i, s.i + s.n - 1), ' ')),
+        words_hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(f.n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+        FROM low d LEFT JOIN words_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
+    """,
+    "op7_license_scan": licenses.scan_sql(),
+}
