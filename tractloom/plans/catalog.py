@@ -1,6 +1,500 @@
-"""All registered queries of the market-geography operators."""
+"""All registered queries of the market-geography operators over the driver's tables, with their SQL.
+
+The census and workbook inputs are not at hand, so operators run on plainly synthetic views of the driver's tables:
+embeddings are tracts (two coordinates as metres, the label as market), customers their households, orders locations.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tractloom.functions import canonical, coordinates, households, text
+from tractloom.functions import geometry as G
+from tractloom.operators import binding, checks, components, governance, identity, membership, spatial
+from tractloom.session import table
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+# ---- views --------------------------------------------------------------------------------------------------------
+
+POINTS_SQL = """
+    pts AS (SELECT vec_id, 'm' || label AS market_id, lpad(vec_id::VARCHAR, 11, '0') AS tract_geoid,
+                   embedding[1]::DOUBLE * 20000 AS x, embedding[2]::DOUBLE * 20000 AS y FROM embeddings),
+    ctx AS (SELECT market_id, tract_geoid AS anchor, x AS ax, y AS ay, 'ctx-' || vec_id AS context_instance_id FROM pts
+            WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)),
+    radii AS (SELECT unnest([4828.032::DOUBLE, 8046.72::DOUBLE, 11265.408::DOUBLE]) AS radius_m),
+    raw AS (SELECT c_custkey, CASE WHEN c_custkey % 97 = 0 THEN '' WHEN c_custkey % 89 = 0 THEN '-999999999' WHEN c_custkey % 83 = 0 THEN 'n/a'
+                   ELSE floor(abs(c_acctbal))::BIGINT::VARCHAR END AS raw_estimate,
+                   CASE WHEN c_custkey % 101 = 0 THEN '-555555555' ELSE (c_custkey % 50)::VARCHAR END AS raw_moe FROM customer)
+"""
+TOKEN_SQL = """CASE WHEN {0} IS NULL OR {0} = '' THEN 'missing' WHEN NOT regexp_full_match({0}, '-?[0-9]+') THEN 'invalid'
+    WHEN {0}::BIGINT IN (-999999999) THEN 'suppressed' WHEN {0}::BIGINT IN (-888888888, -555555555, -333333333) THEN 'inapplicable'
+    WHEN {0}::BIGINT IN (-666666666, -222222222) THEN 'missing' WHEN {0}::BIGINT < 0 THEN 'invalid' ELSE 'valid' END"""
+ACS_SQL = f"""
+    st AS (SELECT c_custkey, raw_estimate, raw_moe, {TOKEN_SQL.format("raw_estimate")} AS es, {TOKEN_SQL.format("raw_moe")} AS ms FROM raw),
+    acs AS (SELECT c_custkey, lpad(c_custkey::VARCHAR, 11, '0') AS tract_geoid, es, ms, CASE WHEN es = 'valid' THEN raw_estimate::BIGINT END AS estimate,
+                   CASE WHEN ms = 'valid' THEN raw_moe::BIGINT END AS moe,
+                   list_extract(['valid', 'missing', 'inapplicable', 'suppressed', 'invalid'], greatest(
+                       list_position(['valid', 'missing', 'inapplicable', 'suppressed', 'invalid'], es),
+                       list_position(['valid', 'missing', 'inapplicable', 'suppressed', 'invalid'], ms))) AS status FROM st)
+"""
+MEMBERS_SQL = """
+    dist AS (SELECT c.context_instance_id, c.market_id, r.radius_m, p.tract_geoid, sqrt((p.x - c.ax) * (p.x - c.ax) + (p.y - c.ay) * (p.y - c.ay)) AS d,
+                    p.tract_geoid = c.anchor AS is_anchor, p.vec_id % 41 = 0 AND p.market_id < 'm3' AS gap FROM ctx c JOIN pts p USING (market_id), radii r),
+    mem AS (SELECT *, CASE WHEN gap AND NOT is_anchor THEN NULL ELSE d <= radius_m END AS ordinary,
+                   CASE WHEN is_anchor THEN true WHEN gap THEN NULL ELSE d <= radius_m END AS final FROM dist)
+"""
+FULL_SQL = f"WITH {POINTS_SQL}, {ACS_SQL}, {MEMBERS_SQL}"
+OPPORTUNITY_SQL = """
+    hh AS (SELECT m.context_instance_id, m.radius_m, bool_or(m.final IS NULL) AS unknown,
+                  bool_or(coalesce(m.final, false) AND NOT coalesce(a.status = 'valid', false)) AS bad,
+                  coalesce(sum(CASE WHEN m.final THEN a.estimate END), 0)::BIGINT AS total, count(*) FILTER (WHERE m.final) AS members
+           FROM mem m LEFT JOIN acs a USING (tract_geoid) GROUP BY ALL),
+    opp AS (SELECT context_instance_id, radius_m, CASE WHEN NOT unknown AND NOT bad THEN total END AS household_opportunity,
+                   CASE WHEN unknown OR bad THEN 'noncomputable' ELSE 'complete' END AS calculation_state,
+                   CASE WHEN unknown THEN 'NONCOMPUTABLE_TRACT_MEMBERSHIP' WHEN bad THEN 'INVALID_MEMBER_ACS_EVIDENCE' ELSE 'WHOLE_TRACT_FINAL_MEMBERSHIP_SUM' END AS reason_code,
+                   members AS member_count FROM hh)
+"""
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("embedding")
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.concat(F.lit("m"), F.col("label").cast("string")).alias("market_id"), F.lpad(F.col("vec_id").cast("string"), 11, "0").alias("tract_geoid"),
+        (e[0].cast("double") * 20000).alias("projected_x_m"), (e[1].cast("double") * 20000).alias("projected_y_m"),
+    )
+
+
+def gappy(p: DataFrame) -> DataFrame:
+    """Points without those whose coordinates are unknown: every 41st of some markets."""
+    known = (F.col("vec_id") % 41 != 0) | (F.col("market_id") >= "m3")
+    return p.withColumn("projected_x_m", F.when(known, F.col("projected_x_m"))).withColumn("projected_y_m", F.when(known, F.col("projected_y_m")))
+
+
+def contexts(p: DataFrame) -> DataFrame:
+    """The first tract of each market as anchor."""
+    first = p.groupBy("market_id").agg(F.min_by(F.struct("tract_geoid", "projected_x_m", "projected_y_m", "vec_id"), "vec_id").alias("f"))
+    return first.select(
+        "market_id", F.lit("spec-1").alias("context_spec_id"), F.concat(F.lit("ctx-"), F.col("f.vec_id").cast("string")).alias("context_instance_id"),
+        F.col("f.tract_geoid").alias("anchor_tract_geoid"), F.col("f.projected_x_m").alias("anchor_x_m"), F.col("f.projected_y_m").alias("anchor_y_m"),
+    )
+
+
+def raw_households(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    estimate = F.when(k % 97 == 0, "").when(k % 89 == 0, "-999999999").when(k % 83 == 0, "n/a").otherwise(F.floor(F.abs("c_acctbal")).cast("string"))
+    moe = F.when(k % 101 == 0, "-555555555").otherwise((k % 50).cast("string"))
+    return table(spark, sf_dir, "customer").select(k.alias("c_custkey"), F.lpad(k.cast("string"), 11, "0").alias("tract_geoid"), estimate.alias("raw_estimate"), moe.alias("raw_moe"))
+
+
+def evidence(spark: SparkSession, sf_dir: str, p: DataFrame) -> DataFrame:
+    parsed = raw_households(spark, sf_dir).withColumn("p", households.parsed(F.col("raw_estimate"), F.col("raw_moe"))).select("tract_geoid", "p.*")
+    return membership.household_evidence(parsed.join(p.select("market_id", "tract_geoid"), "tract_geoid"))
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = points(spark, sf_dir)
+    return membership.membership(contexts(p), gappy(p))
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+# ---- inventory, points, households --------------------------------------------------------------------------------
+
+
+@query("inventory_ordinals", f"WITH {POINTS_SQL} SELECT market_id, tract_geoid, row_number() OVER (PARTITION BY market_id ORDER BY tract_geoid)::INTEGER AS ordinal_position FROM pts")
+def inventory_ordinals(spark, sf_dir):
+    return membership.inventory(points(spark, sf_dir).select("market_id", "tract_geoid")).select("market_id", "tract_geoid", "ordinal_position")
+
+
+@query(
+    "county_allow_list",
+    """WITH t AS (SELECT lpad(c_custkey::VARCHAR, 6, '0') AS tract, CASE WHEN c_nationkey < 9 THEN '079' WHEN c_nationkey < 17 THEN '089' ELSE '025' END AS county FROM customer)
+       SELECT CASE county WHEN '025' THEN 'madison' ELSE 'milwaukee' END AS market_id, '55' || county || tract AS tract_geoid FROM t WHERE county IN ('079', '025')""",
+)
+def county_allow_list(spark, sf_dir):
+    county = F.when(F.col("c_nationkey") < 9, "079").when(F.col("c_nationkey") < 17, "089").otherwise("025")
+    t = table(spark, sf_dir, "customer").select(F.lit("55").alias("STATEFP"), county.alias("COUNTYFP"), F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("TRACTCE"))
+    chosen, found = membership.derive_inventory(t.withColumn("GEOID", F.concat("STATEFP", "COUNTYFP", "TRACTCE")), [("milwaukee", "55079"), ("madison", "55025")])
+    checks.require_none(found)
+    return chosen
+
+
+RAW_POINT = ["'  '", "'12.5'", "'abc'", "'nan'", "'91.0'", "'1_000'", "'-45'", "'1e400'", "' 7 '", "'+3.25'", "'1.5d'", "NULL"]
+
+
+@query(
+    "coord_parse_states",
+    f"""WITH r AS (SELECT vec_id, list_extract([{", ".join(RAW_POINT)}], (vec_id % {len(RAW_POINT)} + 1)::INTEGER) AS lat, (embedding[1]::DOUBLE)::VARCHAR AS lon FROM embeddings),
+        p AS (SELECT vec_id, lat, CASE WHEN regexp_full_match(lat, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*') THEN TRY_CAST(trim(lat) AS DOUBLE) END AS v,
+                     lat IS NULL OR trim(lat) = '' AS blank, regexp_full_match(lat, '(?i)\\s*[+-]?(inf|infinity|nan)\\s*') AS odd,
+                     regexp_full_match(lat, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*') AS num FROM r)
+        SELECT vec_id, CASE WHEN blank THEN 'missing' WHEN NOT (num OR odd) THEN 'invalid_parse' WHEN odd OR v IS NULL OR isinf(v) THEN 'invalid_nonfinite'
+               WHEN abs(v) > 90 THEN 'invalid_range' ELSE 'valid' END AS coordinate_state, CASE WHEN num AND v IS NOT NULL AND NOT isinf(v) THEN v END AS latitude FROM p""",
+)
+def coord_parse_states(spark, sf_dir):
+    raw = F.element_at(F.array(*[F.expr(x) for x in RAW_POINT]), (F.col("vec_id") % len(RAW_POINT) + 1).cast("int"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", raw.alias("INTPTLAT"), F.col("embedding")[0].cast("double").cast("string").alias("INTPTLON"))
+    return membership.internal_points(e).select("vec_id", "coordinate_state", F.col("parsed_latitude").alias("latitude"))
+
+
+@query("acs_status", f"WITH {POINTS_SQL}, {ACS_SQL} SELECT c_custkey, estimate, moe, status, es AS estimate_status, ms AS moe_status FROM acs")
+def acs_status(spark, sf_dir):
+    r = raw_households(spark, sf_dir)
+    e, m = households.token(F.col("raw_estimate"), "estimate"), households.token(F.col("raw_moe"), "moe")
+    return r.withColumn("p", households.parsed(F.col("raw_estimate"), F.col("raw_moe"))).select("c_custkey", "p.estimate", "p.moe", "p.status", e["status"].alias("estimate_status"), m["status"].alias("moe_status"))
+
+
+def albers_sql() -> str:
+    e, n, c, rho_0 = coordinates.albers_constants()
+    q = f"(1 - {e * e!r}) * (sin(radians(lat)) / (1 - {e * e!r} * pow(sin(radians(lat)), 2)) - ln((1 - {e!r} * sin(radians(lat))) / (1 + {e!r} * sin(radians(lat)))) / (2 * {e!r}))"
+    rho, theta = f"({coordinates.GRS80_A!r} * sqrt({c!r} - {n!r} * {q}) / {n!r})", f"({n!r} * radians(lon + 96.0))"
+    return f"""WITH g AS (SELECT vec_id, -88 + embedding[1]::DOUBLE AS lon, 43 + embedding[2]::DOUBLE AS lat FROM embeddings)
+        SELECT vec_id, round({rho} * sin({theta}), 3) AS x, round({rho_0!r} - {rho} * cos({theta}), 3) AS y FROM g"""
+
+
+@query("albers_project", albers_sql())
+def albers_project(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.lit(-88.0) + F.col("embedding")[0].cast("double")).alias("lon"), (F.lit(43.0) + F.col("embedding")[1].cast("double")).alias("lat"))
+    xy = e.withColumn("xy", coordinates.albers(F.col("lon"), F.col("lat")))
+    return xy.select("vec_id", F.round("xy.x", 3).alias("x"), F.round("xy.y", 3).alias("y"))
+
+
+@query(
+    "haversine_to_anchor",
+    """WITH g AS (SELECT vec_id, label, 43 + embedding[2]::DOUBLE AS lat, -88 + embedding[1]::DOUBLE AS lon FROM embeddings),
+        a AS (SELECT label, arg_min(lat, vec_id) AS alat, arg_min(lon, vec_id) AS alon FROM g GROUP BY label)
+        SELECT vec_id, round(2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(lat - alat) / 2), 2) + cos(radians(alat)) * cos(radians(lat)) * pow(sin(radians(lon - alon) / 2), 2)))), 4) AS distance_m
+        FROM g JOIN a USING (label)""",
+)
+def haversine_to_anchor(spark, sf_dir):
+    g = table(spark, sf_dir, "embeddings").select("vec_id", "label", (F.lit(43.0) + F.col("embedding")[1].cast("double")).alias("lat"), (F.lit(-88.0) + F.col("embedding")[0].cast("double")).alias("lon"))
+    a = g.groupBy("label").agg(F.min_by(F.struct("lat", "lon"), "vec_id").alias("a"))
+    d = coordinates.haversine_m(F.col("a.lat"), F.col("a.lon"), F.col("lat"), F.col("lon"))
+    return g.join(a, "label").select("vec_id", F.round(d, 4).alias("distance_m"))
+
+
+# ---- membership and households ------------------------------------------------------------------------------------
+
+
+@query(
+    "membership",
+    FULL_SQL + """ SELECT context_instance_id, radius_m, tract_geoid, CASE WHEN NOT gap THEN round(d, 6) END AS distance_m,
+        CASE WHEN gap THEN NULL ELSE d <= radius_m END AS ordinary_membership, is_anchor AND NOT coalesce(CASE WHEN gap THEN NULL ELSE d <= radius_m END, false) AS forced_anchor_inclusion,
+        final AS final_membership, CASE WHEN is_anchor AND gap THEN 'valid_anchor_forced_inclusion_internal_point_gap' WHEN gap THEN 'nonanchor_membership_noncomputable'
+        WHEN d <= radius_m THEN 'ordinary_radius_membership' WHEN is_anchor THEN 'valid_anchor_forced_inclusion_outside_radius' ELSE 'ordinary_outside_radius' END AS reason_code FROM mem""",
+)
+def membership_rows(spark, sf_dir):
+    m = members(spark, sf_dir)
+    return m.select("context_instance_id", "radius_m", "tract_geoid", F.round("distance_m", 6).alias("distance_m"), "ordinary_membership", "forced_anchor_inclusion", "final_membership", "reason_code")
+
+
+@query("nesting_violations", FULL_SQL + " SELECT count(*) AS n FROM (SELECT context_instance_id, tract_geoid FROM mem GROUP BY ALL HAVING count(*) <> 3)")
+def nesting_violations(spark, sf_dir):
+    return checks.union(membership.nesting_violations(members(spark, sf_dir))).agg(F.count("*").alias("n"))
+
+
+@query("household_opportunity", f"{FULL_SQL}, {OPPORTUNITY_SQL} SELECT * FROM opp")
+def household_opportunity(spark, sf_dir):
+    p = points(spark, sf_dir)
+    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    return h.drop("aggregation_method")
+
+
+@query("exact_cover_violations", f"WITH {POINTS_SQL}, {ACS_SQL} SELECT count(*) AS n, min(p.tract_geoid) AS first FROM pts p WHERE p.tract_geoid NOT IN (SELECT tract_geoid FROM acs WHERE c_custkey % 7 <> 0)")
+def exact_cover_violations(spark, sf_dir):
+    p = points(spark, sf_dir)
+    found = checks.exact_cover(p, raw_households(spark, sf_dir).where("c_custkey % 7 <> 0").join(p.select("tract_geoid"), "tract_geoid", "left_semi"), ["tract_geoid"], 10, "DUPLICATE_ACS_GEOID", "ACS_INVENTORY_MISMATCH")
+    return checks.union(found).agg(F.count("*").alias("n"), F.min("key").alias("first"))
+
+
+SPATIAL_SQL = "sp AS (SELECT context_instance_id, (('0.' || (substr(context_instance_id, 5)::BIGINT * 37 % 100))::DOUBLE) AS c, (substr(context_instance_id, 5)::BIGINT % 2 = 0) AS stress, substr(context_instance_id, 5)::BIGINT % 5 = 4 AS q FROM ctx)"
+ELIGIBILITY_SQL = f"""{FULL_SQL}, {OPPORTUNITY_SQL}, {SPATIAL_SQL},
+    el AS (SELECT s.context_instance_id, s.stress, o.reason_code, CASE WHEN q THEN 'quarantined' WHEN o.calculation_state <> 'complete' THEN 'noncomputable' WHEN c >= 0.90 THEN 'primary_statistic_eligible'
+           WHEN c >= 0.75 THEN 'secondary_truncated_stratum' ELSE 'qa_only' END AS eligibility_status FROM sp s JOIN opp o USING (context_instance_id) WHERE o.radius_m = 8046.72)"""
+
+
+def eligible(spark, sf_dir):
+    p = points(spark, sf_dir)
+    k = F.substring("context_instance_id", 5, 20).cast("long")
+    s = contexts(p).select("context_instance_id", F.concat(F.lit("0."), (k * 37 % 100).cast("string")).cast("double").alias("geometric_completeness"), F.when(k % 2 == 0, 0.5).otherwise(0.1).alias("geometric_jaccard"), (k % 5 == 4).alias("held"))
+    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    return membership.eligibility(s, h, F.col("held"))
+
+
+@query(
+    "eligibility",
+    ELIGIBILITY_SQL + """ SELECT context_instance_id, eligibility_status, concat_ws(',', CASE eligibility_status WHEN 'quarantined' THEN 'MODEL04_QUARANTINE' WHEN 'noncomputable' THEN reason_code
+        WHEN 'secondary_truncated_stratum' THEN 'GEOMETRIC_COMPLETENESS_0_75_TO_LT_0_90' WHEN 'qa_only' THEN 'GEOMETRIC_COMPLETENESS_LT_0_75' END,
+        CASE WHEN stress THEN 'GEOMETRIC_JACCARD_GTE_0_25' END) AS reasons FROM el""",
+)
+def eligibility(spark, sf_dir):
+    return eligible(spark, sf_dir).select("context_instance_id", "eligibility_status", F.array_join("reason_codes", ",").alias("reasons"))
+
+
+@query("eligibility_histogram", ELIGIBILITY_SQL + " SELECT eligibility_status, count(*) AS n FROM el GROUP BY ALL")
+def eligibility_histogram(spark, sf_dir):
+    return membership.eligibility_histogram(eligible(spark, sf_dir))
+
+
+@query("baseline_prediction", f"{FULL_SQL}, {OPPORTUNITY_SQL} SELECT context_instance_id, 'primary' AS role, household_opportunity AS prediction_candidate FROM opp WHERE radius_m = 8046.72 AND calculation_state = 'complete'")
+def baseline_prediction(spark, sf_dir):
+    p = points(spark, sf_dir)
+    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    spec = {"model_spec_id": "raw-5", "model_spec_version": "1", "preregistration_id": "pre", "preregistration_version": "1", "prediction_semantics": "raw_5_mile_whole_tract_household_opportunity", "accepted": True}
+    return membership.baseline_prediction(h, spec).select("context_instance_id", "role", "prediction_candidate")
+
+
+# ---- geometry -----------------------------------------------------------------------------------------------------
+
+HALF = 4000.0
+
+
+def square_tracts(p: DataFrame, half: float = HALF) -> DataFrame:
+    """Disjoint squares of a grid, those cells that hold a point, as tract polygons."""
+    i, j = F.floor(F.col("projected_x_m") / (2 * half)), F.floor(F.col("projected_y_m") / (2 * half))
+    g = p.select("market_id", i.alias("i"), j.alias("j")).distinct()
+    corner = [(0, 0), (0, 1), (1, 1), (1, 0), (0, 0)]
+    ring = F.array(*[F.struct(((F.col("i") + a) * 2 * half).cast("double").alias("x"), ((F.col("j") + b) * 2 * half).cast("double").alias("y")) for a, b in corner])
+    return g.select("market_id", F.concat_ws(":", "market_id", "i", "j").alias("tract_geoid"), F.array(F.struct(ring.alias("outer"), F.array().cast(f"array<{G.RING}>").alias("holes"))).alias("polygons"))
+
+
+def many_contexts(p: DataFrame) -> DataFrame:
+    """Every tenth point as an anchor."""
+    return p.where("vec_id % 10 = 0").select("market_id", F.lit("spec-1").alias("context_spec_id"), F.concat(F.lit("ctx-"), F.col("vec_id").cast("string")).alias("context_instance_id"), F.col("projected_x_m").alias("anchor_x_m"), F.col("projected_y_m").alias("anchor_y_m"))
+
+
+@query(
+    "anchor_tract_binding",
+    f"""WITH {POINTS_SQL}, g AS (SELECT DISTINCT market_id, floor(x / {2 * HALF})::BIGINT AS i, floor(y / {2 * HALF})::BIGINT AS j FROM pts)
+        SELECT 'ctx-' || p.vec_id AS context_instance_id, p.market_id || ':' || g.i || ':' || g.j AS anchor_tract_geoid FROM pts p JOIN g ON g.market_id = p.market_id
+        AND p.x BETWEEN g.i * {2 * HALF} AND (g.i + 1) * {2 * HALF} AND p.y BETWEEN g.j * {2 * HALF} AND (g.j + 1) * {2 * HALF} WHERE p.vec_id % 10 = 0""",
+)
+def anchor_tract_binding(spark, sf_dir):
+    p = points(spark, sf_dir)
+    a = many_contexts(p).withColumnRenamed("anchor_x_m", "longitude").withColumnRenamed("anchor_y_m", "latitude")
+    found, _ = spatial.bind_anchors(a, square_tracts(p), 2 * HALF)
+    return found.select("context_instance_id", "anchor_tract_geoid")
+
+
+@query("footprint_evidence")
+def footprint_evidence(spark, sf_dir):
+    """Completeness, edge state, boundary distance, Jaccard and components of footprints over grid tracts."""
+    p = points(spark, sf_dir)
+    return spatial.spatial_evidence(many_contexts(p), square_tracts(p))
+
+
+BOX_SQL = f"""WITH {POINTS_SQL}, c AS (SELECT vec_id, market_id, x, y FROM pts WHERE vec_id % 3 = 0),
+    pr AS (SELECT a.vec_id AS l, b.vec_id AS r, greatest(0, 16093.44 - abs(a.x - b.x)) * greatest(0, 16093.44 - abs(a.y - b.y)) AS i FROM c a JOIN c b ON a.market_id = b.market_id AND a.vec_id < b.vec_id)"""
+
+
+def box_pairs(spark, sf_dir):
+    """Jaccard of the footprints' bounding boxes, a closed form in place of polygons."""
+    side = 16093.44
+    c = points(spark, sf_dir).where("vec_id % 3 = 0")
+    x, y = F.col("projected_x_m"), F.col("projected_y_m")
+    b = spatial.dealt(c, F.struct((x - side / 2).alias("x0"), (y - side / 2).alias("y0"), (x + side / 2).alias("x1"), (y + side / 2).alias("y1")), side)
+    other = b.select("market_id", "__cell", "__box", F.col("vec_id").alias("r"), x.alias("x2"), y.alias("y2"))
+    met = spatial.meet(b.select("market_id", "__cell", "__box", F.col("vec_id").alias("l"), x.alias("x1"), y.alias("y1")), other, side).where("l < r")
+    i = (side - F.abs(F.col("x1") - F.col("x2"))) * (side - F.abs(F.col("y1") - F.col("y2")))
+    return met.withColumn("i", i).where("i > 0").select("l", "r", (F.col("i") / (2 * side * side - F.col("i"))).alias("j"))
+
+
+@query("box_jaccard_pairs", BOX_SQL + " SELECT l AS left_id, r AS right_id, round(i / (2 * 16093.44 * 16093.44 - i), 9) AS jaccard FROM pr WHERE i > 0")
+def box_jaccard_pairs(spark, sf_dir):
+    return box_pairs(spark, sf_dir).select(F.col("l").alias("left_id"), F.col("r").alias("right_id"), F.round("j", 9).alias("jaccard"))
+
+
+@query(
+    "jaccard_components",
+    BOX_SQL.replace("WITH", "WITH RECURSIVE", 1) + """, e AS (SELECT l, r FROM pr WHERE i / (2 * 16093.44 * 16093.44 - i) >= 0.25 UNION SELECT r, l FROM pr WHERE i / (2 * 16093.44 * 16093.44 - i) >= 0.25),
+        w AS (SELECT vec_id AS v, vec_id AS root FROM c UNION SELECT e.r, w.root FROM w JOIN e ON e.l = w.v) SELECT v AS vec_id, min(root) AS component FROM w GROUP BY v""",
+)
+def jaccard_components(spark, sf_dir):
+    roots = components.connected_components(box_pairs(spark, sf_dir).where("j >= 0.25").select(F.col("l").alias("a"), F.col("r").alias("b")))
+    c = points(spark, sf_dir).where("vec_id % 3 = 0").select("vec_id")
+    return c.join(roots, F.col("vec_id") == F.col("vertex"), "left").select("vec_id", F.coalesce("root", "vec_id").alias("component"))
+
+
+@query("ring_area", f"WITH {POINTS_SQL} SELECT vec_id, round(-(x * y) / 2, 6) AS area FROM pts")
+def ring_area(spark, sf_dir):
+    zero = F.lit(0.0)
+    ring = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((zero, zero), (zero, F.col("projected_y_m")), (F.col("projected_x_m"), zero))])
+    return points(spark, sf_dir).select("vec_id", F.round(G.ring_area(ring), 6).alias("area"))
+
+
+# ---- identity, pairs, binding -------------------------------------------------------------------------------------
+
+
+def vintages(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("location"), F.year("o_orderdate").alias("vintage_year"), "o_orderkey", "o_orderpriority")
+
+
+@query("earliest_member", "SELECT o_custkey AS location, arg_min(o_orderkey, (year(o_orderdate), o_orderkey)) AS o_orderkey, min(year(o_orderdate))::INTEGER AS vintage_year FROM orders GROUP BY o_custkey")
+def earliest_member(spark, sf_dir):
+    return identity.earliest_member(vintages(spark, sf_dir), "location", ["vintage_year", "o_orderkey"], ["o_orderkey", "vintage_year"])
+
+
+@query(
+    "latest_prior_pair",
+    """WITH v AS (SELECT o_custkey AS location, year(o_orderdate) AS y, o_orderkey FROM orders), p AS (SELECT location, max(y) AS y FROM v WHERE y < 2000 GROUP BY location),
+       l AS (SELECT location, y, min(o_orderkey) AS k, count(*) AS n FROM v JOIN p USING (location, y) GROUP BY ALL) SELECT location, y::INTEGER AS prior_year, k AS o_orderkey FROM l WHERE n = 1""",
+)
+def latest_prior_pair(spark, sf_dir):
+    """The latest vintage before 2000 of each location, where one record alone has it."""
+    v = vintages(spark, sf_dir).where("vintage_year < 2000")
+    top = v.groupBy("location").agg(F.max("vintage_year").alias("vintage_year"))
+    one = v.join(top, ["location", "vintage_year"]).groupBy("location", "vintage_year").agg(F.min("o_orderkey").alias("o_orderkey"), F.count("*").alias("n"))
+    return one.where("n = 1").select("location", F.col("vintage_year").alias("prior_year"), "o_orderkey")
+
+
+@query("role_pivot", "SELECT o_custkey AS physical_location_id, min(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS prior, min(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS current FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_custkey")
+def role_pivot(spark, sf_dir):
+    role = F.when(F.col("o_orderstatus") == "F", "prior").when(F.col("o_orderstatus") == "O", "current")
+    b = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("physical_location_id"), role.alias("source_role"), "o_orderkey").where("source_role is not null")
+    one = b.groupBy("physical_location_id", "source_role").agg(F.min("o_orderkey").alias("target_address"))
+    wide, _ = binding.pair_by_role(one, ["prior", "current"])
+    return wide
+
+
+@query(
+    "pair_request_binding",
+    """WITH rq AS (SELECT DISTINCT o_custkey::VARCHAR AS lineage_key, year(o_orderdate)::INTEGER AS vintage_year FROM orders WHERE o_orderpriority = '1-URGENT'),
+       sh AS (SELECT o_custkey::VARCHAR AS lineage_key, year(o_orderdate)::INTEGER AS vintage_year, 'C' || min(o_orderkey) AS target_address FROM orders GROUP BY ALL) SELECT * FROM rq JOIN sh USING (lineage_key, vintage_year)""",
+)
+def pair_request_binding(spark, sf_dir):
+    v = vintages(spark, sf_dir).withColumn("lineage_key", F.col("location").cast("string"))
+    sheet = v.groupBy("lineage_key", "vintage_year").agg(F.concat(F.lit("C"), F.min("o_orderkey").cast("string")).alias("target_address"))
+    bound, found = binding.bind_requests(v.where("o_orderpriority = '1-URGENT'").select("lineage_key", "vintage_year").distinct(), sheet)
+    checks.require_none(found)
+    return bound
+
+
+def worksheet_rows(p: DataFrame) -> DataFrame:
+    """Location rows from tracts: an older workbook, and a newer one that repeats, moves or renames them."""
+    lat, lon = F.round(43 + F.col("projected_y_m") / 100000, 6), F.round(-88 + F.col("projected_x_m") / 100000, 6)
+    k = F.col("vec_id")
+
+    def sheet(workbook: str, order: int, year: int, seed, moved, city) -> DataFrame:
+        y = F.round(lat + moved, 6)
+        return p.select(
+            F.lit(workbook).alias("source_workbook_identity"), F.lit(order).alias("source_workbook_order"), F.lit("Sheet1").alias("source_sheet"), (k + 2).cast("int").alias("source_row"),
+            F.lit(f"FY{year}").alias("vintage"), seed.alias("seed_point_id"), F.concat(k.cast("string"), F.lit(" Main St.")).alias("address"), city.alias("city"), F.lit("WI").alias("state"),
+            F.lit("53202").alias("zip"), city.alias("market"), y.alias("latitude"), lon.alias("longitude"), y.cast("string").alias("latitude_text"), lon.cast("string").alias("longitude_text"),
+        )
+
+    city = F.when(k % 2 == 0, "Milwaukee").otherwise("Madison")
+    name = F.concat(F.lit("S"), k.cast("string"))
+    moved = F.when(k % 3 == 0, 0.0).when(k % 3 == 1, 0.00004).otherwise(0.02)
+    old = sheet(identity.DEVELOPMENT_WORKBOOK, 0, 2024, name, F.lit(0.0), city)
+    return old.unionByName(sheet("NEW_WORKBOOK", 1, 2026, F.concat(F.lit("N"), k.cast("string")), moved, city))
+
+
+def resolved(spark, sf_dir):
+    return identity.resolve(identity.prepare_locations(worksheet_rows(points(spark, sf_dir))))
+
+
+@query("identity_resolution")
+def identity_resolution(spark, sf_dir):
+    return resolved(spark, sf_dir)
+
+
+@query("identity_summary")
+def identity_summary(spark, sf_dir):
+    return identity.package_summary(resolved(spark, sf_dir))
+
+
+# ---- text, hashes, checks -----------------------------------------------------------------------------------------
+
+
+@query("text_normalise", "SELECT doc_id, substr(regexp_replace(lower(trim(text, chr(32) || chr(9) || chr(10) || chr(13))), '[^a-z0-9]', '', 'g'), 1, 40) AS norm, length(regexp_replace(lower(text), '[^a-z0-9]', '', 'g')) AS n FROM documents")
+def text_normalise(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", text.normalised(F.col("text")).alias("n"))
+    return d.select("doc_id", F.substring("n", 1, 40).alias("norm"), F.length("n").cast("bigint").alias("n"))
+
+
+@query("year_extract", "SELECT o_orderkey, year(o_orderdate)::INTEGER AS first_year, CASE WHEN o_orderkey % 3 <> 0 THEN year(o_orderdate)::INTEGER END AS only_year FROM orders")
+def year_extract(spark, sf_dir):
+    said = F.concat(F.lit("FY "), F.year("o_orderdate").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, " / 2001").otherwise(" plan"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.first_year(said).alias("first_year"), text.only_year(said).alias("only_year"))
+
+
+@query("market_detect", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 OR c_custkey % 7 = 0 THEN 'milwaukee' WHEN c_custkey % 3 = 1 THEN 'madison' END AS market FROM customer")
+def market_detect(spark, sf_dir):
+    k = F.col("c_custkey")
+    source, city = F.when(k % 3 == 0, "MILWAUKEE-Waukesha").when(k % 3 == 1, "Madi son").otherwise("Racine"), F.when(k % 7 == 0, "West Mil-waukee").otherwise("")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.market(source, city).alias("market"))
+
+
+@query("content_ids", "SELECT doc_id, 'document:sha256:' || sha256(text) AS content_id FROM documents")
+def content_ids(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("document:sha256:"), canonical.bytes_digest(F.col("text"))).alias("content_id"))
+
+
+@query("canonical_ids", """SELECT event_id, 'event:sha256:' || sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}') AS content_id FROM events""")
+def canonical_ids(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", canonical.id_column("event", F.struct("user_id", "event_type", "event_id")).alias("content_id"))
+
+
+@query("forbidden_key_scan", "SELECT event_id, list_aggregate(list_sort(list_filter(json_keys(props), lambda k: k IN ('k', 'v'))), 'string_agg', ',') AS found FROM events WHERE len(list_filter(json_keys(props), lambda k: k IN ('k', 'v'))) > 0")
+def forbidden_key_scan(spark, sf_dir):
+    found = checks.forbidden_json_keys(F.col("props"), frozenset({"k", "v"}))
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(found, ",").alias("found")).where("found <> ''")
+
+
+@query(
+    "artifact_hash_reconcile",
+    """SELECT CASE WHEN doc_id % 5 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'differs' ELSE 'match' END AS state, count(*) AS n FROM documents GROUP BY ALL""",
+)
+def artifact_hash_reconcile(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    stated = F.when(F.col("doc_id") % 7 == 0, F.lit("0" * 64)).otherwise(canonical.bytes_digest(F.col("text")))
+    manifest = d.select(F.col("doc_id").cast("string").alias("name"), stated.alias("sha256"))
+    files = d.where("doc_id % 5 <> 0").select(F.col("doc_id").cast("string").alias("name"), canonical.bytes_digest(F.col("text")).alias("sha256"))
+    return binding.reconcile_files(manifest, files).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("symmetric_set_check", "SELECT 'left' AS side, count(*) AS n FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT 'right', count(*) FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)")
+def symmetric_set_check(spark, sf_dir):
+    c, o = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    sides = [checks.not_covered(a, b, ["k"], 1, "SET").agg(F.count("*").alias("n")).select(F.lit(s).alias("side"), "n") for s, a, b in (("left", c, o), ("right", o, c))]
+    return checks.union(sides)
+
+
+@query(
+    "protected_path_guard",
+    "SELECT page_id FROM pages WHERE page_id % 4 = 0 AND page_id % 3 <> 0",
+)
+def protected_path_guard(spark, sf_dir):
+    folder = F.when(F.col("page_id") % 3 == 0, "schemas").otherwise("out")
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat_ws("/", folder, F.when(F.col("page_id") % 4 == 0, "READY.json").otherwise("notes.md")).alias("path"))
+    return governance.protected_paths(p, ["READY.json", "FROZEN.json"]).select("page_id")
+
+
+@query("context_ordinal_names", "SELECT c_custkey, format('context-{:04d}-membership.json', row_number() OVER (ORDER BY c_nationkey, c_custkey)) AS name FROM customer WHERE c_mktsegment <> 'BUILDING'")
+def context_ordinal_names(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.lit(0).alias("z"), F.when(F.col("c_mktsegment") == "BUILDING", "DEVELOPMENT_REFERENCE").otherwise("OTHER").alias("evidence_role"))
+    placed = identity.context_ordinals(c, ["c_nationkey", "z", "c_custkey"]).where("pipe_context_ordinal is not null")
+    return binding.context_artifacts(placed.withColumn("physical_location_id", F.col("c_custkey")), ["membership"]).select(F.col("physical_location_id").alias("c_custkey"), "name")
+
+
+@query("second_nearest_peer", f"WITH {POINTS_SQL}, d AS (SELECT p.vec_id, p.market_id, sqrt(pow(p.x - c.ax, 2) + pow(p.y - c.ay, 2)) AS d FROM pts p JOIN ctx c USING (market_id) WHERE p.tract_geoid <> c.anchor) SELECT market_id, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY market_id ORDER BY d, vec_id) AS r FROM d) WHERE r = 2")
+def second_nearest_peer(spark, sf_dir):
+    """The two nearest are kept by a partial aggregate before any ranking, so no market is sorted whole."""
+    p = points(spark, sf_dir)
+    m = membership.membership(contexts(p), p, (membership.PRIMARY_RADIUS_M,)).join(contexts(p).select("context_instance_id", "anchor_tract_geoid"), "context_instance_id").where("tract_geoid <> anchor_tract_geoid")
+    first = m.groupBy("market_id").agg(F.min(F.struct("distance_m", "tract_geoid")).alias("f"))
+    rest = m.join(first, "market_id").where(F.struct("distance_m", "tract_geoid") > F.col("f"))
+    return rest.groupBy("market_id").agg(F.min(F.struct("distance_m", "tract_geoid")).alias("s")).select("market_id", F.col("s.tract_geoid").cast("long").alias("vec_id"))
+
+
