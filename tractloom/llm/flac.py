@@ -289,6 +289,8 @@ def decode_group(files: list[bytes], parsed: list[tuple]) -> list[bytes]:
     base, cursors, owner, block, left = 0, [], [], [], []
     for i, (f, (samples, _, start, points)) in enumerate(zip(files, parsed, strict=True)):
         blocks = samples // BLOCK
+        if any(sample % BLOCK or sample >= samples for sample, _ in points):
+            raise ValueError("seek point outside the blocks")
         for sample, offset in points:
             cursors.append(base + start + offset)
             owner.append(i)
