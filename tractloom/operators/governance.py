@@ -49,7 +49,7 @@ def manifest_violations(manifests: DataFrame) -> list[DataFrame]:
         ("TASK_STATE_INVALID", F.col("state").isin(*TASK_STATES)),
         *[("TASK_MANIFEST_FIELD_INVALID", F.length(c) > 0) for c in ("title", "capability_owner", "authority_source", "acceptance_destination", "exact_next_destination")],
         *[("TASK_MANIFEST_FIELD_INVALID", F.forall(c, lambda x: F.coalesce(F.length(x) > 0, F.lit(False)))) for c in lists],
-        *[("TASK_MANIFEST_LOGICAL_ID_INVALID", F.forall(c, lambda x, k=k: x.rlike(PATTERNS[k]))) for c, k in lists.items() if k],
+        *[("TASK_MANIFEST_LOGICAL_ID_INVALID", all_like(c, k)) for c, k in lists.items() if k],
         ("TASK_BRANCH_INVALID", is_governed(F.col("implementation_branch"), "branch") & F.col("implementation_branch").startswith(F.concat(F.lit("task/"), F.lower(key), F.lit("-")))),
         ("TASK_COMMIT_INVALID", optional("implementation_commit", F.col("implementation_commit").rlike(r"\A[0-9a-f]{7,64}\z"))),
         ("TASK_COMPLETION_EXECUTION_INVALID", done["execution"].isin("NOT_STARTED", "IN_PROGRESS", "BLOCKED", "COMPLETED")),
@@ -64,6 +64,10 @@ def manifest_violations(manifests: DataFrame) -> list[DataFrame]:
     return [checks.where_not(manifests, ok, 10 * i, code, key) for i, (code, ok) in enumerate(rules, 1)]
 
 
+def all_like(name: str, kind: str) -> Column:
+    return F.forall(name, lambda x: F.coalesce(x.rlike(PATTERNS[kind]), F.lit(False)))
+
+
 def protected_content(c: Column) -> Column:
     """Whether a text holds a digest, a coordinate pair or an absolute path."""
     return c.rlike(PATTERNS["sha256"]) | c.rlike(PATTERNS["coordinate_pair"]) | c.rlike(r'"(?:[A-Za-z]:[\\/]|/|~[\\/])')
