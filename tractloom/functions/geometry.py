@@ -86,16 +86,22 @@ def area(r: np.ndarray) -> float:
 
 
 def clip(ring: np.ndarray, window: np.ndarray) -> np.ndarray:
-    """Part of a simple ring inside a convex counter-clockwise window, half-plane by half-plane."""
-    for a, b in zip(window, np.roll(window, -1, axis=0), strict=True):
-        if not len(ring):
-            return ring
+    """Part of a simple ring inside a convex counter-clockwise window, half-plane by half-plane.
+
+    Half-planes that hold all vertices cut nothing and are passed over.
+    """
+    if not len(ring):
+        return ring
+    after = np.roll(window, -1, axis=0)
+    d = after - window
+    cutting = (d[:, :1] * (ring[:, 1] - window[:, 1:]) - d[:, 1:] * (ring[:, 0] - window[:, :1]) < 0).any(axis=1)
+    for a, b in zip(window[cutting], after[cutting], strict=True):
         side = (b[0] - a[0]) * (ring[:, 1] - a[1]) - (b[1] - a[1]) * (ring[:, 0] - a[0])
         inside = side >= 0
-        if inside.all():
-            continue
         if not inside.any():
             return ring[:0]
+        if inside.all():
+            continue
         nxt, side_nxt, inside_nxt = np.roll(ring, -1, axis=0), np.roll(side, -1), np.roll(inside, -1)
         crossing = inside != inside_nxt
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -202,28 +208,51 @@ def covers_column(polygons: Column, x: Column, y: Column) -> Column:
     return of(polygons, x, y)
 
 
-def footprint_clip_area(polygons: Column, x: Column, y: Column, radius: float) -> Column:
-    """Area of polygons inside the footprint at (x, y)."""
+def clipped(polygons: list[dict], window: np.ndarray) -> list[dict]:
+    """Polygons inside a convex window. A concave ring may keep bridges of no area, which sums of areas cancel."""
+    out = []
+    for g in polygons:
+        outer = clip(as_ring(g["outer"]), window)
+        if len(outer) > 2:
+            holes = [clip(as_ring(h), window) for h in g["holes"] or ()]
+            out.append({"outer": as_points(outer), "holes": [as_points(h) for h in holes if len(h) > 2]})
+    return out
 
-    @F.arrow_udf("double")
+
+def as_points(ring: np.ndarray) -> list[dict]:
+    return [{"x": x, "y": y} for x, y in ring.tolist()]
+
+
+ARROW_RING = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+ARROW_POLYGONS = pa.list_(pa.struct([("outer", ARROW_RING), ("holes", pa.list_(ARROW_RING))]))
+
+
+def footprint_clip(polygons: Column, x: Column, y: Column, radius: float) -> Column:
+    """struct (area, polygons) of what lies inside the footprint at (x, y)."""
+
+    @F.arrow_udf(f"struct<area:double,polygons:{POLYGONS}>")
     def of(g: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
-        return pa.array([clipped_area(p, Window(footprint(a, b, radius))) for p, a, b in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True)], type=pa.float64())
+        out = []
+        for p, a, b in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True):
+            window = footprint(a, b, radius)
+            out.append({"area": clipped_area(p, Window(window)), "polygons": clipped(p, window)})
+        return pa.array(out, type=pa.struct([("area", pa.float64()), ("polygons", ARROW_POLYGONS)]))
 
     return of(polygons, x, y)
 
 
-def common_clip_area(polygons: Column, x1: Column, y1: Column, x2: Column, y2: Column, radius: float) -> Column:
-    """Area of polygons inside both footprints, whose overlap is convex."""
+def footprint_clip_area(polygons: Column, x: Column, y: Column, radius: float) -> Column:
+    """Area of polygons inside the footprint at (x, y)."""
 
     @F.arrow_udf("double")
-    def of(g: pa.Array, a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
-        out, known = [], {}
-        for p, *at in zip(g.to_pylist(), a.to_pylist(), b.to_pylist(), c.to_pylist(), d.to_pylist(), strict=True):
-            if tuple(at) not in known:
-                shape = clip(footprint(at[0], at[1], radius), footprint(at[2], at[3], radius))
-                known[tuple(at)] = Window(shape) if area(shape) > 1e-6 else None
-            window = known[tuple(at)]
-            out.append(clipped_area(p, window) if window else 0.0)
+    def of(g: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
+        made: dict[tuple, Window] = {}
+        out = []
+        for p, *at in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True):
+            key = tuple(at)
+            if key not in made:
+                made[key] = Window(footprint(*at, radius))
+            out.append(clipped_area(p, made[key]))
         return pa.array(out, type=pa.float64())
 
-    return of(polygons, x1, y1, x2, y2)
+    return of(polygons, x, y)

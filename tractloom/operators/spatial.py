@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tractloom.functions import geometry as G
 from tractloom.functions.canonical import id_column
 from tractloom.operators import checks
-from tractloom.operators.components import connected_components
+from tractloom.operators.components import connected_components, settle
 from tractloom.operators.membership import JACCARD_STRESS, PRIMARY_RADIUS_M
 
 TOLERANCE = 1e-9  # share of the footprint's area below which rounding is not truncation
@@ -49,7 +49,7 @@ def bind_anchors(anchors: DataFrame, tracts: DataFrame, size: float = 0.05) -> t
 
 
 def clipped_tracts(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
-    """A row per context and tract with positive area in its footprint: ids, anchor, polygons, clip_area.
+    """A row per context and tract with positive area in its footprint: ids, anchor, clip_area and the clipped polygons.
 
     contexts: context_instance_id, market_id, anchor_x_m, anchor_y_m. tracts: market_id, tract_geoid, polygons in metres.
     """
@@ -58,7 +58,8 @@ def clipped_tracts(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMA
     around = dealt(contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m"), F.struct((x - radius).alias("x0"), (y - radius).alias("y0"), (x + radius).alias("x1"), (y + radius).alias("y1")), size)
     shapes = dealt(tracts.select("market_id", "tract_geoid", "polygons"), G.box(F.col("polygons")), size)
     met = meet(around, shapes, size)
-    return met.withColumn("clip_area", G.footprint_clip_area(F.col("polygons"), x, y, radius)).where("clip_area > 0")
+    cut = met.withColumn("__c", G.footprint_clip(F.col("polygons"), x, y, radius))
+    return settle(cut.select("context_instance_id", "market_id", "tract_geoid", "anchor_x_m", "anchor_y_m", F.col("__c.area").alias("clip_area"), F.col("__c.polygons").alias("polygons")).where("clip_area > 0"))
 
 
 def completeness(contexts: DataFrame, clipped: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
@@ -92,13 +93,13 @@ def edge_distance(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMAR
 def jaccard_pairs(clipped: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
     """left, right (left < right) and geometric_jaccard of the clipped footprints of a market that overlap.
 
-    Pairs meet on the tracts they share; each tract gives its area inside both footprints.
+    Pairs meet on the tracts they share; each tract's part of the left footprint gives its area inside the right one.
     """
     sizes = clipped.groupBy("context_instance_id").agg(F.sum("clip_area").alias("a"))
     l = clipped.select("market_id", "tract_geoid", "polygons", F.col("context_instance_id").alias("left"), F.col("anchor_x_m").alias("x1"), F.col("anchor_y_m").alias("y1"))  # noqa: E741
     r = clipped.select("market_id", "tract_geoid", F.col("context_instance_id").alias("right"), F.col("anchor_x_m").alias("x2"), F.col("anchor_y_m").alias("y2"))
     j = l.join(r, ["market_id", "tract_geoid"]).where((F.col("left") < F.col("right")) & (F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")) < 2 * radius))
-    common = j.withColumn("i", G.common_clip_area(F.col("polygons"), *[F.col(c) for c in ("x1", "y1", "x2", "y2")], radius)).groupBy("left", "right").agg(F.sum("i").alias("i")).where("i > 0")
+    common = j.withColumn("i", G.footprint_clip_area(F.col("polygons"), F.col("x2"), F.col("y2"), radius)).groupBy("left", "right").agg(F.sum("i").alias("i")).where("i > 0")
     named = [sizes.withColumnRenamed("context_instance_id", s).withColumnRenamed("a", f"a_{s}") for s in ("left", "right")]
     both = common.join(named[0], "left").join(named[1], "right")
     joint = F.col("a_left") + F.col("a_right") - F.col("i")

@@ -14,14 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tractloom.functions.geometry import POLYGONS, area, as_ring, locate
+from tractloom.functions.geometry import ARROW_POLYGONS, POLYGONS, area, as_ring, locate
 from tractloom.operators.checks import ConformanceError
 
 POLYGON_TYPES = (5, 15, 25)  # plain, with heights, with measures
 ATTRIBUTES = "path string, record_no bigint, attributes map<string,string>"
 SHAPES = f"path string, record_no bigint, polygons {POLYGONS}"
-RING = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
-ARROW_POLYGONS = pa.list_(pa.struct([("outer", RING), ("holes", pa.list_(RING))]))
 BATCH = 1000
 
 
