@@ -147,15 +147,14 @@ class Window:
         turn = np.arctan2(a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0], (a * b).sum(axis=1))
         return self.swept(start + turn) - self.swept(start)
 
-    def ring_area(self, ring: np.ndarray) -> float:
-        """Signed area of a simple ring inside the window: each edge spans a triangle with the centre, of which the part
-        of the edge inside counts as it is, and what lies beyond the window as the window's sector."""
-        if len(ring) < 3:
-            return 0.0
+    def split(self, ring: np.ndarray):
+        """Edges (a, b) from the centre, the ends p, q of the part of each inside, and whether there is none.
+
+        An edge is inside where normal . (a + t d) <= offset for all sides. An edge outside has p = q = b.
+        """
         a = ring - self.centre
         b = np.roll(a, -1, axis=0)
         d = b - a
-        # The edge is inside where normal . (a + t d) <= offset for all sides.
         ahead, room = d @ self.normal.T, self.offset - a @ self.normal.T
         with np.errstate(divide="ignore", invalid="ignore"):
             t = room / ahead
@@ -165,9 +164,49 @@ class Window:
         start, end = np.where(outside, 1.0, np.minimum(start, 1.0)), np.where(outside, 1.0, np.maximum(end, 0.0))
         p, q = a + start[:, None] * d, a + end[:, None] * d
         p[outside], q[outside] = b[outside], b[outside]
+        return a, b, p, q, start, end, outside
+
+    def ring_area(self, ring: np.ndarray) -> float:
+        """Signed area of a simple ring inside the window: each edge spans a triangle with the centre, of which the part
+        of the edge inside counts as it is, and what lies beyond the window as the window's sector."""
+        if len(ring) < 3:
+            return 0.0
+        a, b, p, q, start, end, outside = self.split(ring)
         inside = (p[:, 0] * q[:, 1] - p[:, 1] * q[:, 0]) / 2
         return float(np.where(outside, 0.0, inside).sum() + np.where(start > 0, self.sector(a, p), 0.0).sum() + np.where(~outside & (end < 1), self.sector(q, b), 0.0).sum())
 
+    def rim(self, v: np.ndarray) -> np.ndarray:
+        """Where the ray towards v leaves the window."""
+        reach = self.normal @ v
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = np.where(reach > 0, self.offset / reach, np.inf)
+        return v * r.min()
+
+    def along(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The window's vertices between the directions of u and v, the short way round."""
+        first = math.atan2(u[1], u[0])
+        turn = math.atan2(u[0] * v[1] - u[1] * v[0], u[0] * v[0] + u[1] * v[1])
+        away = (self.angle - first) % (2 * math.pi) if turn >= 0 else (first - self.angle) % (2 * math.pi)
+        k = np.flatnonzero((away > 0) & (away < abs(turn)))
+        return self.w[k[np.argsort(away[k])]]
+
+    def drawn_in(self, ring: np.ndarray) -> np.ndarray:
+        """The ring with every part outside moved along its ray onto the rim.
+
+        It winds round each point inside the window as the ring does, so any area within the window stays the same.
+        """
+        if len(ring) < 3:
+            return ring[:0]
+        parts = []
+        for a, b, p, q, start, end, outside in zip(*self.split(ring), strict=True):
+            if start > 0:
+                parts += [self.rim(a)[None], self.along(a, p)]
+            if not outside:
+                parts += [p[None], q[None]]
+                if end < 1:
+                    parts.append(self.along(q, b))
+        return np.concatenate(parts) + self.centre
+
 
 def clipped_area(polygons: list[dict], window: Window) -> float:
     """Area of polygons inside a convex window; below a millionth of a square metre it is rounding."""
@@ -208,14 +247,13 @@ def covers_column(polygons: Column, x: Column, y: Column) -> Column:
     return of(polygons, x, y)
 
 
-def clipped(polygons: list[dict], window: np.ndarray) -> list[dict]:
-    """Polygons inside a convex window. A concave ring may keep bridges of no area, which sums of areas cancel."""
+def drawn_in(polygons: list[dict], window: Window) -> list[dict]:
+    """Polygons drawn into a window, for areas within it; those wholly outside are left out."""
     out = []
     for g in polygons:
-        outer = clip(as_ring(g["outer"]), window)
-        if len(outer) > 2:
-            holes = [clip(as_ring(h), window) for h in g["holes"] or ()]
-            out.append({"outer": as_points(outer), "holes": [as_points(h) for h in holes if len(h) > 2]})
+        outer = as_ring(g["outer"])
+        if abs(window.ring_area(outer)) > 1e-6:
+            out.append({"outer": as_points(window.drawn_in(outer)), "holes": [as_points(window.drawn_in(as_ring(h))) for h in g["holes"] or ()]})
     return out
 
 
@@ -228,14 +266,14 @@ ARROW_POLYGONS = pa.list_(pa.struct([("outer", ARROW_RING), ("holes", pa.list_(A
 
 
 def footprint_clip(polygons: Column, x: Column, y: Column, radius: float) -> Column:
-    """struct (area, polygons) of what lies inside the footprint at (x, y)."""
+    """struct (area, polygons): the area inside the footprint at (x, y), and the polygons drawn into it."""
 
     @F.arrow_udf(f"struct<area:double,polygons:{POLYGONS}>")
     def of(g: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
         out = []
         for p, a, b in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True):
-            window = footprint(a, b, radius)
-            out.append({"area": clipped_area(p, Window(window)), "polygons": clipped(p, window)})
+            window = Window(footprint(a, b, radius))
+            out.append({"area": clipped_area(p, window), "polygons": drawn_in(p, window)})
         return pa.array(out, type=pa.struct([("area", pa.float64()), ("polygons", ARROW_POLYGONS)]))
 
     return of(polygons, x, y)

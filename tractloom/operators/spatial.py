@@ -49,7 +49,7 @@ def bind_anchors(anchors: DataFrame, tracts: DataFrame, size: float = 0.05) -> t
 
 
 def clipped_tracts(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
-    """A row per context and tract with positive area in its footprint: ids, anchor, clip_area and the clipped polygons.
+    """A row per context and tract with positive area in its footprint: ids, anchor, clip_area and the polygons drawn into the footprint.
 
     contexts: context_instance_id, market_id, anchor_x_m, anchor_y_m. tracts: market_id, tract_geoid, polygons in metres.
     """

@@ -382,7 +382,7 @@ def pair_request_binding(spark, sf_dir):
 
 def worksheet_rows(p: DataFrame) -> DataFrame:
     """Location rows from tracts: an older workbook, and a newer one that repeats, moves or renames them."""
-    lat, lon = F.round(43 + F.col("projected_y_m") / 100000, 6), F.round(-88 + F.col("projected_x_m") / 100000, 6)
+    lat, lon = F.round(43 + F.col("projected_y_m") / 4000, 6), F.round(-88 + F.col("projected_x_m") / 4000, 6)
     k = F.col("vec_id")
 
     def sheet(workbook: str, order: int, year: int, seed, moved, city) -> DataFrame:
