@@ -1,6 +1,6 @@
 """URL filters: fixed host and path rules first, then association rules that FP-growth mined from labels.
 
-A url is a set of tokens (parts of its host, host suffixes, path words, kinds of numbers, query keys). FP-growth over
+A url is a set of tokens (words of its host and path, its ending, query keys and scheme). FP-growth over
 the labelled urls finds token combinations that go with the label `block`; those of enough support and confidence, and
 not implied by a shorter rule at least as good, are kept. A rule fits a url that has all its tokens. Matching goes by an
 inverted index: each rule is filed under its rarest token alone, so a url looks only at rules filed under its tokens.
@@ -28,6 +28,8 @@ from tractloom.llm.common import bounded_sample
 
 BLOCK = "label=block"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.001, 0.6
+MIN_URLS = 25  # a combination in fewer urls is no rule, however small the table
+EVERYWHERE = 0.95
 MOST_LABELLED = 200_000
 MOST_RULES = 5_000
 LONGEST = 3
@@ -52,17 +54,18 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """The distinct tokens of a url. Numbers count by kind, as each is seen but once."""
+    """The distinct tokens of a url: words of its host and path, how it ends, its query keys and scheme.
+
+    A host is the combination of its words, so it needs no token of its own; numbers differ in every url and give none.
+    """
     host, path = host_of(url), ascii_lower(path_of(url))
     query = F.regexp_extract(after_scheme(url), "\\?([^#]*)", 1)
-    labels = F.split(host, "\\.")
-    suffixes = F.transform(labels, lambda x, i: F.concat(F.lit("site="), F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
     parts = F.transform(F.regexp_extract_all(host, F.lit("([^.\\-]+)"), 1), lambda x: F.concat(F.lit("host="), x))
-    words = F.transform(F.regexp_extract_all(path, F.lit("([^/\\-_.]+)"), 1), lambda x: F.concat(F.lit("path="), F.regexp_replace(x, "[0-9]+", "0")))
+    words = F.transform(F.filter(F.regexp_extract_all(path, F.lit("([^/\\-_.]+)"), 1), lambda x: ~x.rlike("^[0-9]+$")), lambda x: F.concat(F.lit("path="), x))
     keys = F.transform(F.regexp_extract_all(query, F.lit("([^&=]+)(=[^&]*)?"), 1), lambda x: F.concat(F.lit("query="), x))
     scheme = F.array(F.concat(F.lit("scheme="), F.regexp_extract(F.coalesce(url, F.lit("")), "^([A-Za-z]+)://", 1)))
-    end = F.array(F.concat(F.lit("end="), F.when(path.endswith("/"), "/").otherwise(F.regexp_extract(path, "\\.([a-z0-9]{1,5})$", 1))))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, parts, words, keys, scheme, end)))
+    end = F.array(F.when(path.endswith("/"), F.lit("end=/")).otherwise(F.concat(F.lit("end="), F.regexp_extract(path, "\\.([a-z0-9]{1,5})$", 1))))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(parts, words, keys, scheme, end)))
 
 
 def mine_rules(
@@ -71,12 +74,16 @@ def mine_rules(
 ) -> list[dict]:
     """Rules (tokens, confidence, support) from rows (url, block boolean); at most `most_rules`, the best ones."""
     known = labelled.where(F.col(block).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(block).alias("block"))
-    baskets = bounded_sample(known, "url", most).select(F.when(F.col("block"), F.array_append(tokens_of(F.col("url")), F.lit(BLOCK))).otherwise(tokens_of(F.col("url"))).alias("items")).where(F.size("items") > 0).cache()
+    baskets = bounded_sample(known, "url", most).select(tokens_of(F.col("url")).alias("tokens"), "block").where(F.size("tokens") > 0).cache()
     n = baskets.count()
     if not n:
         return []
-    # A combination in fewer than three urls is no rule, however small the table.
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, 3 / n), minConfidence=min_confidence).fit(baskets)
+    # A token that nearly every url has tells nothing, and doubles the number of combinations.
+    common = [r.t for r in baskets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") > EVERYWHERE * n).collect()]
+    told = F.array_except("tokens", F.array(*[F.lit(t) for t in common]).cast("array<string>"))
+    items = baskets.select(F.when(F.col("block"), F.array_append(told, F.lit(BLOCK))).otherwise(told).alias("items"))
+    parts = max(2, labelled.sparkSession.sparkContext.defaultParallelism)
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_URLS / n), minConfidence=min_confidence, numPartitions=parts).fit(items)
     rules = model.associationRules.where((F.col("consequent") == F.array(F.lit(BLOCK))) & (F.size("antecedent") <= LONGEST))
     found = [(frozenset(r.antecedent), r.confidence, r.support) for r in rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent")).limit(most_rules).collect()]
     baskets.unpersist()
