@@ -401,7 +401,7 @@ def worksheet_rows(p: DataFrame) -> DataFrame:
 
 
 def resolved(spark, sf_dir):
-    return identity.resolve(identity.prepare_locations(worksheet_rows(points(spark, sf_dir))))
+    return components.settle(identity.resolve(identity.prepare_locations(worksheet_rows(points(spark, sf_dir)))))
 
 
 @query("identity_resolution")
@@ -498,3 +498,38 @@ def second_nearest_peer(spark, sf_dir):
     return rest.groupBy("market_id").agg(F.min(F.struct("distance_m", "tract_geoid")).alias("s")).select("market_id", F.col("s.tract_geoid").cast("long").alias("vec_id"))
 
 
+
+
+@query("temporal_pairs")
+def temporal_pairs(spark, sf_dir):
+    """Prior and current record of each repeated location, and the worksheet rows they ask for."""
+    pairs, found = identity.temporal_pairs(resolved(spark, sf_dir))
+    checks.require_none(found)
+    return identity.requested_pairs(pairs)
+
+
+@query("identity_violations", "SELECT 0::BIGINT AS n")
+def identity_violations(spark, sf_dir):
+    return checks.union(identity.identity_violations(resolved(spark, sf_dir))).agg(F.count("*").alias("n"))
+
+
+@query(
+    "governed_ids",
+    r"""WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'PIPE-' ELSE 'X-' END || lpad((c_custkey % 120)::VARCHAR, 2, '0') AS task, 'GEO' || (c_custkey % 30) || '_A_V' || (c_custkey % 4) AS artifact, 'at 43.' || c_custkey || ', -87.' || c_custkey AS said FROM customer)
+        SELECT c_custkey, regexp_full_match(task, '(GOV|DATA|MODEL|GEO|BI|PIPE|STORE|MARKETS|INTEGRATION|DEPLOY|VALIDATE)-[0-9]{2}[A-Z]?') AS is_task,
+               regexp_full_match(artifact, '[A-Z]+[0-9]{2}[A-Z]?_[A-Z0-9_]+_V[1-9][0-9]*') AS is_artifact, c_custkey >= 1000 AS has_coordinates FROM t""",
+)
+def governed_ids(spark, sf_dir):
+    k = F.col("c_custkey")
+    task = F.concat(F.when(k % 3 == 0, "PIPE-").otherwise("X-"), F.when(k % 120 < 100, F.lpad((k % 120).cast("string"), 2, "0")).otherwise(F.substring((k % 120).cast("string"), 1, 2)))
+    artifact = F.concat(F.lit("GEO"), (k % 30).cast("string"), F.lit("_A_V"), (k % 4).cast("string"))
+    said = F.concat(F.lit("at 43."), k.cast("string"), F.lit(", -87."), k.cast("string"))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", text.is_governed(task, "task_id").alias("is_task"), text.is_governed(artifact, "logical_artifact").alias("is_artifact"), text.is_governed(said, "coordinate_pair").alias("has_coordinates")
+    )
+
+
+@query("polygon_edges", f"WITH {POINTS_SQL}, g AS (SELECT DISTINCT market_id, floor(x / {2 * HALF})::BIGINT AS i, floor(y / {2 * HALF})::BIGINT AS j FROM pts), e AS (SELECT market_id, unnest([{{'a': 'h', 'i': i, 'j': j}}, {{'a': 'h', 'i': i, 'j': j + 1}}, {{'a': 'v', 'i': i, 'j': j}}, {{'a': 'v', 'i': i + 1, 'j': j}}]) AS e FROM g) SELECT market_id, count(*) AS n FROM (SELECT market_id, e FROM e GROUP BY ALL HAVING count(*) = 1) GROUP BY market_id")
+def polygon_edges(spark, sf_dir):
+    """Edges on the outline of each market's grid tracts."""
+    return spatial.market_boundary(square_tracts(points(spark, sf_dir))).groupBy("market_id").agg(F.count("*").alias("n"))
