@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -53,17 +54,31 @@ class Grammar:
     blank: float = 0.0
 
     def __post_init__(self) -> None:
-        self.heads = {s[:MIN_STEM] for s in self.stems} | {w[:MIN_STEM] for w in THREATS}
         self.longest = max(map(len, self.stems), default=0)
+        self.heads = {s[:MIN_STEM] for s in self.stems}
+        self.finder = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"finder": None}
+
+    def may_match(self, low: str) -> bool:
+        """Whether a stem or a threat occurs anywhere; without one no clause can match."""
+        if self.finder is None:
+            self.finder = ahocorasick.Automaton()
+            for s in {s.removesuffix(END) for s in self.stems} | THREATS:
+                self.finder.add_word(s, True)
+            self.finder.make_automaton()
+        return next(self.finder.iter(low), None) is not None
 
     def lexical(self, word: str) -> tuple[str, float]:
         """The lexical transducer: class and weight of a lower-case word; the longest stem holds."""
         if word in THREATS:
             return "threat", THREAT_WEIGHT
-        for n in range(min(self.longest, len(word) + 1), MIN_STEM - 1, -1):
-            w = self.stems.get((word + END)[:n])
-            if w is not None:
-                return "insult", w
+        if word[:MIN_STEM] in self.heads:
+            for n in range(min(self.longest, len(word) + 1), MIN_STEM - 1, -1):
+                w = self.stems.get((word + END)[:n])
+                if w is not None:
+                    return "insult", w
         if word in TARGETS:
             return "target", 0.0
         if word in NEGATIONS:
@@ -73,8 +88,7 @@ class Grammar:
     def clauses(self, text: str | None) -> list[dict]:
         """The matched clauses of a text in order: their weight, matched words and context."""
         low = (text or "").lower()
-        heads = self.heads
-        if not any(w[:MIN_STEM] in heads for w in WORD.findall(low)):
+        if not self.may_match(low):
             return []
         found, hits, at, negated, reported, targeted = [], [], 0, -NEGATION_REACH - 1, False, False
 
