@@ -67,9 +67,9 @@ def test_blocks_do_not_change_the_result(spark):
         lat, lon = 10 + rng.randrange(40) * 0.0021 + rng.choice([0, 0, 0.00004, 0.003]), -20 + rng.randrange(3) * 0.004
         rows.append(row(DEV if k < 60 else "NEW", k + 2, 2024 if k < 60 else rng.choice([2025, 2026]), f"S{rng.randrange(70)}", round(lat, 6), f"{rng.randrange(60)} Ave", lon=round(lon, 6)))
     prepared = I.prepare_locations(spark.createDataFrame(rows, ROWS)).cache()
-    whole = I.resolve_block(prepared.withColumn("__block", F.lit(0)).toPandas())
+    whole = I.resolve_block([r.asDict() for r in prepared.collect()])
     key = ["source_workbook_identity", "source_row"]
-    want = {tuple(x[k] for k in key): (x["identity_state"], x["physical_location_id"]) for _, x in whole.iterrows()}
+    want = {tuple(x[k] for k in key): (x["identity_state"], x["physical_location_id"]) for x in whole}
     got = {(r.source_workbook_identity, r.source_row): (r.identity_state, r.physical_location_id) for r in I.resolve(prepared).collect()}
     assert got == want and len({s for s, _ in want.values()}) >= 3
 
