@@ -35,6 +35,7 @@ MOST_LABELLED = 6_000
 MOST_STEMS = 5_000
 MIN_STEM, MAX_STEM = 3, 12
 NEGATION_REACH = 3
+AT_ONCE = 500_000
 # Closed word classes in English, German, French and Spanish.
 TARGETS = frozenset("you your yours yourself du dich dir dein deine ihr euch sie tu toi te ton ta vous votre tú ti usted ustedes vosotros".split())
 NEGATIONS = frozenset("not no never isn't aren't don't nicht kein keine nie ne pas jamais nunca ningún ninguna".split())
@@ -139,25 +140,32 @@ def sketch(words: list[str], k: int = 5) -> int:
     return xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
-def stem_counts(sample: DataFrame) -> DataFrame:
-    """stem, toxic, clean: documents of the sample that have the stem; each partition counts before the shuffle."""
+def stem_counts(sample: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
+    """stem, n: documents (column words) that have the stem, of the stems in `only` if given.
+
+    Each partition counts before the shuffle, and passes its counts on when there are AT_ONCE of them.
+    """
+    held = None if only is None else sample.sparkSession.sparkContext.broadcast(only)
+
+    def rows(tally: dict[str, int]):
+        stems = list(tally)
+        for a in range(0, len(stems), 50_000):
+            part = stems[a : a + 50_000]
+            yield pa.RecordBatch.from_pydict({"stem": part, "n": pa.array([tally[s] for s in part], pa.int64())})
 
     def count(batches):
-        tally: dict[str, list[int]] = {}
+        tally: dict[str, int] = {}
         for b in batches:
-            for words, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                stems = {(w + END)[:n] for w in words for n in range(MIN_STEM, min(len(w) + 1, MAX_STEM) + 1)}
-                for s in stems:
-                    tally.setdefault(s, [0, 0])[label] += 1
-        rows = [(s, t, c) for s, (c, t) in tally.items() if t]  # a stem that no toxic document here has adds only clean ones
-        clean = [(s, 0, c) for s, (c, t) in tally.items() if not t]
-        for part in (rows, clean):
-            for a in range(0, len(part), 50_000):
-                s, t, c = zip(*part[a : a + 50_000], strict=True)
-                yield pa.RecordBatch.from_pydict({"stem": s, "toxic": pa.array(t, pa.int64()), "clean": pa.array(c, pa.int64())})
+            for words in b.column(0):
+                stems = {(w + END)[:n] for w in words.as_py() for n in range(MIN_STEM, min(len(w) + 1, MAX_STEM) + 1)}
+                for s in stems if held is None else stems & held.value:
+                    tally[s] = tally.get(s, 0) + 1
+                if len(tally) > AT_ONCE:
+                    yield from rows(tally)
+                    tally.clear()
+        yield from rows(tally)
 
-    parts = sample.select("words", "label").mapInArrow(count, "stem string, toxic bigint, clean bigint")
-    return parts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return sample.select("words").mapInArrow(count, "stem string, n bigint").groupBy("stem").agg(F.sum("n").alias("n"))
 
 
 def choose_stems(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -196,11 +204,14 @@ def fit_toxicity(
 
     @F.arrow_udf("struct<key:bigint,words:array<string>>")
     def words_of(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            words = WORD.findall((t or "").lower())
-            out.append({"key": sketch(words), "words": sorted(set(words))})
-        return pa.array(out, type=pa.struct([("key", pa.int64()), ("words", pa.list_(pa.string()))]))
+        kind, parts = pa.struct([("key", pa.int64()), ("words", pa.list_(pa.string()))]), []
+        for a in range(0, max(len(texts), 1), 128):  # word lists as Python objects are large
+            out = []
+            for t in texts.slice(a, 128).to_pylist():
+                words = WORD.findall((t or "").lower())
+                out.append({"key": sketch(words), "words": sorted(set(words))})
+            parts.append(pa.array(out, type=kind))
+        return pa.concat_arrays(parts)
 
     sample = settle(sample.select("text", "label", words_of(F.col("text")).alias("w")).select("text", "label", "w.*").groupBy("key", "label").agg(F.min_by(F.struct("text", "words"), F.struct(F.length("text"), F.xxhash64("text"))).alias("x")).select("label", "x.*"))
     n = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -208,9 +219,12 @@ def fit_toxicity(
     if not n_toxic or not n_clean:
         return Grammar()
     least = max(3, round(0.01 * n_toxic))
-    heavy = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)) >= min_weight
-    counted = stem_counts(sample).where((F.col("toxic") >= least) & heavy).orderBy(F.desc("toxic"), "stem").limit(most_stems).collect()
-    grammar = Grammar(choose_stems([(r.stem, r.toxic, r.clean) for r in counted], n_toxic, n_clean))
+    # A stem in a hundredth of the toxic documents: at most a hundred times as many as one of them has.
+    in_toxic = {r.stem: r.n for r in stem_counts(sample.where("label = 1")).where(F.col("n") >= least).collect()}
+    in_clean = {r.stem: r.n for r in stem_counts(sample.where("label = 0"), frozenset(in_toxic)).collect()}
+    counted = sorted(((s, t, in_clean.get(s, 0)) for s, t in in_toxic.items()), key=lambda r: (-r[1], r[0]))
+    heavy = [(s, t, c) for s, t, c in counted if np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)) >= min_weight]
+    grammar = Grammar(choose_stems(heavy[:most_stems], n_toxic, n_clean))
     held = docs.sparkSession.sparkContext.broadcast(grammar)
 
     @F.arrow_udf("array<double>")
