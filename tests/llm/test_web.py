@@ -77,6 +77,72 @@ def test_licenses(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+ASF = """ * The ASF licenses this file to You under the Apache License, Version 2.0
+ * (the "License"); you may not use this file except in compliance with
+ * the License.  You may obtain a copy of the License at
+ *
+ *    http://www.apache.org/licenses/LICENSE-2.0"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details."""
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice."""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+CC = "This work is licensed under a Creative Commons\nAttribution{} 4.0 International License."
+
+
+def test_genuine_wrapped_licenses(spark):
+    want = [
+        (MIT, "mit-text", "MIT"), (MIT.replace("\n", "\r\n"), "mit-text", "MIT"), (APACHE, "apache-notice", "Apache-2.0"), (ASF, "apache-notice", "Apache-2.0"), (APACHE[: APACHE.index("# You")], "apache-use-long", "Apache-2.0"),
+        (GPL, "gpl-notice", "GPL-3.0-or-later"), (GPL[: GPL.index("\n\n")], "gpl-free", "GPL-3.0-or-later"), (GPL2, "gpl-any", "GPL"), (MPL, "mpl-use", "MPL-2.0"), (BSD2, "bsd-2", "BSD-2-Clause"), (BSD3, "bsd-3", "BSD-3-Clause"),
+        (CC.format("-NonCommercial"), "cc-by-nc-long", "CC-BY-NC-4.0"), (CC.format(""), "cc-by", "CC-BY-4.0"), (CC.format("-ShareAlike"), "cc-by-sa", "CC-BY-SA-4.0"),
+        ("A title\nReleased under the\nMIT License\nAnother line", "mit-use", "MIT"), ("This work is licensed under the GNU\nGeneral Public License, version 3.", "gpl-work", "GPL-3.0-only"),
+        ("Licensed under\n\nCC BY 4.0.", None, None), ("not licensed under cc by 4.0", None, None), ("Released under the\x02MIT License", "mit-use", "MIT"), ("! \n" * 20000 + "all rights\nreserved", "all-rights", "proprietary"),
+        ("Licensed under the Apache\nLicense, Version 2.0.", "apache-use", "Apache-2.0"), ("Licensed under\nCC BY-NC 4.0", "cc-by-nc", "CC-BY-NC-4.0"), ("This work is in the\npublic domain.", "public-domain", "public domain"),
+    ]
+    got = {r.k: (r.rule, r.license) for r in licenses.scan(spark.createDataFrame([(k, w[0]) for k, w in enumerate(want)], "k int, text string")).collect()}
+    assert [(w[0], *got[k]) for k, w in enumerate(want)] == want
+    assert {w[1] for w in want if w[1]} == {r[0] for r in licenses.RULES}
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 

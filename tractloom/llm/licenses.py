@@ -5,8 +5,11 @@ version numbers kept), and known sentences become identifiers; all others fall a
 order, are matched against ordered rules: a rule is a sequence of identifiers that must appear in that order, with
 other known sentences between allowed. The first rule that matches names the licence.
 
-A sentence is looked up whole, by a map keyed with its text, so the cost of a text is that of cutting it. The tables
-of sentences and rules are parameters, small by nature and part of the plan.
+A known sentence must start and end at a cut, and may have cuts inside: licence texts are wrapped at any word, put ';'
+into a sentence and write 'v. 2.0'. It never spans an empty line. All known sentences are one pattern, the longest
+first, read once over the normalised text. The tables of sentences, their other forms and rules are parameters, small by
+nature and part of the plan. The SQL cuts at every mark and line and knows no other forms: it says the same wherever
+known sentences stand in one line.
 
 Defined cases: null and empty texts have no sentences, no rule and a null licence; a repeated sentence repeats its
 identifier; repeated rows are scanned alike; an empty table gives an empty result; an input column named like an output
@@ -15,6 +18,8 @@ is replaced.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +45,15 @@ SENTENCES = {
     "public-domain": "this work is in the public domain",
     "all-rights": "all rights reserved",
 }
+# Other genuine forms of known sentences, as normalised, and the identifier of each.
+FORMS = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
+    "the asf licenses this file to you under the apache license version 2.0 the license you may not use this file except in compliance with the license": "apache-use-long",
+    "this work is licensed under a creative commons attribution 4.0 international license": "cc-by",
+    "this work is licensed under a creative commons attribution sharealike 4.0 international license": "cc-by-sa",
+    "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
+}
 # Rules in the order they are tried (name, licence, identifiers in order).
 RULES = [
     ("gpl-notice", "GPL-3.0-or-later", ("gpl-free", "gpl-warranty")),
@@ -63,6 +77,7 @@ RULES = [
 ]
 # Where a sentence ends; what follows the mark belongs to the next one.
 CUT = "[.!?;]+([\\t\\n\\f\\r \"')\\]}]|\\z)"
+SOFT, HARD = "\x02", "\x03"
 OTHER = "[^a-z0-9\\x01\\x{80}-\\x{10FFFF}]+"
 
 
@@ -70,22 +85,30 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case words with one space between; a dot stays between digits only."""
-    dotted = ascii_lower(sentence)
+def marked(text: Column) -> Column:
+    """The words of a text in lower case with one space, SOFT (a cut) or HARD (an empty line) between, HARD at both ends.
+
+    A dot stays between digits only.
+    """
+    own = F.translate(F.coalesce(text, F.lit("")), SOFT + HARD, "--")
+    dotted = ascii_lower(F.regexp_replace(own, CUT, f"{SOFT}$1"))
     for _ in range(2):  # twice, as in 1.2.3 the matches overlap
         dotted = F.regexp_replace(dotted, "([0-9])\\.([0-9])", "$1\x01$2")
-    return F.translate(F.trim(F.regexp_replace(dotted, OTHER, " ")), "\x01", ".")
+    out = F.concat(F.lit("\n\n"), F.regexp_replace(dotted, OTHER.replace("\\x01", f"\\x01\n{SOFT}"), " "), F.lit("\n\n"))
+    # Each pattern takes a run of marks at once, so long runs cost no more than their length.
+    out = F.regexp_replace(out, f"[ {SOFT}]*{SOFT}[ {SOFT}]*", SOFT)
+    out = F.regexp_replace(out, f"[ {SOFT}]?\n[ {SOFT}]?\n[ {SOFT}\n]*", HARD)
+    return F.translate(F.regexp_replace(out, f"[ {SOFT}]?\n[ {SOFT}]?", SOFT), "\x01", ".")
 
 
-def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
+def sentence_ids(text: Column, sentences: dict[str, str], forms: dict[str, str] | None = None) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    shortest = min(map(len, sentences.values()), default=0)
-    known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (s, name)])
-    cut = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), CUT, "\n$1"), "\n")
-    # Normalising never lengthens a sentence, so shorter ones than all known need none.
-    found = F.transform(F.filter(cut, lambda s: F.length(s) >= shortest), lambda s: F.try_element_at(known, normalised(s)))
-    return F.filter(found, lambda x: x.isNotNull())
+    by_text = {s: name for name, s in sentences.items()} | (forms or {})
+    longest_first = sorted(by_text, key=lambda s: (-len(s), s))
+    one_of = "|".join(f"[ {SOFT}]".join(map(re.escape, s.split(" "))) for s in longest_first)
+    known = F.create_map(*[F.lit(x) for pair in by_text.items() for x in pair])
+    found = F.regexp_extract_all(marked(text), F.lit(f"(?<=[{SOFT}{HARD}])({one_of})(?=[{SOFT}{HARD}])"), 1)
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, SOFT, " ")))
 
 
 def in_order(ids: Column, wanted: tuple[str, ...]) -> Column:
@@ -97,10 +120,13 @@ def in_order(ids: Column, wanted: tuple[str, ...]) -> Column:
     return F.coalesce(F.array_contains(rest, wanted[-1]), F.lit(False))
 
 
-def scan(docs: DataFrame, *, text: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, str, tuple[str, ...]]] | None = None) -> DataFrame:
-    """docs with sentence_ids, rule and license, in one pass and without a shuffle."""
+def scan(
+    docs: DataFrame, *, text: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, str, tuple[str, ...]]] | None = None, forms: dict[str, str] | None = None,
+) -> DataFrame:
+    """docs with sentence_ids, rule and license, in one pass and without a shuffle; own sentences have own forms."""
+    forms = forms or ({} if sentences else FORMS)
     sentences, rules = sentences or SENTENCES, rules or RULES
-    found = docs.withColumn("sentence_ids", sentence_ids(F.col(text), sentences))
+    found = docs.withColumn("sentence_ids", sentence_ids(F.col(text), sentences, forms))
     rule = license_ = None
     for name, licence, wanted in rules:
         hit = in_order(F.col("sentence_ids"), wanted)
