@@ -1,3 +1,5 @@
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tractloom.llm import licenses, urls, wrapper
@@ -178,3 +180,24 @@ def test_mined_rules(spark):
             assert (r.verdict == "block") == any(set(x["tokens"]) <= have for x in rules)
     assert sum((r.verdict == "block") == bool(rows[r.page_id][1]) for r in judged if r.page_id < 600) >= 550
     assert urls.mine_rules(spark.createDataFrame([], "url string, block boolean")) == []
+
+
+def test_rules_are_all_that_brute_force_finds(spark):
+    hosts = ["win-casino.example.net", "m.news.example.org", "a.shop.example.com", "b.shop.example.com"]
+    rows = [(f"http{'s' if i % 3 else ''}://{hosts[i * i % 4]}/{'en' if i % 5 else 'de'}/promo{i}{'/' if i % 2 else '.html'}{'?ref=x&page=1' if i % 7 == 0 else ''}", i * 7 % 11 < 4 or i % 4 == 3) for i in range(90)]
+    # Three urls are enough, the words promo12 and promo34 are one form, and a host's suffix is a token.
+    rows += [(f"http://{h}.rare.example.net/x/{h}{k}", True) for k, h in enumerate(("u", "v", "w"))] + [(f"http://z{k}.example.net/offer{k}", True) for k in range(3)]
+    shown = spark.createDataFrame(rows, "url string, block boolean")
+    sets = [(frozenset(r.t), r.block) for r in shown.select(urls.tokens_of(F.col("url")).alias("t"), "block").collect()]
+    counts = {}
+    for have, block in sets:
+        for size in (1, 2, 3):
+            for c in combinations(sorted(have), size):
+                n, b = counts.get(c, (0, 0))
+                counts[c] = (n + 1, b + block)
+    good = {c: b / n for c, (n, b) in counts.items() if b >= 3 and b / n >= urls.MIN_CONFIDENCE}
+    want = {c: v for c, v in good.items() if not any(p in good and good[p] >= v for k in range(1, len(c)) for p in combinations(c, k))}
+    rules = urls.mine_rules(shown)
+    assert {tuple(r["tokens"]): r["confidence"] for r in rules} == want and len(rules) == len(want)
+    assert all(r["support"] == counts[tuple(r["tokens"])][1] / len(rows) for r in rules)
+    assert ("site=rare.example.net",) in want and ("path=offer0",) in want and any(len(c) == 3 for c in want)

@@ -1,10 +1,15 @@
 """URL filters: fixed host and path rules first, then association rules that FP-growth mined from labels.
 
-A url is a set of tokens (words of its host and path, its ending, query keys and scheme). FP-growth over
+A url is a set of tokens (parts of its host, host suffixes, path words, kinds of numbers, query keys). FP-growth over
 the labelled urls finds token combinations that go with the label `block`; those of enough support and confidence, and
 not implied by a shorter rule at least as good, are kept. A rule fits a url that has all its tokens. Matching goes by an
 inverted index: each rule is filed under its rarest token alone, so a url looks only at rules filed under its tokens.
 
+FP-growth runs over DataFrames: the paths of the tree are rows (a set, the more frequent tokens before it, its counts),
+equal ones are one row, and each step grows the sets by one token, so it ends at the longest rule and no task holds a
+tree. A set that occurs in just as many urls as one of its subsets is equivalent to that and not grown: no rule with it
+could be kept. With u tokens in a url, u + u^2 / 2 + u^3 / 6 over the support is the most rules there can be.
+
 Fixed rules name a host and a path: such a rule fits that host and all its subdomains where the path starts with the
 rule's; of several the longest (host and path together) wins, and it overrules what was mined.
 
@@ -17,21 +22,21 @@ gives an empty result; input columns named like an output are replaced.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from functools import reduce
+from itertools import combinations
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractloom.llm.common import bounded_sample
+from tractloom.llm.common import bounded_sample, settle
 
 BLOCK = "label=block"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.001, 0.6
-MIN_URLS = 25  # a combination in fewer urls is no rule, however small the table
-EVERYWHERE = 0.95
+MIN_URLS = 3  # a combination in fewer urls is no rule, however small the table
 MOST_LABELLED = 200_000
-MOST_RULES = 5_000
 LONGEST = 3
 
 
@@ -54,44 +59,71 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """The distinct tokens of a url: words of its host and path, how it ends, its query keys and scheme.
-
-    A host is the combination of its words, so it needs no token of its own; numbers differ in every url and give none.
-    """
+    """The distinct tokens of a url. Numbers count by kind, as each is seen but once."""
     host, path = host_of(url), ascii_lower(path_of(url))
     query = F.regexp_extract(after_scheme(url), "\\?([^#]*)", 1)
+    labels = F.split(host, "\\.")
+    suffixes = F.transform(labels, lambda x, i: F.concat(F.lit("site="), F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
     parts = F.transform(F.regexp_extract_all(host, F.lit("([^.\\-]+)"), 1), lambda x: F.concat(F.lit("host="), x))
-    words = F.transform(F.filter(F.regexp_extract_all(path, F.lit("([^/\\-_.]+)"), 1), lambda x: ~x.rlike("^[0-9]+$")), lambda x: F.concat(F.lit("path="), x))
+    words = F.transform(F.regexp_extract_all(path, F.lit("([^/\\-_.]+)"), 1), lambda x: F.concat(F.lit("path="), F.regexp_replace(x, "[0-9]+", "0")))
     keys = F.transform(F.regexp_extract_all(query, F.lit("([^&=]+)(=[^&]*)?"), 1), lambda x: F.concat(F.lit("query="), x))
     scheme = F.array(F.concat(F.lit("scheme="), F.regexp_extract(F.coalesce(url, F.lit("")), "^([A-Za-z]+)://", 1)))
     end = F.array(F.when(path.endswith("/"), F.lit("end=/")).otherwise(F.concat(F.lit("end="), F.regexp_extract(path, "\\.([a-z0-9]{1,5})$", 1))))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(parts, words, keys, scheme, end)))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, parts, words, keys, scheme, end)))
+
+
+def without_each(items: Column, size: int) -> Column:
+    """The subsets of an array of `size` items that have one item less, in the same order."""
+    return F.array(*[F.array(*[items[i] for i in range(size) if i != gone]) for gone in range(size)])
+
+
+def grown(paths: DataFrame, least: int, longest: int = LONGEST) -> list[DataFrame]:
+    """For each size up to `longest` the sets (set, n, n_block) in at least `least` blocked urls, none equivalent to a
+    subset, from (path array, n, n_block): FP-growth by conditional paths, which are rows. They are settled."""
+    counts = F.sum("n").alias("n"), F.sum("n_block").alias("n_block")
+    found: list[DataFrame] = []
+    base = paths.select(F.array().cast("array<string>").alias("set"), F.col("path").alias("before"), "n", "n_block")
+    for size in range(1, longest + 1):
+        steps = base.select("set", "before", "n", "n_block", F.posexplode("before").alias("at", "token"))
+        before = F.slice("before", F.lit(1), F.col("at")) if size < longest else F.array().cast("array<string>")
+        base = steps.select(F.concat(F.array("token"), "set").alias("set"), before.alias("before"), "n", "n_block").groupBy("set", "before").agg(*counts)
+        base = settle(base) if size < longest else base
+        sets = base.groupBy("set").agg(*counts).where(F.col("n_block") >= least)
+        if found:
+            less = found[-1].select(F.col("set").alias("part"), F.col("n").alias("n_part"))
+            parts = sets.withColumn("part", F.explode(without_each(F.col("set"), size))).join(less, "part").where(F.col("n_part") > F.col("n"))
+            sets = parts.groupBy("set", "n", "n_block").agg(F.count("*").alias("k")).where(F.col("k") == size).drop("k")
+        found.append(settle(sets))
+        base = base.join(found[-1].select("set"), "set", "left_semi")
+    return found
 
 
 def mine_rules(
-    labelled: DataFrame, *, url: str = "url", block: str = "block", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-    most: int = MOST_LABELLED, most_rules: int = MOST_RULES,
+    labelled: DataFrame, *, url: str = "url", block: str = "block", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, most: int = MOST_LABELLED,
 ) -> list[dict]:
-    """Rules (tokens, confidence, support) from rows (url, block boolean); at most `most_rules`, the best ones."""
+    """All rules (tokens, confidence, support) from rows (url, block boolean) that no shorter rule at least as good implies."""
     known = labelled.where(F.col(block).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(block).alias("block"))
-    baskets = bounded_sample(known, "url", most).select(tokens_of(F.col("url")).alias("tokens"), "block").where(F.size("tokens") > 0).cache()
-    n = baskets.count()
+    baskets = bounded_sample(known, "url", most).select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), F.col("block").cast("long").alias("block")).where(F.size("tokens") > 0)
+    sets = settle(baskets.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("block").alias("n_block")))
+    n = sets.agg(F.sum("n")).first()[0]
     if not n:
         return []
-    # A token that nearly every url has tells nothing, and doubles the number of combinations.
-    common = [r.t for r in baskets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") > EVERYWHERE * n).collect()]
-    told = F.array_except("tokens", F.array(*[F.lit(t) for t in common]).cast("array<string>"))
-    items = baskets.select(F.when(F.col("block"), F.array_append(told, F.lit(BLOCK))).otherwise(told).alias("items"))
-    parts = max(2, labelled.sparkSession.sparkContext.defaultParallelism)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_URLS / n), minConfidence=min_confidence, numPartitions=parts).fit(items)
-    rules = model.associationRules.where((F.col("consequent") == F.array(F.lit(BLOCK))) & (F.size("antecedent") <= LONGEST))
-    found = [(frozenset(r.antecedent), r.confidence, r.support) for r in rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent")).limit(most_rules).collect()]
-    baskets.unpersist()
-    kept: list[dict] = []
-    for items, confidence, support in sorted(found, key=lambda x: (len(x[0]), -x[1], sorted(x[0]))):
-        if not any(k["set"] < items and k["confidence"] >= confidence for k in kept):
-            kept.append({"set": items, "tokens": sorted(items), "confidence": confidence, "support": support})
-    return [{k: v for k, v in r.items() if k != "set"} for r in kept]
+    least = max(MIN_URLS, math.ceil(min_support * n))
+    each = sets.withColumn("token", F.explode("tokens"))
+    frequent = each.groupBy("token").agg(F.sum("n_block").alias("often")).where(F.col("often") >= least)
+    path = F.transform(F.array_sort(F.collect_list(F.struct(-F.col("often"), F.col("token")))), lambda x: x["token"])
+    paths = each.join(F.broadcast(frequent), "token").groupBy("tokens", "n", "n_block").agg(path.alias("path")).groupBy("path").agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"))
+    levels = grown(paths, least)
+    confidence = F.col("n_block") / F.col("n")
+    rules = settle(reduce(DataFrame.unionByName, levels).select("set", confidence.alias("confidence"), (F.col("n_block") / n).alias("support")).where(F.col("confidence") >= min_confidence))
+    # The proper subsets of each rule, by places that it has.
+    places = [at for size in range(1, LONGEST) for at in combinations(range(LONGEST), size)]
+    parts = F.array(*[F.when((F.size("set") > max(at[-1], len(at))), F.array(*[F.get("set", F.lit(i)) for i in at])) for at in places])
+    shorter = rules.select(F.col("set").alias("part"), F.col("confidence").alias("enough"))
+    implied = rules.withColumn("part", F.explode(parts)).join(shorter, "part").where(F.col("enough") >= F.col("confidence"))
+    kept = rules.join(implied.select("set"), "set", "left_anti")
+    found = [{"tokens": sorted(r.set), "confidence": r.confidence, "support": r.support} for r in kept.collect()]
+    return sorted(found, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))
 
 
 def judge_mined(urls: DataFrame, rules: list[dict], *, url: str = "url", out: str = "mined") -> DataFrame:
