@@ -1,5 +1,7 @@
-from itertools import combinations
+import time
+from itertools import combinations, product
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tractloom.llm import licenses, urls, wrapper
@@ -44,6 +46,63 @@ def test_template_without_an_article(spark):
     assert all(got[k] == f"Story {k} is long and tells of many things {k}" for k in range(9))
 
 
+def test_slots_that_recur_are_template_and_new_ones_content(spark):
+    """No article element, no telling tags or classes: the wrapper alone decides."""
+    page = "<body><div><p>Menu {m} of the site</p></div><div><h2>Head {k}</h2><p>Story {k} tells <b>of</b> many things</p><p>and it ends {k}</p></div><div><p>Closing words {f}</p></div></body>"
+    rows = [(k, "http://e.example/", page.format(k=f"number {k}", m=k % 7, f=k % 11), "", "") for k in range(60)]
+    copies = [(100 + k, "http://e.example/", page.format(k="copied", m=k % 7, f=k % 11), "", "") for k in range(40)]
+    pages = spark.createDataFrame(rows + copies, PAGES)
+    got = {r.page_id: r.text for r in wrapper.extract(pages, wrapper.induce_wrappers(pages)).collect()}
+    for k, name in [*((k, f"number {k}") for k in range(60)), *((100 + k, "copied") for k in range(40))]:
+        assert got[k] == f"Head {name}\nStory {name} tells of many things\nand it ends {name}"
+
+
+def test_two_kinds_of_pages_of_a_host(spark):
+    """Each frame has a seed of its own, so a host's template is told on both of its kinds of pages."""
+    rows = [(k, "http://f.example/", f"<body><div>Same top</div><article><p>Text {k} that is told once</p></article></body>", "", "") for k in range(8)]
+    rows += [(50 + k, "http://f.example/", f"<body><table><tr><td>Same cell</td></tr></table><article><p>Fixed lead <i>in</i></p><p>Other {k} that is told once and is longer</p></article></body>", "", "") for k in range(8)]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r.page_id: r.text for r in wrapper.extract(pages, wrapper.induce_wrappers(pages)).collect()}
+    assert all(got[k] == f"Text {k} that is told once" and got[50 + k] == f"Other {k} that is told once and is longer" for k in range(8))
+
+
+def test_class_words_on_body_and_article():
+    text = "hello this is the article and all of the page"
+    for page in (f"<body class='home has-sidebar'><article><p>{text}", f"<body class='no-sidebar'><p>{text}", f"<article class='post related'>{text}", f"<div class='widget'><p>{text}</div><p>x", f"<form id=f><div><p>{text}</form>"):
+        assert text in wrapper.plain(wrapper.parse(page)), page
+    assert wrapper.plain(wrapper.parse(f"<body><p>{text}<div class='share-price'>1.25</div><math>x</math></body>")) == f"{text}\n1.25\nx"
+    assert wrapper.plain(wrapper.parse(f"<body><p>{text}</p><div class='related'>More</div><span class='ad'>Buy</span> tail 1 < 2</body>")) == f"{text}\ntail 1 < 2"
+
+
+def test_deep_and_broken_pages_in_linear_time():
+    deep = wrapper.parse("<div>" * 3000 + "<p>bottom</p>" + "</div>" * 3000)
+    other = wrapper.parse("<div>" * 2500 + "<p>bottom</p><ul><li>x</ul>" + "</div>" * 2500)
+    assert wrapper.plain(deep) == "bottom" and len(wrapper.matched(deep, other, {})) > 2000
+    begun = time.perf_counter()
+    for broken in ("<a ", '<a title="', "<a title=\"x' ", "</b></i>", "<p><b>", "<li><ul>", "<!-- ", "<", "</", "<script>", "<table><tr><td>"):
+        text = broken * (1_000_000 // len(broken))
+        wrapper.plain(wrapper.parse(text))
+    assert time.perf_counter() - begun < 120
+
+
+def test_long_alignments_are_exact():
+    rng = np.random.default_rng(5)
+    for n, m in ((1, 9), (40, 60), (90, 70)):
+        xs, ys, weights = rng.integers(0, 6, n), rng.integers(0, 5, m), rng.integers(0, 9, (6, 5))
+        table = np.zeros((n + 1, m + 1), dtype=int)
+        for i, j in product(range(n), range(m)):
+            table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j], table[i, j] + weights[xs[i], ys[j]])
+        for cells in (1, 50, 10**9):
+            wrapper.TABLE_CELLS, before = cells, wrapper.TABLE_CELLS
+            found = wrapper.best_pairs(xs, ys, weights)
+            wrapper.TABLE_CELLS = before
+            assert sum(weights[xs[i], ys[j]] for i, j in found) == table[n, m]
+            assert all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:], strict=False))
+    long = "<body>" + "".join(f"<h{k % 6 + 1}>a</h{k % 6 + 1}>" for k in range(6000)) + "</body>"
+    back = "<body>" + "".join(f"<h{k % 5 + 1}>a</h{k % 5 + 1}>" for k in range(6000)) + "</body>"
+    assert len(wrapper.matched(wrapper.parse(long), wrapper.parse(back), {})) > 3000
+
+
 def slow_match(a, b):
     """Simple tree matching as published: a full table over the children."""
     if a.key != b.key:

@@ -1,23 +1,31 @@
 """HTML main-text extraction by wrapper induction.
 
-Pages of a host come from few templates. One page of each host, that of the smallest content hash, is its seed. Every
-page's DOM tree is aligned with its host's seed by simple tree matching (nodes match if their tag and class agree, and
-children align in order so that the number of matched nodes is greatest). Over all pages of the host, the text below
-each seed node is seen to be constant or to vary: constant nodes are template, varying ones slots. Extraction aligns a
-page again, takes its content region (the article or main element, else the body), drops what is template there and
-what is a menu, header, footer, sidebar, notice, advert, form, script, style or comment list by its tag, class, id or
-role, and gives the remaining blocks.
-
-A node is template only where that can be told: on at least MIN_PAGES pages, matched on nearly all of them, in a
-host whose content region varies for the most part. Pages with a region but no usable wrapper are extracted by region.
-
-Learning sees all pages: each partition folds its own before the shuffle, so a host with a third of all pages sends a
-row per seed node and partition. Wrappers are broadcast while the seeds are under a checked size, else joined by host.
+Pages of a host come from few templates. The pages of a host that have the same frame (the kinds of elements that the
+body, or the only box in it, is made of) share a seed, the page of the smallest content hash. Every page's DOM tree, of
+block elements, is aligned with its seed by simple tree matching: nodes match if their tag and class agree, and children
+align in order so that the number of matched nodes is greatest. Each seed node is a slot, and over all pages of the seed
+it is counted how the texts of a slot repeat:
+
+* template: one text on nearly all pages, or texts that recur between pages (a menu, notice or footer drawn from some);
+* content: at least CONTENT_PAGES pages, and hardly a text that recurs;
+* undecided: too few pages, or in between.
+
+The most frequent text of a slot is not counted as recurring unless it is on nearly all pages, so many copies of one
+article do not make an article a template. Extraction aligns a page again: template slots go, and content slots stay
+inside and outside of the article or main element. What is undecided stays only inside of it. A page's own marks hold
+beside the wrapper: elements that are no article by their tag (nav, header, footer, aside, script, ...) go, and so does
+what a class, id or role calls a menu, advert, notice and the like, or a form, unless it is the body or the article or
+holds most of the page's text. Slots of the region are not taken for template where they would be half of it or more,
+as is so on hosts of copies.
+
+Learning sees all pages, each once; a partition sums its own repeats before the shuffle. Wrappers are broadcast while
+the seeds are under a checked size, else joined by host and frame. Alignment is exact at any size: long child lists go
+through numpy rows in linear space (Hirschberg). Parsing takes time linear in the page, and depth is not limited.
 
 Defined cases: null or empty html gives an empty text; a null url or one without a host belongs to the host ''; repeated
 pages count as often as they are; a page without tags is one block; broken, unclosed and nested tags are closed as
-browsers would for the common cases; an empty table gives an empty result; an input column named like the output is
-replaced.
+browsers would for the common cases, and what an unclosed tag, comment or script swallows is no text; an empty table
+gives an empty result; an input column named like the output is replaced.
 """
 
 from __future__ import annotations
@@ -25,116 +33,206 @@ from __future__ import annotations
 import html as html_lib
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractloom.llm.common import settle
 from tractloom.llm.urls import host_of
 
 MIN_PAGES = 5
-MATCHED_SHARE = 0.9
+CONTENT_PAGES = 20
+CONSTANT_SHARE, RECURRING_SHARE, VARYING_SHARE = 0.9, 0.25, 0.08
 MAX_BROADCAST_SEED_CHARS = 24_000_000
-MAX_DP_CELLS = 40_000
+TABLE_CELLS = 4_000_000  # larger alignments are split in two (exactly) until they fit
+TREES, PAIRS = 256, 100_000  # what a task remembers of parsed seeds and matched pairs
 # Element kinds of HTML, and what marks an element as not part of the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea title".split())
+RAW = frozenset("script style noscript template iframe textarea title".split())
 BLOCKS = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BARRIERS = frozenset("ul ol dl table select html body".split())
-NOT_ARTICLE = frozenset("nav header footer aside form button select input label script style noscript template iframe svg math textarea title head dialog menu".split())
+CROSSING = frozenset("article main section div nav aside footer header form".split())
+NOT_ARTICLE = frozenset("nav header footer aside button select input label script style noscript template iframe svg textarea title head dialog menu".split())
 NOT_ARTICLE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments disqus cookie cookies notice consent newsletter subscribe popup modal share sharing social related widget toolbar".split()
+    "ad ads advert adverts advertisement banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments disqus cookie cookies notice consent newsletter subscribe popup modal sharing social related widget toolbar".split()
 )
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STOP = re.compile("[>\"']")
+DIGITS = re.compile("[0-9]+")
+ATTRIBUTE = re.compile(r"""(?:\A|[\s/"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
+TEMPLATE, CONTENT = 1, 2
 
 
 class Node:
-    __slots__ = ("children", "elements", "key", "kind", "sign", "size", "tag")
+    """An element: `elements` are the block elements below it with no other between, `own` is the text of the rest."""
+
+    __slots__ = ("block", "children", "elements", "key", "marked", "number", "own", "region", "sign", "size", "tag", "text_hash", "words")
 
     def __init__(self, tag: str, attributes: str) -> None:
-        self.tag, self.children, self.elements = tag, [], []
+        self.tag, self.children = tag, []
         found = {}
         if "=" in attributes:
             for m in ATTRIBUTE.finditer(attributes):
                 found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
-        self.key = f"{tag}.{found['class']}" if "class" in found else tag
+        self.key = f"{tag}.{DIGITS.sub('0', found['class'])}" if "class" in found else tag
         words = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}") if found else ()
-        self.kind = ""
-        if tag in NOT_ARTICLE or not NOT_ARTICLE_WORDS.isdisjoint(words) or found.get("role") in NOT_ARTICLE_ROLES:
-            self.kind = "out"
-        elif tag in ("article", "main") or found.get("role") in ("main", "article"):
-            self.kind = "region"
+        self.region = tag in ("article", "main") or found.get("role") in ("main", "article")
+        self.marked = not self.region and tag != "body" and (tag == "form" or not NOT_ARTICLE_WORDS.isdisjoint(words) or found.get("role") in NOT_ARTICLE_ROLES)
+        self.block = tag in BLOCKS or self.marked
+
+
+class Stack:
+    """The open elements, with the places of each tag, so that closing never searches."""
+
+    def __init__(self, root: Node) -> None:
+        self.open, self.at, self.barriers, self.blocks = [root], {"html": [0]}, [0], [0]
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in BARRIERS:
+            self.barriers.append(len(self.open))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        self.open.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close everything from a place on; the root stays."""
+        place = max(place, 1)
+        while len(self.open) > place:
+            node = self.open.pop()
+            self.at[node.tag].pop()
+            if node.tag in BARRIERS:
+                self.barriers.pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, tag: str) -> int:
+        places = self.at.get(tag)
+        return places[-1] if places else -1
+
+    def close(self, tag: str) -> None:
+        place = self.last(tag)
+        if place > 0 and (tag in BARRIERS or tag in CROSSING or place > self.barriers[-1]):
+            self.cut(place)
+
+    def make_room(self, tag: str) -> None:
+        """Close what the start of this tag closes."""
+        if tag == "body":  # what an unclosed head left open ends here
+            self.cut(1)
+        if tag in BLOCKS:
+            p = self.last("p")
+            if p > 0 and p >= self.blocks[-1]:
+                self.cut(p)
+        if tag in CLOSES:
+            wall, first = self.barriers[-1], len(self.open)
+            for t in CLOSES[tag]:
+                for place in reversed(self.at.get(t, ())):
+                    if place <= wall:
+                        break
+                    first = min(first, place)
+            self.cut(first)
+
+
+def tag_end(text: str, at: int, never: dict[str, int]) -> int:
+    """Where the tag's > is, quoted values skipped; -1 without one. `never` keeps from where on a mark is not found."""
+    while True:
+        m = STOP.search(text, at)
+        if m is None:
+            return -1
+        if m[0] == ">":
+            return m.start()
+        at = m.end()
+        if text[max(m.start() - 64, 0) : m.start()].rstrip().endswith("="):
+            if never.get(m[0], len(text)) <= at:
+                continue  # a quote that is never closed is no quote
+            end = text.find(m[0], at)
+            if end < 0:
+                never[m[0]] = at
+                continue
+            at = end + 1
 
 
 def parse(text: str) -> Node:
     """The DOM tree of a page, below a root of its own. Text stays undecoded; raw elements keep no text."""
     root = Node("html", "")
-    stack = [root]
-    at, n = 0, len(text)
+    stack = Stack(root)
+    at, n, never = 0, len(text), {}
     while at < n:
-        m = TOKEN.search(text, at)
-        if m is None:
-            stack[-1].children.append(text[at:])
+        start = text.find("<", at)
+        if start < 0:
+            stack.open[-1].children.append(text[at:])
             break
-        if m.start() > at:
-            stack[-1].children.append(text[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        if start > at:
+            stack.open[-1].children.append(text[at:start])
+        mark = text[start + 1 : start + 2]
+        if mark in ("!", "?"):
+            comment = text.startswith("<!--", start)
+            end = text.find("-->" if comment else ">", start + 2)
+            at = n if end < 0 else end + (3 if comment else 1)
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in BARRIERS and tag not in BARRIERS and tag not in ("article", "main", "section", "div", "nav", "aside", "footer", "header", "form"):
-                    break
+        closing = mark == "/"
+        m = NAME.match(text, start + 1 + closing)
+        if m is None:  # no tag: the mark itself is text
+            stack.open[-1].children.append("<")
+            at = start + 1
             continue
-        if tag in ("html", "body", "head"):
-            if tag == "body":  # what an unclosed head left open ends here
-                del stack[1:]
-            if tag == "html":
-                continue
-        if tag in BLOCKS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
-        if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in BARRIERS:
-                    break
-                if stack[i].tag in CLOSES[tag]:
-                    del stack[i:]
-        node = Node(tag, m[3] or "")
-        stack[-1].children.append(node)
+        end = tag_end(text, m.end(), never)
+        if end < 0:
+            break
+        at, tag, attributes = end + 1, m[0].lower(), text[m.end() : end]
+        if closing:
+            if tag not in ("html", "body"):  # what comes after the body belongs to it
+                stack.close(tag)
+            continue
+        if tag == "html":
+            continue
+        stack.make_room(tag)
+        node = Node(tag, attributes)
+        stack.open[-1].children.append(node)
         if tag in RAW:
             end = RAW_END[tag].search(text, at)
-            at = end.end() if end else n
-        elif tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append(node)
+            at = n if end is None else text.find(">", end.end() - 1) + 1 or n
+        elif tag not in VOID and not attributes.endswith("/"):
+            stack.push(node)
     finish(root)
     return root
 
 
 def finish(root: Node) -> None:
-    """Element children, signature and number of nodes of every node, from the leaves up."""
-    order = [root]
-    for node in order:
-        node.elements = [c for c in node.children if type(c) is Node and c.tag != "br"]
-        order.extend(node.elements)
+    """Block children, own text, signature, size and text hash of every node, from the leaves up."""
+    order, stack = [], [root]
+    while stack:  # every block element in document order, with its own text and block children
+        node = stack.pop()
+        node.number = len(order)
+        order.append(node)
+        node.elements, parts = [], []
+        inner = list(reversed(node.children))
+        while inner:
+            c = inner.pop()
+            if type(c) is str:
+                parts.append(c)
+            elif c.block:
+                node.elements.append(c)
+                parts.append(" ")
+            elif c.tag == "br":
+                parts.append(" ")
+            elif c.tag not in NOT_ARTICLE:
+                inner.extend(reversed(c.children))
+        node.own = " ".join("".join(parts).split())
+        stack.extend(reversed(node.elements))
     for node in reversed(order):
         node.size = 1 + sum(c.size for c in node.elements)
-        node.sign = node.key if not node.elements else hash((node.key, *(c.sign for c in node.elements)))
+        node.words = len(node.own) + sum(c.words for c in node.elements)
+        node.sign = node.key if not node.elements else xxhash.xxh64_intdigest("\0".join([node.key, *(str(c.sign) for c in node.elements)]))
+        own = xxhash.xxh64_intdigest(node.own.encode("utf-8", "surrogatepass")) if node.own else 0
+        node.text_hash = own if not node.elements else xxhash.xxh64_intdigest(repr([own, *(c.text_hash for c in node.elements if c.words)])) if node.words else 0
 
 
 def preorder(root: Node) -> list[Node]:
@@ -146,98 +244,159 @@ def preorder(root: Node) -> list[Node]:
     return out
 
 
+def trimmed(xs: list[Node], ys: list[Node]) -> tuple[int, int, int]:
+    """How many equal nodes both lists start with, and the ends of what is left of each before an equal tail."""
+    a, x_end, y_end = 0, len(xs), len(ys)
+    while a < x_end and a < y_end and xs[a].sign == ys[a].sign:
+        a += 1
+    while x_end > a and y_end > a and xs[x_end - 1].sign == ys[y_end - 1].sign:
+        x_end, y_end = x_end - 1, y_end - 1
+    return a, x_end, y_end
+
+
+def missing_pairs(a: Node, b: Node, known: dict) -> list[tuple[Node, Node]]:
+    """The pairs of children whose match sizes are needed for this pair and not known."""
+    start, x_end, y_end = trimmed(a.elements, b.elements)
+    xs = {x.sign: x for x in a.elements[start:x_end]}.values()
+    by_key: dict[str, dict] = {}
+    for y in b.elements[start:y_end]:
+        by_key.setdefault(y.key, {})[y.sign] = y
+    return [(x, y) for x in xs for y in by_key.get(x.key, {}).values() if x.sign != y.sign and (x.sign, y.sign) not in known]
+
+
 def match_size(a: Node, b: Node, known: dict) -> int:
-    """Nodes that simple tree matching pairs below and with a and b."""
+    """Nodes that simple tree matching pairs below and with a and b; from the leaves up, without recursion."""
     if a.key != b.key:
         return 0
     if a.sign == b.sign:
         return a.size
-    at = (a.sign, b.sign)
-    if at not in known:
-        known[at] = 1 + sum(match_size(x, y, known) for x, y in align(a.elements, b.elements, known))
-    return known[at]
+    stack = [(a, b, False)]
+    while stack:
+        x, y, ready = stack.pop()
+        if (x.sign, y.sign) in known:
+            continue
+        if ready:
+            known[x.sign, y.sign] = 1 + sum(size_of(p, q, known) for p, q in align(x.elements, y.elements, known))
+        else:
+            stack.append((x, y, True))
+            stack.extend((p, q, False) for p, q in missing_pairs(x, y, known))
+    return known[a.sign, b.sign]
+
+
+def size_of(x: Node, y: Node, known: dict) -> int:
+    return 0 if x.key != y.key else x.size if x.sign == y.sign else known[x.sign, y.sign]
 
 
 def align(xs: list[Node], ys: list[Node], known: dict) -> list[tuple[Node, Node]]:
-    """Pairs in order with the greatest total match; equal heads and tails are paired at once."""
-    pairs = []
-    a, b, x_end, y_end = 0, 0, len(xs), len(ys)
-    while a < x_end and b < y_end and xs[a].sign == ys[b].sign:
-        pairs.append((xs[a], ys[b]))
-        a, b = a + 1, b + 1
-    tail = []
-    while x_end > a and y_end > b and xs[x_end - 1].sign == ys[y_end - 1].sign:
-        x_end, y_end = x_end - 1, y_end - 1
-        tail.append((xs[x_end], ys[y_end]))
-    n, m = x_end - a, y_end - b
-    if n and m:
-        if n * m > MAX_DP_CELLS:  # very long lists: in order by key
-            j = b
-            for i in range(a, x_end):
-                k = next((k for k in range(j, y_end) if ys[k].key == xs[i].key), None)
-                if k is not None:
-                    pairs.append((xs[i], ys[k]))
-                    j = k + 1
-        else:
-            best = [[0] * (m + 1) for _ in range(n + 1)]
-            for i in range(n - 1, -1, -1):
-                row, below, x = best[i], best[i + 1], xs[a + i]
-                for j in range(m - 1, -1, -1):
-                    y = ys[b + j]
-                    w = match_size(x, y, known) if x.key == y.key else 0
-                    row[j] = max(below[j], row[j + 1], w + below[j + 1] if w else 0)
-            i = j = 0
-            while i < n and j < m:
-                if best[i][j] == best[i + 1][j]:
-                    i += 1
-                elif best[i][j] == best[i][j + 1]:
-                    j += 1
-                else:
-                    pairs.append((xs[a + i], ys[b + j]))
-                    i, j = i + 1, j + 1
-    pairs.extend(reversed(tail))
-    return pairs
+    """Pairs in order with the greatest total match; equal heads and tails are paired at once. Sizes must be known."""
+    a, x_end, y_end = trimmed(xs, ys)
+    middle_x, middle_y = xs[a:x_end], ys[a:y_end]
+    pairs = list(zip(xs[:a], ys[:a], strict=True))
+    if middle_x and middle_y:
+        signs_x, signs_y = {x.sign: x for x in middle_x}, {y.sign: y for y in middle_y}
+        weights = np.array([[size_of(x, y, known) for y in signs_y.values()] for x in signs_x.values()], dtype=np.int64)
+        place_x, place_y = {s: i for i, s in enumerate(signs_x)}, {s: i for i, s in enumerate(signs_y)}
+        found = best_pairs(np.array([place_x[x.sign] for x in middle_x]), np.array([place_y[y.sign] for y in middle_y]), weights)
+        pairs += [(middle_x[i], middle_y[j]) for i, j in found]
+    return pairs + list(zip(xs[x_end:], ys[y_end:], strict=True))
+
+
+def scores(xs: np.ndarray, ys: np.ndarray, weights: np.ndarray, keep: bool = False) -> np.ndarray:
+    """The last row (all rows if keep) of the table of best totals of beginnings of xs with beginnings of ys."""
+    row = np.zeros(len(ys) + 1, dtype=np.int64)
+    rows = [row] if keep else None
+    for x in xs:
+        w = weights[x][ys]
+        new = np.maximum(row[1:], np.where(w > 0, w + row[:-1], 0))
+        row = np.concatenate(([0], np.maximum.accumulate(new)))
+        if keep:
+            rows.append(row)
+    return np.array(rows) if keep else row
+
+
+def best_pairs(xs: np.ndarray, ys: np.ndarray, weights: np.ndarray) -> list[tuple[int, int]]:
+    """Places (i, j) in order of the greatest total weight; lists too long for a table are halved exactly."""
+    out, todo = [], [(0, len(xs), 0, len(ys))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a > 1 and (b - a) * (d - c) > TABLE_CELLS:
+            half = (a + b) // 2
+            ahead = scores(xs[a:half], ys[c:d], weights) + scores(xs[half:b][::-1], ys[c:d][::-1], weights)[::-1]
+            cut = c + int(np.argmax(ahead))
+            todo += [(half, b, cut, d), (a, half, c, cut)]
+            continue
+        table = scores(xs[a:b], ys[c:d], weights, keep=True)
+        i, j, found = b - a, d - c, []
+        while i and j:
+            if table[i, j] == table[i - 1, j]:
+                i -= 1
+            elif table[i, j] == table[i, j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((a + i, c + j))
+        out += reversed(found)
+    return out
 
 
 def matched(page: Node, seed: Node, known: dict) -> list[tuple[Node, Node]]:
     """All pairs (page node, seed node) of the simple tree matching of two trees."""
+    if len(known) > PAIRS:
+        known.clear()
+    if page.sign != seed.sign:
+        match_size(page, seed, known)
     out, stack = [], [(page, seed)]
     while stack:
         x, y = stack.pop()
         out.append((x, y))
         if x.elements and y.elements:
-            stack.extend(align(x.elements, y.elements, known))
+            stack.extend(zip(x.elements, y.elements, strict=True) if x.sign == y.sign else align_known(x, y, known))
     return out
 
 
-def own_text(node: Node) -> str:
-    return " ".join(" ".join(c for c in node.children if type(c) is str).split())
+def align_known(x: Node, y: Node, known: dict) -> list[tuple[Node, Node]]:
+    """align() of the children, after what it needs was made sure of."""
+    for p, q in missing_pairs(x, y, known):
+        match_size(p, q, known)
+    return align(x.elements, y.elements, known)
+
+
+def body_of(root: Node) -> Node:
+    return next((c for c in root.elements if c.tag == "body"), root)
+
+
+def frame(root: Node) -> str:
+    """The kinds of elements of the body, or of the only element that holds all its text, as one text."""
+    node = body_of(root)
+    while len(node.elements) == 1 and node.elements[0].words == node.words and node.elements[0].elements and not node.elements[0].region:
+        node = node.elements[0]
+    return " ".join(sorted({c.key for c in node.elements if c.words}))
 
 
 def region_of(root: Node) -> Node:
-    """The outermost article or main with the most text, not inside what is left out; else the body; else all."""
-    found, stack, body = [], [root], root
+    """The outermost article or main with the most text, not inside what is left out by tag; else the body; else all."""
+    found, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.kind == "out":
+        if node.tag in NOT_ARTICLE:
             continue
-        if node.kind == "region":
+        if node.region:
             found.append(node)
             continue
-        if node.tag == "body":
-            body = node
         stack.extend(node.elements)
-    inner = [x for f in found for x in [f, *(c for c in preorder(f)[1:] if c.kind == "region" and f.tag == "main")]]
+    inner = [x for f in found for x in ([f] if f.tag != "main" else [c for c in preorder(f) if c.region])]
     articles = [x for x in inner if x.tag == "article"] or inner
-    if not articles:
-        return body
-    if len(articles) > 1:
-        return max(articles, key=lambda x: sum(len(own_text(c)) for c in preorder(x)))
-    return articles[0]
+    return max(articles, key=lambda x: x.words, default=body_of(root))
 
 
-def blocks(region: Node, template: set[int] = frozenset()) -> list[str]:
-    """Texts of the blocks of a region in page order, without template nodes (by id) and what is no article."""
+def blocks(root: Node, verdicts: dict[int, int]) -> list[str]:
+    """Texts of the blocks of a page in order, by the verdicts on its nodes (number: TEMPLATE or CONTENT) and its marks."""
+    nodes = preorder(root)
+    region, most = region_of(root), root.words / 2
+    inside = {x.number for x in preorder(region)}
+    content = [verdicts.get(x.number) == CONTENT and not x.elements for x in nodes]
     out: list[str] = []
     parts: list[str] = []
 
@@ -247,143 +406,168 @@ def blocks(region: Node, template: set[int] = frozenset()) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list = [region]
+    stack: list = [(root, False, False)]  # a node or text, whether its text stays, whether it is below a marked element
     while stack:
-        x = stack.pop()
+        x, keep, marked = stack.pop()
         if type(x) is str:
-            parts.append(x)
-        elif x is None:
+            if keep:
+                parts.append(x)
+            continue
+        if x is None:
             flush()
-        elif x.tag == "br":
+            continue
+        if x.tag == "br":
             parts.append(" ")
-        elif x.kind == "out" and x is not region or id(x) in template:
+        if x.tag in NOT_ARTICLE or (x.block and verdicts.get(x.number) == TEMPLATE):
             if x.tag in BLOCKS:
                 flush()
-        else:
+            continue
+        if x.block:
             if x.tag in BLOCKS:
                 flush()
-                stack.append(None)
-            stack.extend(reversed(x.children))
+                stack.append((None, False, False))
+            marked = marked or (x.marked and x.words <= most and x is not region)
+            keep = not marked and (content[x.number] or x.number in inside)
+        stack.extend((c, keep, marked) for c in reversed(x.children))
     flush()
     return out
 
 
 class Wrapper:
-    """A host's seed tree and which of its nodes are template."""
+    """A seed tree and the verdicts on its nodes."""
 
-    def __init__(self, seed: str, constant: list[int]) -> None:
+    def __init__(self, seed: str, template: list[int], content: list[int]) -> None:
         self.tree, self.known = parse(seed), {}
-        nodes = preorder(self.tree)
-        inside = {id(x) for x in preorder(region_of(self.tree))}
-        held = set(constant)
-        total = sum(len(own_text(x)) for x in nodes if id(x) in inside)
-        fixed = sum(len(own_text(x)) for i, x in enumerate(nodes) if i in held and id(x) in inside)
-        self.constant = {id(nodes[i]): own_text(nodes[i]) for i in held} if 2 * fixed < total else {}
+        region, below = region_of(self.tree), 0
+        inside = {x.number for x in preorder(region)}
+        fixed, stack = set(template), [region]
+        while stack:  # the text of the region's template, each node's once
+            x = stack.pop()
+            if x.number in fixed:
+                below += x.words
+            else:
+                stack.extend(x.elements)
+        if 2 * below >= region.words:
+            fixed -= inside
+        fixed -= {x.number for x in preorder(self.tree) if x.number <= region.number < x.number + x.size}  # what holds the region
+        self.verdicts = dict.fromkeys(content, CONTENT) | dict.fromkeys(fixed, TEMPLATE)
+
+    def extract(self, tree: Node) -> str:
+        verdicts = {}
+        if self.verdicts:
+            verdicts = {x.number: self.verdicts[y.number] for x, y in matched(tree, self.tree, self.known) if y.number in self.verdicts}
+        return "\n".join(blocks(tree, verdicts))
+
+
+def plain(tree: Node) -> str:
+    """Extraction by the page's own marks alone."""
+    return "\n".join(blocks(tree, {}))
+
 
-    def extract(self, text: str) -> str:
-        tree = parse(text)
-        template = set()
-        if self.constant:
-            for x, y in matched(tree, self.tree, self.known):
-                was = self.constant.get(id(y))
-                if was and was == own_text(x) and not x.elements:
-                    template.add(id(x))
-        return "\n".join(blocks(region_of(tree), template))
+def digest(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
 
-def plain(text: str | None) -> str:
-    """Extraction by region alone."""
-    return "\n".join(blocks(region_of(parse(text)))) if text else ""
+def cached(made: dict, key, make):
+    if key not in made:
+        if len(made) >= TREES:
+            made.clear()
+        made[key] = make()
+    return made[key]
+
+
+def kept(seeds: DataFrame):
+    """Whether the seeds are small enough for a broadcast."""
+    return (seeds.agg(F.sum(F.length("seed") + 100)).first()[0] or 0) <= MAX_BROADCAST_SEED_CHARS
+
+
+def frame_column(html: Column) -> Column:
+    @F.arrow_udf("string")
+    def of(htmls: pa.Array) -> pa.Array:
+        return pa.array([frame(parse(t.as_py() or "")) for t in htmls], type=pa.string())
+
+    return of(html)
 
 
 def induce_wrappers(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """host, n_pages, seed, constant (numbers of the seed's template nodes, in preorder) for every host."""
-    read = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    seeds = settle(read.where("html <> ''").groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("html"), "html")).alias("seed"), F.count("*").alias("n_pages")))
-
-    def fold(tally: dict, trees: dict, host: str, seed: str, text: str) -> None:
-        if host not in trees:
-            if len(trees) >= 256:
-                trees.clear()
-            tree = parse(seed)
-            trees[host] = tree, {id(x): i for i, x in enumerate(preorder(tree))}, {}
-        tree, number, known = trees[host]
-        for x, y in matched(parse(text), tree, known):
-            if not x.elements and (own := own_text(x)):
-                h = xxhash.xxh64_intdigest(own.encode("utf-8", "surrogatepass")) >> 1
-                k = (host, number[id(y)])
-                t = tally.get(k)
-                if t is None:
-                    tally[k] = [1, h, h]
-                else:
-                    t[0] += 1
-                    t[1], t[2] = min(t[1], h), max(t[2], h)
+    """host, frame, n_pages, seed, template and content (numbers of the seed's block elements in preorder)."""
+    read = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("html <> ''")
+    least = F.min_by("html", F.struct(F.xxhash64("html"), "html"))
+    seeds = settle(read.withColumn("frame", frame_column(F.col("html"))).groupBy("host", "frame").agg(least.alias("seed"), F.count("*").alias("n_pages")).withColumn("slot", F.xxhash64("host", "frame")))
+    small = kept(seeds)
+    held = pages.sparkSession.sparkContext.broadcast({(r.host, r.frame): (r.slot, r.seed) for r in seeds.select("host", "frame", "slot", "seed").collect()}) if small else None
+    source = read if small else read.withColumn("frame", frame_column(F.col("html"))).join(seeds.select("host", "frame", "slot", "seed"), ["host", "frame"]).select("host", "html", "slot", "seed")
 
     def rows(tally: dict):
         items = list(tally.items())
         for a in range(0, len(items), 50_000):
             part = items[a : a + 50_000]
-            yield pa.RecordBatch.from_pydict({
-                "host": [k[0] for k, _ in part], "node": pa.array([k[1] for k, _ in part], pa.int32()), "n": pa.array([v[0] for _, v in part], pa.int64()),
-                "least": pa.array([v[1] for _, v in part], pa.int64()), "most": pa.array([v[2] for _, v in part], pa.int64()),
-            })
-
-    spec = "host string, node int, n bigint, least bigint, most bigint"
-    small = (seeds.agg(F.sum(F.length("seed"))).first()[0] or 0) <= MAX_BROADCAST_SEED_CHARS
-    if small:
-        held = pages.sparkSession.sparkContext.broadcast({r.host: r.seed for r in seeds.select("host", "seed").collect()})
-        source = read.where("html <> ''")
-    else:
-        held = None
-        source = read.where("html <> ''").join(seeds.select("host", "seed"), "host").select("host", "html", "seed")
+            columns = [[k[0] for k, _ in part], [k[1] for k, _ in part], [k[2] for k, _ in part], [n for _, n in part]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["slot", "node", "text", "n"])
 
     def learn(batches):
-        tally, trees = {}, {}
+        tally: dict[tuple, int] = {}
+        trees: dict = {}
         for b in batches:
-            hosts, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            own = [held.value[h] for h in hosts] if held is not None else b.column(2).to_pylist()
-            for h, t, s in zip(hosts, texts, own, strict=True):
-                fold(tally, trees, h, s, t)
-            if len(tally) > 500_000:
-                yield from rows(tally)
-                tally.clear()
+            for i in range(b.num_rows):
+                tree = parse(b.column(1)[i].as_py())
+                slot, seed = held.value[b.column(0)[i].as_py(), frame(tree)] if held is not None else (b.column(2)[i].as_py(), b.column(3)[i].as_py())
+                seed_tree, known = cached(trees, slot, lambda s=seed: (parse(s), {}))
+                for x, y in matched(tree, seed_tree, known):
+                    if x.words:
+                        k = (slot, y.number, x.text_hash >> 1)
+                        tally[k] = tally.get(k, 0) + 1
+                if len(tally) > 200_000:
+                    yield from rows(tally)
+                    tally.clear()
         yield from rows(tally)
 
-    seen = source.mapInArrow(learn, spec).groupBy("host", "node").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
-    fixed = seen.where("least = most").join(seeds.select("host", "n_pages"), "host").where((F.col("n_pages") >= MIN_PAGES) & (F.col("n") >= MATCHED_SHARE * F.col("n_pages")))
-    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant"))
-    return settle(seeds.join(fixed, "host", "left").select("host", "n_pages", "seed", F.coalesce("constant", F.array().cast("array<int>")).alias("constant")))
+    texts = source.mapInArrow(learn, "slot bigint, node int, text bigint, n bigint").groupBy("slot", "node", "text").agg(F.sum("n").alias("n"))
+    seen = texts.groupBy("slot", "node").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once"))
+    rest, recurring = F.col("n") - F.col("top"), F.col("n") - F.greatest("once", F.lit(0)) - F.when(F.col("top") > 1, F.col("top")).otherwise(0)
+    share = F.when(rest > 0, recurring / rest).otherwise(0.0)
+    constant = (F.col("n") >= MIN_PAGES) & (F.col("top") >= CONSTANT_SHARE * F.col("n"))
+    drawn = (recurring >= MIN_PAGES) & (share >= RECURRING_SHARE)
+    varying = (rest >= CONTENT_PAGES) & (share <= VARYING_SHARE) & ~constant
+    verdict = F.when(constant | drawn, TEMPLATE).when(varying, CONTENT)
+    judged = seen.select("slot", "node", verdict.alias("v")).where("v is not null").groupBy("slot").agg(
+        F.sort_array(F.collect_list(F.when(F.col("v") == TEMPLATE, F.col("node")))).alias("template"), F.sort_array(F.collect_list(F.when(F.col("v") == CONTENT, F.col("node")))).alias("content")
+    )  # at most one entry for each element of the seed
+    none = F.array().cast("array<int>")
+    return settle(seeds.join(judged, "slot", "left").select("host", "frame", "n_pages", "seed", F.coalesce("template", none).alias("template"), F.coalesce("content", none).alias("content")))
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, *, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
     """pages with `out`, the main text of each."""
-    if (wrappers.agg(F.sum(F.length("seed"))).first()[0] or 0) <= MAX_BROADCAST_SEED_CHARS:
-        held = pages.sparkSession.sparkContext.broadcast({r.host: (r.seed, r.constant) for r in wrappers.collect()})
+    if kept(wrappers):
+        held = pages.sparkSession.sparkContext.broadcast({(r.host, r.frame): (r.seed, r.template, r.content) for r in wrappers.select("host", "frame", "seed", "template", "content").collect()})
+        made: dict = {}
 
         @F.arrow_udf("string")
         def by_host(hosts: pa.Array, texts: pa.Array) -> pa.Array:
-            made: dict[str, Wrapper] = {}
             result = []
-            for h, t in zip(hosts.to_pylist(), texts.to_pylist(), strict=True):
-                if h in held.value and h not in made:
-                    made[h] = Wrapper(*held.value[h])
-                result.append((made[h].extract(t) if h in made else plain(t)) if t else "")
+            for h, t in zip(hosts.to_pylist(), texts, strict=True):
+                tree = parse(t.as_py() or "")
+                key = (h, frame(tree))
+                result.append(cached(made, key, lambda k=key: Wrapper(*held.value[k])).extract(tree) if key in held.value else plain(tree))
             return pa.array(result, type=pa.string())
 
         return pages.withColumn(out, by_host(host_of(F.col(url)), F.col(html)))
+    known: dict = {}
 
     @F.arrow_udf("string")
-    def by_row(hosts: pa.Array, texts: pa.Array, seeds: pa.Array, constants: pa.Array) -> pa.Array:
-        made: dict[str, Wrapper] = {}
+    def by_row(hosts: pa.Array, frames: pa.Array, texts: pa.Array, seeds: pa.Array, templates: pa.Array, contents: pa.Array) -> pa.Array:
         result = []
-        for h, t, s, c in zip(hosts.to_pylist(), texts.to_pylist(), seeds, constants, strict=True):
-            if s.is_valid and h not in made:
-                if len(made) >= 256:
-                    made.clear()
-                made[h] = Wrapper(s.as_py(), c.as_py())
-            result.append((made[h].extract(t) if h in made else plain(t)) if t else "")
+        for i, t in enumerate(texts):
+            tree = parse(t.as_py() or "")
+            if seeds[i].is_valid:
+                wrapper = cached(known, (hosts[i].as_py(), frames[i].as_py()), lambda i=i: Wrapper(seeds[i].as_py(), templates[i].as_py(), contents[i].as_py()))
+                result.append(wrapper.extract(tree))
+            else:
+                result.append(plain(tree))
         return pa.array(result, type=pa.string())
 
-    w = wrappers.select(F.col("host").alias("__host"), F.col("seed").alias("__seed"), F.col("constant").alias("__constant"))
-    joined = pages.join(w, host_of(F.col(url)) == F.col("__host"), "left")
-    return joined.withColumn(out, by_row(host_of(F.col(url)), F.col(html), F.col("__seed"), F.col("__constant"))).drop("__host", "__seed", "__constant")
+    w = wrappers.select(*[F.col(c).alias(f"__{c}") for c in ("host", "frame", "seed", "template", "content")])
+    named = pages.withColumn("__h", host_of(F.col(url))).withColumn("__f", frame_column(F.col(html)))
+    joined = named.join(w, (F.col("__h") == F.col("__host")) & (F.col("__f") == F.col("__frame")), "left")
+    return joined.withColumn(out, by_row("__h", "__f", html, "__seed", "__template", "__content")).drop("__h", "__f", "__host", "__frame", "__seed", "__template", "__content")
