@@ -111,33 +111,54 @@ def test_languages(spark):
     assert accuracy((r.lang, r.lang_pred) for r in rows) > 0.99
     odd = {r.doc_id: (r.lang_pred, r.lang_score) for r in found.where("doc_id >= 900").collect()}
     assert odd[900] == odd[901] == odd[903] == ("und", 0.0) and odd[902][0] in model.languages
-    assert L.fit_languages(docs.limit(0)).predict("the") == ("und", 0.0)
-    small = L.fit_languages(docs, max_cells=100_000)
-    assert small.order == 1 and small.predict("the ther and of")[0] == "aa"
-
-
-def test_code_lengths_are_those_of_escape_c():
-    """Against a walk over counts: the code length of each symbol from its longest seen context down."""
-    text = "abracadabra abba"
-    order, n = 2, L.SYMBOLS
-    counts = np.zeros(n ** (order + 1))
-    for c in L.codes(text, order):
-        np.add.at(counts, c, 1)
-    bits = L.code_lengths(counts, order)
-    s = [27] * order + list(text.encode().translate(L.TO_SYMBOL))
-    grams = [tuple(s[i : i + order + 1]) for i in range(len(s) - order)]
-
-    def p(context, symbol):
+    assert {r.lang_pred for r in L.identify(docs, L.fit_languages(docs.limit(0))).collect()} == {"und"}
+    assert L.identify(docs.limit(0), model).count() == 0
+    many = L.fit_languages(docs, max_part_bytes=30_000)
+    assert len(many.parts) > 3 and many.order == model.order
+    key = lambda r: (str(r.doc_id), str(r.text)[:20], r.lang_pred, round(r.lang_score, 9))
+    assert sorted(map(key, L.identify(docs, many).collect())) == sorted(map(key, found.collect()))
+
+
+def slow_bits(order, learnt, text):
+    """The code length of a text in bits, by a walk over all contexts of all learnt texts."""
+    grams = [g for t in learnt for d in [b" " * order + t.encode()] for g in (d[i : i + order + 1] for i in range(len(d) - order))]
+
+    def p(context, byte):
         if context is None:
-            return 1 / n
-        k = len(context)
-        seen = [g[order - k : order + 1] for g in grams if g[order - k : order] == context]
-        shorter = context[1:] if k else None
+            return 1 / 256
+        seen = [g[-1] for g in grams if g[order - len(context) : order] == context]
+        shorter = context[1:] if context else None
         if not seen:
-            return p(shorter, symbol)
-        hits, kinds = sum(g[-1] == symbol for g in seen), len({g[-1] for g in seen})
-        return hits / (len(seen) + kinds) if hits else kinds / (len(seen) + kinds) * p(shorter, symbol)
-
-    for context, symbol in [((0, 1), 17), ((0, 1), 1), ((0, 1), 5), ((27, 27), 0), ((25, 25), 3), ((1, 17), 0)]:
-        code = (context[0] * n + context[1]) * n + symbol
-        assert abs(bits[code] + np.log2(p(context, symbol))) < 1e-5
+            return p(shorter, byte)
+        hits, kinds = seen.count(byte), len(set(seen))
+        return hits / (len(seen) + kinds) if hits else kinds / (len(seen) + kinds) * p(shorter, byte)
+
+    d = b" " * order + text.encode()
+    return sum(-np.log2(p(d[i : i + order], d[i + order])) for i in range(len(d) - order))
+
+
+def test_whole_predictions_are_those_of_escape_c(spark):
+    """Alphabets of many languages, against brute force: every language's code length, and so the prediction and score."""
+    learnt = {"el": ["αβ βα γαβ", "γα β"], "ru": ["абв ваб баб", "ва"], "en": ["abracadabra abba", "a cab"], **{f"x{k}": [chr(97 + k) * 3 + " ab"] for k in range(9)}}
+    rows = [(k, t, lang) for k, (lang, t) in enumerate((lang, t) for lang, ts in learnt.items() for t in ts)]
+    tests = ["βαγ", "ваба", "abba cab", "\U0001f600a", "ddd", "mixed аб", "αаa"]
+    for order in (1, 3, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        model = L.fit_languages(docs, folds=1, hidden=5, order=order)
+        assert model.languages == sorted(learnt) and model.order == order
+        found = {r.text: r for r in L.identify(spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "doc_id long, text string"), model).collect()}
+        part = model.part(0)
+        for t in tests:
+            want = [slow_bits(order, learnt[lang], t) for lang in model.languages]
+            (grams, _), = L.pieces([t], order)
+            assert len(model.parts) == 1 and np.allclose(part.code(grams, order).sum(axis=0), want, rtol=1e-5)
+            share = 1 / sum(2.0 ** max(min(want) - w, -1000) for w in want)
+            assert found[t].lang_pred == model.languages[int(np.argmin(want))] and abs(found[t].lang_score - share) < 1e-4
+
+
+def test_long_texts_are_cut_without_loss(monkeypatch):
+    text = "the ther äöü" * 50
+    (whole, _), = L.pieces([text], 3)
+    monkeypatch.setattr(L, "CHUNK", 17)
+    cut = [g for g, o in L.pieces(["x", text, "", text], 3) for g, i in zip(g.tolist(), o.tolist(), strict=True) if i == 3]
+    assert cut == whole.tolist()
