@@ -88,13 +88,60 @@ def test_toxicity_learns_stems_and_generalises(spark):
 def test_clause_context_changes_weights():
     g = T.Grammar({"scum$": 4.0, "lowei": 4.0}, np.array([-4.0, 2.0, 0.0, 0.0]), 0.01)
     weight = lambda s: sum(c["weight"] for c in g.clauses(s))
-    assert weight("the scum is here.") == 4.0 and weight("you scum.") == 5.0 and weight("scums") == 0
+    assert weight("the scum is here.") == 4.0 and weight("you scum.") == weight("scum you.") == 4.0 + T.TARGETED and weight("scums") == 0
     assert weight("this is not scum") < weight("he said the scum left") < weight("the scum left")
+    assert weight("he said: \"scum\" twice") == 4.0 + T.REPORTED and weight("scum, he said") == 4.0 + T.REPORTED
+    assert weight("not one two three scum") == 4.0 and weight("not one two scum") == 4.0 + T.NEGATED
     assert weight("not here. scum!") == 4.0 and weight("Loweixyz lowei") == 8.0
-    assert weight("they kill time") == 0 and weight("i kill you") == T.THREAT_WEIGHT * T.TARGETED
+    assert weight("they kill time") == weight("not kill he said") == 0 and weight("i kill you") == T.THREAT_WEIGHT + T.TARGETED
     assert g.score("you are scum") > g.score("not scum") > g.blank
 
 
+def slow_paths(machines, symbols):
+    """All accepted paths of a cascade: every path of the first machine, each of its outputs through the next, and so on."""
+    found = [(0.0, list(symbols))]
+    for m in machines:
+        after = []
+        for w, read in found:
+            walks = [(w, [], s) for s in m.starts]
+            for symbol in read:
+                walks = [(v + more, [*out, o], to) for v, out, s in walks for o, more, to in m.arcs.get((s, symbol), ())]
+            after += [(v, out) for v, out, s in walks if s in m.finals]
+        found = after
+    return found
+
+
+@given(st.lists(st.sampled_from([*T.PLAIN, *T.HITS]), max_size=9))
+def test_composition_has_the_paths_of_the_cascade(symbols):
+    slow = slow_paths(T.machines(), symbols)
+    fast = T.composed().paths(symbols)
+    assert len(slow) == len(fast) == 1
+    assert fast[0][1] == slow[0][1] and abs(fast[0][0] - slow[0][0]) < 1e-9
+
+
+def test_lexicon_reads_the_longest_path():
+    stems = {"zorg": 3.0, "zorgal$": 5.0, "kille": 4.0, "not$": 9.0}
+    read = T.Lexicon(stems).read
+    assert read("zorgh") == ("insult", 3.0) and read("zorgal") == ("insult", 5.0) and read("zorgals") == ("insult", 3.0) and read("zor") == ("word", 0.0)
+    assert read("kill") == ("threat", 0.0) and read("killer") == ("insult", 4.0) and read("you") == ("target", 0.0) and read("yours") == ("target", 0.0) and read("not") == ("insult", 9.0)
+
+
+def test_rare_stems_are_learnt_and_chance_is_not():
+    """What the counts must be does not depend on a share of the sample; fixed against the exact binomial tail."""
+    from math import comb
+
+    for t, c, share in ((16, 0, 1 / 3), (30, 2, 1 / 3), (5, 0, 0.1), (40, 30, 0.5)):
+        tail = sum(comb(t + c, k) * share**k * (1 - share) ** (t + c - k) for k in range(t, t + c + 1))
+        assert np.exp(-T.surprise(t, c, share)) >= tail * (1 - 1e-9)
+    assert T.surprise(16, 0, 1 / 3) > np.log(10**6) and T.surprise(20, 40, 1 / 3) == 0
+
+
+def test_toxicity_of_empty_tables(spark):
+    docs, labels = corpus(spark, 60)
+    assert T.score_toxicity(docs.limit(0), T.fit_toxicity(docs.limit(0), labels)).count() == 0
+    assert T.matched_clauses(docs.limit(0), T.Grammar()).count() == 0
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = corpus(spark, 30)
     for some in (labels.limit(0), labels.where("toxic = 1")):
