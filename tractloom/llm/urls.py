@@ -1,14 +1,15 @@
 """URL filters: fixed host and path rules first, then association rules that FP-growth mined from labels.
 
-A url is a set of tokens (parts of its host, host suffixes, path words, kinds of numbers, query keys). FP-growth over
-the labelled urls finds token combinations that go with the label `block`; those of enough support and confidence, and
-not implied by a shorter rule at least as good, are kept. A rule fits a url that has all its tokens. Matching goes by an
-inverted index: each rule is filed under its rarest token alone, so a url looks only at rules filed under its tokens.
+A url is a set of tokens (parts of its host, host suffixes, path words, kinds of numbers, query keys). Spark's FP-growth
+over the urls labelled `block` finds the token combinations that enough of them share; how many other labelled urls have
+each is counted by a join on its two rarest tokens. Combinations of enough confidence that no part of them with at least
+the same confidence implies are the rules, of any length and without a limit on their number. A rule fits a url that has
+all its tokens. Matching goes by an inverted index: each rule is filed under its rarest token alone, so a url looks only
+at rules filed under its tokens.
 
-FP-growth runs over DataFrames: the paths of the tree are rows (a set, the more frequent tokens before it, its counts),
-equal ones are one row, and each step grows the sets by one token, so it ends at the longest rule and no task holds a
-tree. A set that occurs in just as many urls as one of its subsets is equivalent to that and not grown: no rule with it
-could be kept. With u tokens in a url, u + u^2 / 2 + u^3 / 6 over the support is the most rules there can be.
+Tokens that occur in exactly the same labelled urls are one token, named by the first of them, and tokens of all urls are
+none: no rule with them could be kept, and each would double the combinations. With u tokens in a url there are at most
+2^u over the support of combinations for each blocked url.
 
 Fixed rules name a host and a path: such a rule fits that host and all its subdomains where the path starts with the
 rule's; of several the longest (host and path together) wins, and it overrules what was mined.
@@ -24,20 +25,17 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from functools import reduce
-from itertools import combinations
 
 import pyarrow as pa
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractloom.llm.common import bounded_sample, settle
 
-BLOCK = "label=block"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.001, 0.6
 MIN_URLS = 3  # a combination in fewer urls is no rule, however small the table
 MOST_LABELLED = 200_000
-LONGEST = 3
 
 
 def after_scheme(url: Column) -> Column:
@@ -72,58 +70,59 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, parts, words, keys, scheme, end)))
 
 
-def without_each(items: Column, size: int) -> Column:
-    """The subsets of an array of `size` items that have one item less, in the same order."""
-    return F.array(*[F.array(*[items[i] for i in range(size) if i != gone]) for gone in range(size)])
-
-
-def grown(paths: DataFrame, least: int, longest: int = LONGEST) -> list[DataFrame]:
-    """For each size up to `longest` the sets (set, n, n_block) in at least `least` blocked urls, none equivalent to a
-    subset, from (path array, n, n_block): FP-growth by conditional paths, which are rows. They are settled."""
-    counts = F.sum("n").alias("n"), F.sum("n_block").alias("n_block")
-    found: list[DataFrame] = []
-    base = paths.select(F.array().cast("array<string>").alias("set"), F.col("path").alias("before"), "n", "n_block")
-    for size in range(1, longest + 1):
-        steps = base.select("set", "before", "n", "n_block", F.posexplode("before").alias("at", "token"))
-        before = F.slice("before", F.lit(1), F.col("at")) if size < longest else F.array().cast("array<string>")
-        base = steps.select(F.concat(F.array("token"), "set").alias("set"), before.alias("before"), "n", "n_block").groupBy("set", "before").agg(*counts)
-        base = settle(base) if size < longest else base
-        sets = base.groupBy("set").agg(*counts).where(F.col("n_block") >= least)
-        if found:
-            less = found[-1].select(F.col("set").alias("part"), F.col("n").alias("n_part"))
-            parts = sets.withColumn("part", F.explode(without_each(F.col("set"), size))).join(less, "part").where(F.col("n_part") > F.col("n"))
-            sets = parts.groupBy("set", "n", "n_block").agg(F.count("*").alias("k")).where(F.col("k") == size).drop("k")
-        found.append(settle(sets))
-        base = base.join(found[-1].select("set"), "set", "left_semi")
-    return found
+def two_first(items: Column) -> Column:
+    """The two smallest numbers of a sorted array, or the only one twice."""
+    return F.struct(items[0].alias("a"), F.coalesce(F.get(items, F.lit(1)), items[0]).alias("b"))
+
+
+def pairs_of(items: Column) -> Column:
+    """Every two numbers of a sorted array, and every one twice, as `two_first` writes them."""
+    return F.flatten(F.transform(items, lambda x, i: F.transform(F.slice(items, i + 1, F.size(items)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+
+
+def within(sets: DataFrame, wholes: DataFrame) -> DataFrame:
+    """Rows of sets (column items) with each row of wholes (column whole) that has all of it; both hold sorted numbers."""
+    keyed = wholes.withColumn("key", F.explode(pairs_of(F.col("whole"))))
+    return sets.withColumn("key", two_first(F.col("items"))).join(keyed, "key").where(F.size(F.array_except("items", "whole")) == 0).drop("key")
 
 
 def mine_rules(
     labelled: DataFrame, *, url: str = "url", block: str = "block", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, most: int = MOST_LABELLED,
 ) -> list[dict]:
     """All rules (tokens, confidence, support) from rows (url, block boolean) that no shorter rule at least as good implies."""
-    known = labelled.where(F.col(block).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(block).alias("block"))
-    baskets = bounded_sample(known, "url", most).select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), F.col("block").cast("long").alias("block")).where(F.size("tokens") > 0)
-    sets = settle(baskets.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("block").alias("n_block")))
-    n = sets.agg(F.sum("n")).first()[0]
-    if not n:
+    known = labelled.where(F.col(block).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(block).cast("long").alias("block"))
+    sample = bounded_sample(known, "url", most).select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), "block").where(F.size("tokens") > 0)
+    baskets = settle(sample.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("block").alias("n_block")))
+    total = baskets.agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block")).first()
+    if not total.n or not total.n_block:
+        return []
+    least = max(MIN_URLS, math.ceil(min_support * total.n))
+    each = baskets.withColumn("token", F.explode("tokens"))
+    same = F.sum(F.xxhash64("tokens").cast("decimal(20,0)") * F.col("n")).alias("same")  # equal for tokens of the same urls
+    counted = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"), same)
+    # At most the tokens of a url over the support: some 10,000.
+    tokens = counted.where((F.col("n_block") >= least) & (F.col("n") < total.n)).groupBy("n", "n_block", "same").agg(F.min("token").alias("token")).collect()
+    names = [r.token for r in sorted(tokens, key=lambda r: (r.n - r.n_block, r.token))]  # the rarest among other urls first
+    if not names:
         return []
-    least = max(MIN_URLS, math.ceil(min_support * n))
-    each = sets.withColumn("token", F.explode("tokens"))
-    frequent = each.groupBy("token").agg(F.sum("n_block").alias("often")).where(F.col("often") >= least)
-    path = F.transform(F.array_sort(F.collect_list(F.struct(-F.col("often"), F.col("token")))), lambda x: x["token"])
-    paths = each.join(F.broadcast(frequent), "token").groupBy("tokens", "n", "n_block").agg(path.alias("path")).groupBy("path").agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"))
-    levels = grown(paths, least)
-    confidence = F.col("n_block") / F.col("n")
-    rules = settle(reduce(DataFrame.unionByName, levels).select("set", confidence.alias("confidence"), (F.col("n_block") / n).alias("support")).where(F.col("confidence") >= min_confidence))
-    # The proper subsets of each rule, by places that it has.
-    places = [at for size in range(1, LONGEST) for at in combinations(range(LONGEST), size)]
-    parts = F.array(*[F.when((F.size("set") > max(at[-1], len(at))), F.array(*[F.get("set", F.lit(i)) for i in at])) for at in places])
-    shorter = rules.select(F.col("set").alias("part"), F.col("confidence").alias("enough"))
-    implied = rules.withColumn("part", F.explode(parts)).join(shorter, "part").where(F.col("enough") >= F.col("confidence"))
-    kept = rules.join(implied.select("set"), "set", "left_anti")
-    found = [{"tokens": sorted(r.set), "confidence": r.confidence, "support": r.support} for r in kept.collect()]
-    return sorted(found, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))
+    spark = labelled.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(names)), "item int, token string")
+    whole = F.array_sort(F.collect_list("item")).alias("whole")
+    rows = each.join(F.broadcast(numbers), "token").groupBy("tokens", "n", "n_block").agg(whole).groupBy("whole").agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"))
+    rows = settle(rows)
+    blocked = rows.where("n_block > 0").select(F.explode(F.array_repeat("whole", F.col("n_block").cast("int"))).alias("items"))
+    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total.n_block).fit(blocked).freqItemsets
+    sets = settle(found.select(F.array_sort("items").alias("items"), F.col("freq").alias("n_block")))
+    others = rows.where("n > n_block").select("whole", (F.col("n") - F.col("n_block")).alias("n_other"))
+    beside = within(sets, others).groupBy("items").agg(F.sum("n_other").alias("n_other"))
+    n = F.col("n_block") + F.coalesce("n_other", F.lit(0))
+    scored = sets.join(beside, "items", "left").select("items", (F.col("n_block") / n).alias("confidence"), (F.col("n_block") / F.lit(total.n)).alias("support"))
+    rules = settle(scored.where(F.col("confidence") >= min_confidence))
+    longer = rules.select(F.col("items").alias("whole"), F.col("confidence").alias("of_whole"))
+    implied = within(rules, longer).where((F.size("items") < F.size("whole")) & (F.col("confidence") >= F.col("of_whole"))).select(F.col("whole").alias("items"))
+    kept = rules.join(implied, "items", "left_anti").collect()
+    made = [{"tokens": sorted(names[i] for i in r["items"]), "confidence": r.confidence, "support": r.support} for r in kept]
+    return sorted(made, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))
 
 
 def judge_mined(urls: DataFrame, rules: list[dict], *, url: str = "url", out: str = "mined") -> DataFrame:
