@@ -54,6 +54,45 @@ def test_quality_is_learnt_from_its_folds_alone(spark):
     assert np.allclose(model.weights, again.weights)
 
 
+def plain_isotonic(x, y):
+    """The increasing function nearest to y, by the largest of the least means (no pools)."""
+    order = np.lexsort((y, x))
+    y = y[order]
+    n = len(y)
+    sums = np.concatenate(([0.0], np.cumsum(y)))
+    means = [[(sums[b] - sums[a]) / (b - a) if b > a else np.inf for b in range(n + 1)] for a in range(n)]
+    return x[order], np.array([max(min(means[a][b] for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)])
+
+
+def test_quality_is_that_of_a_plain_fit(spark):
+    """The whole fit in numpy on the driver: same rows, closed form, isotonic steps by definition; all scores agree."""
+    docs, labels = corpus(spark, 200, odd=False)
+    model = Q.fit_quality(docs, labels, features=24)
+    fold = fold_of(F.col("doc_id"), 4)
+    inner = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(4)) == 0
+    rows = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").where(fold != 2).select("text", "quality", inner.alias("held")).collect()
+    x, y, held = np.array([Q.statistics(r.text) for r in rows]), np.array([float(r.quality) for r in rows]), np.array([r.held for r in rows])
+    mean, scale = x.mean(axis=0), np.sqrt(np.maximum((x**2).mean(axis=0) - x.mean(axis=0) ** 2, 1e-8))
+    rng, d = np.random.default_rng(7), x.shape[1]
+    waves, phases = rng.normal(size=(d, 24)) / np.sqrt(d), rng.uniform(0, 2 * np.pi, 24)
+
+    def features(v):
+        v = np.clip((v - mean) / scale, -5, 5)
+        return np.hstack([np.ones((len(v), 1)), v, np.sqrt(2 / 24) * np.cos(v @ waves + phases)])
+
+    z = features(x[~held])
+    weights = np.linalg.solve(z.T @ z + Q.RIDGE * len(x) * np.diag([1e-6] + [1e-2] * d + [1.0] * 24), z.T @ y[~held])
+    assert np.allclose(model.weights, weights, rtol=1e-5, atol=1e-8)
+    raw = features(x[held]) @ weights
+    at, height = plain_isotonic(raw, y[held])
+    ends = [i for i in range(len(at)) if i in (0, len(at) - 1) or height[i] != height[i - 1] or height[i] != height[i + 1]]
+    size = np.array([(height == h).sum() for h in height])
+    height = (height * size + y[held].mean()) / (size + 1)
+    want = {r.text: np.interp((features(np.array([Q.statistics(r.text)])) @ weights)[0], at[ends], height[ends]) for r in docs.collect()}
+    got = Q.score_quality(docs, model).collect()
+    assert max(abs(r.quality_score - want[r.text]) for r in got) < 1e-5
+
+
 def test_quality_without_labels(spark):
     docs, labels = corpus(spark, 30)
     for some, want in ((labels.limit(0), 0.5), (labels.where("quality = 1"), 1.0)):

@@ -34,10 +34,10 @@ def sample():
     return docs, items
 
 
-@pytest.mark.parametrize("most", [D.MAX_BROADCAST_ITEM_CHARS, 0])
+@pytest.mark.parametrize("most", [D.MAX_BROADCAST_WINDOWS, 0])
 def test_both_ways_agree_with_brute_force(spark, most):
     docs, items = sample()
-    found = D.find_contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(*i, "en") for i in items], ITEMS), max_broadcast_item_chars=most)
+    found = D.find_contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(*i, "en") for i in items], ITEMS), max_broadcast_windows=most)
     rows = found.collect()
     assert len(rows) == len(docs) and set(found.columns) == {"doc_id", "text", "contamination", "extra"}
     for r in rows:
@@ -62,8 +62,8 @@ def test_empty_tables(spark):
     no_docs, no_items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
     some = spark.createDataFrame([(1, "alpha beta", "", 0)], DOCS)
     assert D.find_contamination(no_docs, no_items).count() == 0
-    for most in (D.MAX_BROADCAST_ITEM_CHARS, -1):
-        o = D.find_contamination(some, no_items, max_broadcast_item_chars=most).first().contamination
+    for most in (D.MAX_BROADCAST_WINDOWS, -1):
+        o = D.find_contamination(some, no_items, max_broadcast_windows=most).first().contamination
         assert (o.n_words, o.n_hit, list(o.item_ids), list(o.spans)) == (2, 0, [], [])
 
 

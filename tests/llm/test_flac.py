@@ -226,3 +226,16 @@ def test_documents(spark):
     assert b"".join(bytes(r.pcm) for r in pcm if r.doc_id == 4) == flac.padded(texts[4])
     assert [r.first_sample for r in pcm if r.doc_id == 4] == list(range(0, len(flac.padded(texts[4])), 16 * 576))
     assert flac.read_media(flac.add_media(d.limit(0))).count() == 0
+
+
+def test_query_is_what_sql_says_of_the_payload(spark):
+    import duckdb
+
+    from tractloom.llm.queries import media
+
+    sf = "/root/testdata/sf0.001"
+    sql = f"""WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM '{sf}/documents.parquet'),
+        p AS (SELECT doc_id, octet_length(b) AS n, b || unhex(repeat('FF', (CASE WHEN octet_length(b) = 0 THEN 576 ELSE (576 - octet_length(b) % 576) % 576 END)::INT)) AS payload FROM d)
+        SELECT doc_id, n, octet_length(payload), sha256(payload) FROM p ORDER BY ALL"""
+    got = sorted((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256) for r in media(spark, sf).collect())
+    assert got == duckdb.sql(sql).fetchall()

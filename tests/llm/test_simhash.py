@@ -92,3 +92,26 @@ def test_components_of_paths_and_stars(spark):
     roots = {r.vertex: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(roots[i] == 0 for i in range(51)) and all(roots[100 + i] == 100 for i in range(40)) and 200 not in roots
     assert connected_components(spark.createDataFrame([], "a long, b long")).where(F.lit(True)).count() == 0
+
+
+def test_frequent_keys_are_joined_alike(spark, monkeypatch):
+    """With every key, some or none above the share that goes by broadcast."""
+    rng = random.Random(8)
+    texts = ["one text that a third of all rows repeats"] * 40 + ["", None, " "] * 5 + [" ".join(rng.choices("abcdefgh", k=rng.choice([3, 12]))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = []
+    for hot in (1, 20, 10**9):
+        monkeypatch.setattr(S, "HOT", hot)
+        found.append(sorted(S.near_duplicates(docs).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts)
+
+
+def test_survivor_of_a_repeated_id_does_not_depend_on_order(spark):
+    rows = [(1, f"text number {k} of words", f"extra {k}") for k in range(6)] + [(2, "same text", "b"), (2, "same text", "a")]
+    kept = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        some = S.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string, fp string").repartition(3 + seed)).collect()
+        kept.add(tuple(sorted((r.doc_id, r.text, r.fp) for r in some)))
+    assert len(kept) == 1
+    assert [r[0] for r in next(iter(kept))] == [1, 2]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, from spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    """The cluster's checkpoint folder, from spark.checkpoint.dir. Without one a local session gets a temporary folder; on a
+    cluster that is an error, as executors would each write to a disk of their own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tractloom-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tractloom-checkpoint-"))
     return context.getCheckpointDir()
 
 

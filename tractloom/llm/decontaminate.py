@@ -2,11 +2,15 @@
 
 Words are the maximal runs of bytes that are neither ASCII punctuation nor ASCII space, after lower-casing A-Z. Every
 benchmark item gives its windows of `window` consecutive words; an item of fewer words, but not none, is one window.
-The windows form a hash set that is broadcast while its size is within a checked bound; beyond it the same windows are
-joined by a shuffle on their hash. Either way a hash match counts only after the words themselves were compared.
+The windows form a hash set that is broadcast while their number is within a checked bound; beyond it the same windows are
+joined by a shuffle on their hash, after a Bloom filter of them has let few others of the documents' windows through.
+Either way a hash match counts only after the words themselves were compared.
 
-Defined cases: a null or wordless text has 0 words and no hit; a null or wordless item is never hit; items that share a
-window are all reported; repeated documents are judged one by one; an empty table gives an empty result; an input column
+The broadcast set is three sorted arrays (hash, where the window starts among all items' words, and the item), so it takes
+some 20 bytes a window besides the items' vocabulary.
+
+Defined cases: a null or wordless text has 0 words and no hit; a null or wordless item is never hit, and an item without an
+id is none; items that share a window are all reported; repeated documents are judged one by one; an empty table gives an empty result; an input column
 named like the outcome is replaced; other extra columns are kept.
 """
 
@@ -20,8 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tractloom.llm.common import settle
+
 WINDOW = 13
-MAX_BROADCAST_ITEM_CHARS = 32_000_000
+MAX_BROADCAST_WINDOWS = 4_000_000
+MAX_BLOOM_BITS = 1 << 29
 OUTCOME = "struct<n_words:bigint,n_hit:bigint,item_ids:array<string>,spans:array<struct<start:int,end:int>>>"
 ARROW_OUTCOME = pa.struct(
     [("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
@@ -37,30 +44,50 @@ class WindowIndex:
 
     numbers: dict[bytes, int]
     powers: np.ndarray
-    hashes: dict[int, np.ndarray]
-    items: dict[bytes, list[str]]
+    words: np.ndarray  # the numbers of all items' words, one item after the other
+    hashes: dict[int, np.ndarray]  # by length, sorted
+    starts: dict[int, np.ndarray]  # where the window of a hash starts in words
+    owners: dict[int, np.ndarray]  # the place of its item in names
+    names: list[str]
 
     @classmethod
     def build(cls, rows: list[tuple[str, str | None]], window: int) -> WindowIndex:
         numbers: dict[bytes, int] = {}
         powers = np.cumprod(np.full(window, MULTIPLIER, dtype=np.uint64), dtype=np.uint64)
-        items: dict[bytes, set[str]] = {}
-        lengths: dict[int, list[np.ndarray]] = {}
+        names, parts, at = [], [], 0
+        found: dict[int, list[tuple]] = {}
         for item, text in rows:
-            words = WORD_BYTES.findall((text or "").encode().lower())
+            words = WORD_BYTES.findall((text or "").encode("utf-8", "surrogatepass").lower())
             if not words:
                 continue
-            ids = np.array([numbers.setdefault(w, len(numbers) + 1) for w in words], dtype=np.uint64)
+            ids = np.array([numbers.setdefault(w, len(numbers) + 1) for w in words], dtype=np.uint32)
             n = min(window, len(words))
-            parts = np.lib.stride_tricks.sliding_window_view(ids, n)
-            lengths.setdefault(n, []).append((parts * powers[:n]).sum(axis=1, dtype=np.uint64))
-            for part in parts:
-                items.setdefault(part.tobytes(), set()).add(item)
-        return cls(numbers, powers, {n: np.unique(np.concatenate(h)) for n, h in lengths.items()}, {k: sorted(v) for k, v in items.items()})
+            hashes = (np.lib.stride_tricks.sliding_window_view(ids, n) * powers[:n]).sum(axis=1, dtype=np.uint64)
+            found.setdefault(n, []).append((hashes, at + np.arange(len(hashes)), np.full(len(hashes), len(names), dtype=np.int32)))
+            names.append(item)
+            parts.append(ids)
+            at += len(ids)
+        index = cls(numbers, powers, np.concatenate(parts or [np.zeros(0, dtype=np.uint32)]), {}, {}, {}, names)
+        for n, some in found.items():
+            hashes, starts, owners = (np.concatenate([x[k] for x in some]) for k in range(3))
+            order = np.argsort(hashes, kind="stable")
+            index.hashes[n], index.starts[n], index.owners[n] = hashes[order], starts[order], owners[order]
+        return index
+
+    def items_of(self, n: int, place: int, ids: np.ndarray) -> list[str]:
+        """The items whose window of this hash has these words."""
+        hashes, out = self.hashes[n], []
+        h = hashes[place]
+        while place < len(hashes) and hashes[place] == h:
+            a = self.starts[n][place]
+            if (self.words[a : a + n] == ids).all():
+                out.append(self.names[self.owners[n][place]])
+            place += 1
+        return out
 
     def scan(self, text: str | None) -> dict:
         """Words, hit words, items and hit spans (code points of the text as given) of one whole document."""
-        words = WORD_BYTES.findall((text or "").encode().lower())
+        words = WORD_BYTES.findall((text or "").encode("utf-8", "surrogatepass").lower())
         ids = np.array(list(map(self.numbers.get, words, [0] * len(words))), dtype=np.uint64)
         unknown = np.concatenate(([0], np.cumsum(ids == 0)))
         edges, items = None, set()
@@ -74,8 +101,9 @@ class WindowIndex:
             for j in range(n):
                 h += ids[at + j] * self.powers[j]
             place = np.searchsorted(hashes, h)
-            for i in at[hashes[np.minimum(place, len(hashes) - 1)] == h]:
-                found = self.items.get(ids[i : i + n].tobytes())  # the exact check
+            there = hashes[np.minimum(place, len(hashes) - 1)] == h
+            for i, p in zip(at[there].tolist(), place[there].tolist(), strict=True):
+                found = self.items_of(n, p, ids[i : i + n])  # the exact check
                 if found:
                     if edges is None:
                         edges = np.zeros(len(words) + 1, dtype=np.int64)
@@ -109,6 +137,43 @@ def words_of(c: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(c, F.lit(""))), F.lit("([^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+)"), 1)
 
 
+def bloom(windows: DataFrame, n: int):
+    """A test of whether a hash may be among those of windows (column h), as a function of a column.
+
+    Two bits of a bitmap of 16 bits a window, up to MAX_BLOOM_BITS (64 MB). Each partition sets the bits of its own hashes
+    and passes on the pages of the map that it touched, so what reaches the driver is one map.
+    """
+    bits = 1 << min(max(int(16 * max(n, 1)).bit_length(), 16), MAX_BLOOM_BITS.bit_length() - 1)
+    page = 1 << 13
+
+    def places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        u = h.view(np.uint64)
+        return (u & np.uint64(bits - 1)).astype(np.int64), (u >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64)
+
+    def pages(batches):
+        own: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at in places(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)):
+                for p in np.unique(at >> 16):
+                    held = own.setdefault(int(p), np.zeros(page, dtype=np.uint8))
+                    inside = at[at >> 16 == p] & 0xFFFF
+                    np.bitwise_or.at(held, inside >> 3, (1 << (inside & 7)).astype(np.uint8))
+        for p, held in own.items():
+            yield pa.RecordBatch.from_pydict({"page": pa.array([p], pa.int32()), "held": pa.array([held.tobytes()], pa.binary())})
+
+    filled = np.zeros(max(bits >> 3, page), dtype=np.uint8)
+    for r in windows.select("h").mapInArrow(pages, "page int, held binary").toLocalIterator():
+        filled[r.page * page : (r.page + 1) * page] |= np.frombuffer(bytes(r.held), dtype=np.uint8)
+    held = windows.sparkSession.sparkContext.broadcast(filled)
+
+    @F.arrow_udf("boolean")
+    def test(h: pa.Array) -> pa.Array:
+        a, b = places(h.to_numpy(zero_copy_only=False).astype(np.int64))
+        return pa.array((held.value[a >> 3] >> (a & 7) & held.value[b >> 3] >> (b & 7) & 1).astype(bool))
+
+    return test
+
+
 def scan_by_shuffle(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, outcome: str) -> DataFrame:
     """The way beyond the broadcast bound: windows of both sides meet in a shuffle on hash and length.
 
@@ -124,7 +189,9 @@ def scan_by_shuffle(docs: DataFrame, items: DataFrame, text: str, item_id: str,
         .agg(F.collect_set("item").alias("items"))
         .withColumn("h", F.xxhash64("part"))
     )
-    lengths = sorted(r.n for r in windows.select("n").distinct().collect())  # at most `window` numbers
+    windows = settle(windows)
+    by_length = {r.n: r.k for r in windows.groupBy("n").agg(F.count("*").alias("k")).collect()}  # at most `window` numbers
+    lengths, may_be = sorted(by_length), bloom(windows, sum(by_length.values()))
     named = docs.withColumn("__words", words_of(F.col(text))).withColumn("__key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     spread = None
     for n in lengths:
@@ -137,6 +204,7 @@ def scan_by_shuffle(docs: DataFrame, items: DataFrame, text: str, item_id: str,
         return named.withColumn(outcome, empty.withField("n_words", F.size("__words").cast("long"))).drop("__words", "__key")
     hits = (
         spread.withColumn("h", F.xxhash64("part"))
+        .where(may_be(F.col("h")))
         .join(windows, ["h", "n", "part"])
         .groupBy("__key")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("found"), F.collect_set(F.struct("at", "n")).alias("runs"))
@@ -167,14 +235,17 @@ def scan_by_shuffle(docs: DataFrame, items: DataFrame, text: str, item_id: str,
 
 def find_contamination(
     docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-    outcome: str = "contamination", max_broadcast_item_chars: int = MAX_BROADCAST_ITEM_CHARS,
+    outcome: str = "contamination", max_broadcast_windows: int = MAX_BROADCAST_WINDOWS,
 ) -> DataFrame:
     """docs with a struct column `outcome`: n_words, n_hit, item_ids (sorted as text), spans (code points of the text)."""
-    chars = items.select(F.sum(F.length(item_text) + 32).alias("n")).first().n or 0
-    if chars <= max_broadcast_item_chars:
-        rows = [(r[0], r[1]) for r in items.select(F.col(item_id).cast("string"), F.col(item_text)).where(F.col(item_id).isNotNull()).collect()]
-        return scan_by_broadcast(docs, rows, text, window, outcome)
-    return scan_by_shuffle(docs, items.where(F.col(item_id).isNotNull()), text, item_id, item_text, window, outcome)
+    named = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("string").alias("__item"), F.col(item_text).alias("__text"))
+    # A word is a letter and what parts it from the next, so an item has at most half as many words and windows as bytes.
+    most = named.select(F.sum(F.octet_length("__text") / 2 + 1).alias("n")).first().n or 0
+    if most > max_broadcast_windows:
+        most = named.select(F.sum(F.size(words_of(F.col("__text")))).alias("n")).first().n or 0
+    if most <= max_broadcast_windows:
+        return scan_by_broadcast(docs, [(r[0], r[1]) for r in named.collect()], text, window, outcome)
+    return scan_by_shuffle(docs, named, text, "__item", "__text", window, outcome)
 
 
 def is_contaminated(outcome: str = "contamination") -> Column:

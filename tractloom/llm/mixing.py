@@ -6,7 +6,8 @@ in a random direction that keeps each one's expected probability, until one of t
 next duel. As mass is moved, not counts, a source's taken words never leave its target by more than the one document
 that is left over.
 
-Documents meet in blocks: about `block` of them, drawn by a hash of the id within their source, so a source with a third
+Documents meet in blocks: about `block` of them, drawn by a hash of the id and the text within their source, so rows that
+share an id, or have none, spread out by their texts, and a source with a third
 of all rows is many blocks. A block leaves one undecided document; those meet in blocks again, a level with 1/block as
 many rows each time, until a source has one left, which a last draw decides. All draws are hashes of the ids and the
 seed, so reruns agree.
@@ -141,7 +142,7 @@ def mix(
     than their share changes the probability of all others; else a small source would end one such document off.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
-    sizes = settle(docs.select(F.col(doc_id).cast("string").alias("id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size")))
+    sizes = settle(docs.select(F.col(doc_id).cast("string").alias("id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(text).alias("of_text")))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most_copies)))).otherwise(0.0)
     rates = settle(source_targets(sizes, weights, most_copies).withColumn("base", F.floor(rate + 1e-9).cast("long")).withColumn("p", F.greatest(rate - F.col("base"), F.lit(0.0))))
     few = rates.count() <= BROADCAST_SOURCES
@@ -151,7 +152,7 @@ def mix(
         return rows.join(F.broadcast(by) if few else by, F.col("source").eqNullSafe(F.col("__source")), how).drop("__source")
 
     def ready(rows: DataFrame) -> DataFrame:
-        return rows.select("source", "n_open", F.col("size").cast("double").alias("size"), F.xxhash64("id", F.lit(seed)).alias("tie"), "id", "p")
+        return rows.select("source", "n_open", F.col("size").cast("double").alias("size"), F.xxhash64("id", "of_text", F.lit(seed)).alias("tie"), "id", "p")
 
     planned = attach(sizes, rates).withColumn("large", F.col("size") * LARGE > F.col("source_size"))
     is_open = (F.col("p") > 1e-9) & (F.col("p") < 1 - 1e-9) & (F.col("size") > 0)

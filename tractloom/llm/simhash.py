@@ -6,7 +6,8 @@ code c(i) from 1 to 2^(radius+1)-1, and table v, for v in the same range, keeps
 odd number of ones in common. Any `radius` differing positions give `radius` equations over radius+1 bits, so some v
 other than 0 meets them all: in that table none of them is kept and the two fingerprints collide. No pair is missed.
 
-All of it works on distinct fingerprints, so exact copies cost nothing. A bucket of up to `block` fingerprints compares
+All of it works on distinct fingerprints, so exact copies cost nothing. Joins on fingerprints or buckets take the few keys
+with more than 1/HOT of the rows (so fewer than HOT of them) by broadcast and all others by shuffle, where no key is large. A bucket of up to `block` fingerprints compares
 its pairs; in a larger one (only of radius 2 or less) every fingerprint is dealt to the 65 centres at one bit or none
 from it instead: two fingerprints differ by two bits or fewer exactly if they share a centre, so a star for each centre
 links the same ones in linear space. Components come from the stars and pairs.
@@ -34,6 +35,7 @@ RADIUS = 2
 BITS = 64
 SEED = 42
 BLOCK = 64
+HOT = 500
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 AT_ONCE = 1 << 16
 
@@ -72,14 +74,25 @@ def masks(radius: int = RADIUS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in kept]
 
 
+def keyed_join(rows: DataFrame, keys: DataFrame, on: list[str], often: str) -> DataFrame:
+    """rows joined with keys (one row for each, `often` being how many rows have it), the frequent keys by broadcast."""
+    total = keys.agg(F.sum(often)).first()[0] or 0
+    hot = keys.where(F.col(often) * HOT > total)
+    if hot.isEmpty():
+        return rows.join(keys, on)
+    cold = keys.where(F.col(often) * HOT <= total)
+    marked = rows.join(F.broadcast(hot.select(*on, F.lit(True).alias("__hot"))), on, "left")
+    return marked.where("__hot").drop("__hot").join(F.broadcast(hot), on).unionByName(marked.where("__hot is null").drop("__hot").join(cold, on))
+
+
 def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """a, b: edges that connect exactly what pairs of distinct fingerprints (column fp) within radius connect."""
     if radius > 2:
         block = 1 << 31  # no star for these: all buckets compare pairs
     tables = F.explode(F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks(radius))]))
     dealt = fps.select("fp", tables.alias("x")).select("fp", "x.t", "x.key")
-    sizes = dealt.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = settle(dealt.join(sizes, ["t", "key"]))
+    sizes = settle(dealt.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    met = settle(keyed_join(dealt, sizes, ["t", "key"], "n"))
     small = met.where(F.col("n") <= block).groupBy("t", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     near = f"filter(slice(fps, i + 2, size(fps)), y -> bit_count(x ^ y) <= {radius})"
     pairs = small.select(F.explode(F.expr(f"flatten(transform(fps, (x, i) -> transform({near}, y -> named_struct('a', x, 'b', y))))")).alias("e")).select("e.*")
@@ -93,24 +106,27 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """doc_id, fp, component_id for every row of docs."""
     prints = settle(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text), shingle).alias("fp")))
-    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = connected_components(links(distinct.select("fp"), radius, block))
-    grouped = distinct.join(roots, distinct["fp"] == roots["vertex"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = grouped.join(named, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    linked = distinct.join(roots, distinct["fp"] == roots["vertex"]).select("fp", "least", "root")
+    named = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
+    by_root = keyed_join(linked, settle(named), ["root"], "m").select("fp", F.struct("component_id").alias("named"))
+    by_print = settle(distinct.join(by_root, "fp", "left").select("fp", F.when(F.col("named").isNotNull(), F.col("named.component_id")).otherwise(F.col("least")).alias("component_id"), "n"))
+    return keyed_join(prints, by_print, ["fp"], "n").select("doc_id", "fp", "component_id")
 
 
 def keep_representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """docs with one document of each group: the one whose id names the group.
 
-    Rows that repeat an id count as copies, and one of them stays. Of a group of null ids alone, a row per distinct
-    fingerprint stays; null ids in other groups go.
+    Rows that repeat an id count as copies, and one of them stays: the least by its text's hash and text, then by all
+    columns as text, so reruns keep the same one. Of a group of null ids alone, a row per distinct fingerprint stays; null
+    ids in other groups go.
     """
     found = near_duplicates(docs, doc_id=doc_id, text=text, **how)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    once = F.row_number().over(Window.partitionBy(doc_id).orderBy(doc_id))
-    named = docs.join(kept, F.col(doc_id) == F.col("__kept"), "left_semi").withColumn("__n", once).where("__n = 1").drop("__n")
+    everything = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"})
+    of_id = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text, F.xxhash64(everything), everything)
+    named = docs.join(kept, F.col(doc_id) == F.col("__kept"), "left_semi").withColumn("__n", F.row_number().over(of_id)).where("__n = 1").drop("__n")
     lone = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("__fp")).distinct()
     nameless = docs.where(F.col(doc_id).isNull()).withColumn("__f", fingerprint_column(F.col(text), how.get("shingle", SHINGLE)))
     nameless = nameless.join(lone, F.col("__f") == F.col("__fp"), "left_semi").dropDuplicates(["__f"]).drop("__f")
