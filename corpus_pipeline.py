@@ -31,13 +31,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays."""
+    """One document of each group of linked fingerprints stays, by the operator's own contract (3 words, 2 bits)."""
     return simhash.keep_representatives(docs).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark hit on at least one word in twenty go."""
-    return decontaminate.drop_documents(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))).select(*docs.columns)
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), outcome="__contamination")
+    return decontaminate.drop_documents(found, "__contamination").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,11 +59,25 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder as Parquet and read as the next's docs."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over documents; each result is written as Parquet and read as the next's docs.
+
+    folder: where the stages are written, by default a new one in the shared folder. A run that is given the folder of one
+    that was cut short goes on after the last stage that was written whole. A stage's files are removed when the next one
+    is written, so the last stage's stay.
+    """
     docs = table(spark, sf_dir, "documents")
-    top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}-{name}")
-        docs = spark.read.parquet(f"{top}/{k}-{name}")
+    top = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(f"{top}/{k}-{name}") for k, (name, _) in enumerate(STAGES)]
+    files = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) for p in paths]
+    first = max((k + 1 for k, d in enumerate(done) if d), default=0)
+    if first:
+        docs = spark.read.parquet(paths[first - 1].toString())
+    for k in range(first, len(STAGES)):
+        STAGES[k][1](spark, docs, sf_dir).write.mode("overwrite").parquet(paths[k].toString())
+        docs = spark.read.parquet(paths[k].toString())
+        if k:
+            files.delete(paths[k - 1], True)
     return docs
