@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline
 import duckdb
 import pytest
@@ -41,12 +43,20 @@ def test_stages(spark):
 
 
 def test_run_and_odd_rows(spark, tmp_path):
+    """Odd rows, empty tables and clashing extra columns; reruns keep the same documents and go on where they stopped."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(None, None, None, None, None), (None, "words here to keep", "en", "s", 1), (900001, None, "en", None, 0), (900002, "", None, "s", 0), (900001, None, "en", None, 0)], docs.schema)
-    docs.unionByName(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    clash = {c: F.lit("clash") for c in ("toxicity", "quality_score", "fp", "copies", "size", "contamination", "label", "n_words")}
+    docs.unionByName(odd).withColumns(clash).write.parquet(f"{tmp_path}/documents.parquet")
     for t in ("labels", "benchmark"):
-        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 100
+        spark.read.parquet(f"{SF}/{t}.parquet").withColumn("text" if t == "labels" else "doc_id", F.lit("clash")).write.parquet(f"{tmp_path}/{t}.parquet")
+    folder = f"{tmp_path}/stages"
+    first = sorted(map(str, corpus_pipeline.run(spark, str(tmp_path), folder).collect()))
+    assert len(first) > 100 and first == sorted(map(str, corpus_pipeline.run(spark, str(tmp_path), folder).collect()))
+    assert sorted(os.listdir(folder)) == ["4-mixing"]
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_all_queries_run(spark):
