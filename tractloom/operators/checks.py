@@ -6,8 +6,11 @@ lowest check_order names the error, so the first rule of a sequence is the one r
 
 from __future__ import annotations
 
+import json
+from contextlib import suppress
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +89,24 @@ def forbidden_keys(spark: SparkSession, df: DataFrame, forbidden: frozenset[str]
 
 
 def forbidden_json_keys(documents: Column, forbidden: frozenset[str]) -> Column:
-    """The forbidden keys that occur at the top level of a JSON object column, sorted."""
-    keys = F.coalesce(F.json_object_keys(documents), F.array().cast("array<string>"))
-    wanted = F.array(*[F.lit(x) for x in sorted(forbidden)])
-    return F.array_sort(F.filter(keys, lambda k: F.array_contains(wanted, F.lower(F.trim(k)))))
+    """The forbidden keys of a JSON column at any depth, inside objects and arrays, each once and sorted. Text that is no
+    JSON has none, as have null and scalars."""
+
+    @F.arrow_udf("array<string>")
+    def of(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            found, stack = set(), []
+            with suppress(ValueError, RecursionError):
+                stack.append(json.loads(t or "null"))
+            while stack:
+                x = stack.pop()
+                if isinstance(x, dict):
+                    found.update(k for k in x if k.strip().lower() in forbidden)
+                    stack.extend(x.values())
+                elif isinstance(x, list):
+                    stack.extend(x)
+            out.append(sorted(found))
+        return pa.array(out, type=pa.list_(pa.string()))
+
+    return of(documents)

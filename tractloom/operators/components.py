@@ -7,6 +7,7 @@ come to the driver: only a count and a checksum of the edges do.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -14,10 +15,14 @@ from pyspark.sql import functions as F
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write df once to the folder in spark.checkpoint.dir and read it from there; a folder of its own only if none is set."""
+    """Write df once to the folder in spark.checkpoint.dir and read it from there. Without one a local session gets a
+    temporary folder; on a cluster that is an error, as executors would each write to a disk of their own."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tractloom-checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tractloom-checkpoint-"))
     return df.checkpoint(eager=True)
 
 

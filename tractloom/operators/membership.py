@@ -172,18 +172,20 @@ def household_opportunity(members: DataFrame, evidence: DataFrame) -> DataFrame:
 def eligibility(spatial: DataFrame, households: DataFrame, quarantined: Column | None = None) -> DataFrame:
     """Status and reasons of each context from its completeness, Jaccard stress and primary-radius households.
 
+    A context without households is noncomputable, or quarantined if it is; none is lost.
+
     spatial: context_instance_id, geometric_completeness, geometric_jaccard and, if `quarantined` names one, that column.
     """
     h = households.where(F.col("radius_m") == PRIMARY_RADIUS_M).select("context_instance_id", "calculation_state", F.col("reason_code").alias("__why"))
-    j = spatial.withColumn("__q", F.coalesce(quarantined, F.lit(False)) if quarantined is not None else F.lit(False)).join(h, "context_instance_id")
+    j = spatial.withColumn("__q", F.coalesce(quarantined, F.lit(False)) if quarantined is not None else F.lit(False)).join(h, "context_instance_id", "left")
     c = F.col("geometric_completeness")
     status = (
-        F.when(F.col("__q"), "quarantined").when(F.col("calculation_state") != "complete", "noncomputable").when(c >= PRIMARY_COMPLETENESS, "primary_statistic_eligible")
+        F.when(F.col("__q"), "quarantined").when(F.coalesce(F.col("calculation_state") != "complete", F.lit(True)), "noncomputable").when(c >= PRIMARY_COMPLETENESS, "primary_statistic_eligible")
         .when(c >= SECONDARY_COMPLETENESS, "secondary_truncated_stratum").otherwise("qa_only")
     )
     j = j.withColumn("eligibility_status", status)
     s = F.col("eligibility_status")
-    first = F.when(s == "quarantined", "MODEL04_QUARANTINE").when(s == "noncomputable", F.col("__why")).when(s == "secondary_truncated_stratum", "GEOMETRIC_COMPLETENESS_0_75_TO_LT_0_90").when(s == "qa_only", "GEOMETRIC_COMPLETENESS_LT_0_75")
+    first = F.when(s == "quarantined", "MODEL04_QUARANTINE").when(s == "noncomputable", F.coalesce("__why", F.lit("HOUSEHOLD_EVIDENCE_ABSENT"))).when(s == "secondary_truncated_stratum", "GEOMETRIC_COMPLETENESS_0_75_TO_LT_0_90").when(s == "qa_only", "GEOMETRIC_COMPLETENESS_LT_0_75")
     reasons = F.array_compact(F.array(first, F.when(F.col("geometric_jaccard") >= JACCARD_STRESS, "GEOMETRIC_JACCARD_GTE_0_25")))
     flags = [(s == x).alias(x) for x in ("primary_statistic_eligible", "secondary_truncated_stratum", "qa_only", "quarantined", "noncomputable")]
     return j.select("context_instance_id", "eligibility_status", *flags, reasons.alias("reason_codes"))

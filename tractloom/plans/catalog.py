@@ -270,15 +270,15 @@ def square_tracts(p: DataFrame, half: float = HALF) -> DataFrame:
 
 
 def many_contexts(p: DataFrame) -> DataFrame:
-    """Every tenth point as an anchor."""
-    return p.where("vec_id % 10 = 0").select("market_id", F.lit("spec-1").alias("context_spec_id"), F.concat(F.lit("ctx-"), F.col("vec_id").cast("string")).alias("context_instance_id"), F.col("projected_x_m").alias("anchor_x_m"), F.col("projected_y_m").alias("anchor_y_m"))
+    """Every point as an anchor."""
+    return p.select("market_id", F.lit("spec-1").alias("context_spec_id"), F.concat(F.lit("ctx-"), F.col("vec_id").cast("string")).alias("context_instance_id"), F.col("projected_x_m").alias("anchor_x_m"), F.col("projected_y_m").alias("anchor_y_m"))
 
 
 @query(
     "anchor_tract_binding",
     f"""WITH {POINTS_SQL}, g AS (SELECT DISTINCT market_id, floor(x / {2 * HALF})::BIGINT AS i, floor(y / {2 * HALF})::BIGINT AS j FROM pts)
         SELECT 'ctx-' || p.vec_id AS context_instance_id, p.market_id || ':' || g.i || ':' || g.j AS anchor_tract_geoid FROM pts p JOIN g ON g.market_id = p.market_id
-        AND p.x BETWEEN g.i * {2 * HALF} AND (g.i + 1) * {2 * HALF} AND p.y BETWEEN g.j * {2 * HALF} AND (g.j + 1) * {2 * HALF} WHERE p.vec_id % 10 = 0""",
+        AND p.x BETWEEN g.i * {2 * HALF} AND (g.i + 1) * {2 * HALF} AND p.y BETWEEN g.j * {2 * HALF} AND (g.j + 1) * {2 * HALF}""",
 )
 def anchor_tract_binding(spark, sf_dir):
     p = points(spark, sf_dir)
@@ -294,14 +294,14 @@ def footprint_evidence(spark, sf_dir):
     return spatial.spatial_evidence(many_contexts(p), square_tracts(p))
 
 
-BOX_SQL = f"""WITH {POINTS_SQL}, c AS (SELECT vec_id, market_id, x, y FROM pts WHERE vec_id % 3 = 0),
+BOX_SQL = f"""WITH {POINTS_SQL}, c AS (SELECT vec_id, market_id, x, y FROM pts),
     pr AS (SELECT a.vec_id AS l, b.vec_id AS r, greatest(0, 16093.44 - abs(a.x - b.x)) * greatest(0, 16093.44 - abs(a.y - b.y)) AS i FROM c a JOIN c b ON a.market_id = b.market_id AND a.vec_id < b.vec_id)"""
 
 
 def box_pairs(spark, sf_dir):
     """Jaccard of the footprints' bounding boxes, a closed form in place of polygons."""
     side = 16093.44
-    c = points(spark, sf_dir).where("vec_id % 3 = 0")
+    c = points(spark, sf_dir)
     x, y = F.col("projected_x_m"), F.col("projected_y_m")
     b = spatial.dealt(c, F.struct((x - side / 2).alias("x0"), (y - side / 2).alias("y0"), (x + side / 2).alias("x1"), (y + side / 2).alias("y1")), side)
     other = b.select("market_id", "__cell", "__box", F.col("vec_id").alias("r"), x.alias("x2"), y.alias("y2"))
@@ -322,7 +322,7 @@ def box_jaccard_pairs(spark, sf_dir):
 )
 def jaccard_components(spark, sf_dir):
     roots = components.connected_components(box_pairs(spark, sf_dir).where("j >= 0.25").select(F.col("l").alias("a"), F.col("r").alias("b")))
-    c = points(spark, sf_dir).where("vec_id % 3 = 0").select("vec_id")
+    c = points(spark, sf_dir).select("vec_id")
     return c.join(roots, F.col("vec_id") == F.col("vertex"), "left").select("vec_id", F.coalesce("root", "vec_id").alias("component"))
 
 
@@ -417,10 +417,10 @@ def identity_summary(spark, sf_dir):
 # ---- text, hashes, checks -----------------------------------------------------------------------------------------
 
 
-@query("text_normalise", "SELECT doc_id, substr(regexp_replace(lower(trim(text, chr(32) || chr(9) || chr(10) || chr(13))), '[^a-z0-9]', '', 'g'), 1, 40) AS norm, length(regexp_replace(lower(text), '[^a-z0-9]', '', 'g')) AS n FROM documents")
+@query("text_normalise", "SELECT doc_id, sha256(regexp_replace(lower(text), '[^a-z0-9]', '', 'g')) AS norm_sha256, length(regexp_replace(lower(text), '[^a-z0-9]', '', 'g')) AS n FROM documents")
 def text_normalise(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", text.normalised(F.col("text")).alias("n"))
-    return d.select("doc_id", F.substring("n", 1, 40).alias("norm"), F.length("n").cast("bigint").alias("n"))
+    return d.select("doc_id", F.sha2("n", 256).alias("norm_sha256"), F.length("n").cast("bigint").alias("n"))
 
 
 @query("year_extract", "SELECT o_orderkey, year(o_orderdate)::INTEGER AS first_year, CASE WHEN o_orderkey % 3 <> 0 THEN year(o_orderdate)::INTEGER END AS only_year FROM orders")

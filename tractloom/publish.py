@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractloom.functions.canonical import canonical_bytes, commitment, content_digest
+from tractloom.functions.canonical import commitment_of, hexdigest, written
 from tractloom.operators import checks
 
 MARKER = "FROZEN"
@@ -28,7 +28,7 @@ def fingerprint(df: DataFrame) -> dict:
 
 def write_document(spark: SparkSession, path: str, document: dict) -> None:
     """A canonical JSON document as a one-line text folder; an existing one is an error."""
-    spark.createDataFrame([(canonical_bytes(document).decode(),)], "value string").coalesce(1).write.mode("errorifexists").text(path)
+    spark.createDataFrame([(written(document),)], "value string").coalesce(1).write.mode("errorifexists").text(path)
 
 
 def read_document(spark: SparkSession, path: str) -> dict:
@@ -46,7 +46,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def write_once(spark: SparkSession, path: str, document: dict) -> bool:
     """Write a document; the same one again is no change, a different one an error. Whether it was written."""
     if exists(spark, path):
-        if canonical_bytes(read_document(spark, path)) != canonical_bytes(document):
+        if written(read_document(spark, path)) != written(document):
             raise checks.ConformanceError("IMMUTABLE_DOCUMENT_DIFFERS", path)
         return False
     write_document(spark, path, document)
@@ -76,8 +76,8 @@ def publish(
     manifest = {"artifacts": artifacts, "dependencies": dependencies, "supersedes": supersedes}
     write_document(spark, f"{out}/manifest", manifest)
     if nonce is not None:
-        write_document(spark, f"{out}/commitment", {"commitment": commitment(content_digest(manifest), nonce)})
-    write_document(spark, f"{out}/{MARKER}", {"manifest_sha256": content_digest(manifest)})
+        write_document(spark, f"{out}/commitment", {"commitment": commitment_of(hexdigest(manifest), nonce)})
+    write_document(spark, f"{out}/{MARKER}", {"manifest_sha256": hexdigest(manifest)})
     return manifest
 
 
@@ -90,9 +90,9 @@ def reconcile(spark: SparkSession, out: str, nonce: bytes | None = None) -> dict
     if not is_frozen(spark, out):
         raise checks.ConformanceError("RUN_NOT_FROZEN", out)
     manifest = read_document(spark, f"{out}/manifest")
-    if read_document(spark, f"{out}/{MARKER}")["manifest_sha256"] != content_digest(manifest):
+    if read_document(spark, f"{out}/{MARKER}")["manifest_sha256"] != hexdigest(manifest):
         raise checks.ConformanceError("MANIFEST_HASH_MISMATCH", out)
-    if nonce is not None and read_document(spark, f"{out}/commitment")["commitment"] != commitment(content_digest(manifest), nonce):
+    if nonce is not None and read_document(spark, f"{out}/commitment")["commitment"] != commitment_of(hexdigest(manifest), nonce):
         raise checks.ConformanceError("COMMITMENT_MISMATCH", out)
     for name, stated in manifest["artifacts"].items():
         if fingerprint(spark.read.parquet(f"{out}/tables/{name}")) != stated:

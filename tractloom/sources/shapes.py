@@ -13,8 +13,10 @@ import zipfile
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tractloom.functions.geometry import ARROW_POLYGONS, POLYGONS, area, as_ring, locate
+from tractloom.operators import checks
 from tractloom.operators.checks import ConformanceError
 
 POLYGON_TYPES = (5, 15, 25)  # plain, with heights, with measures
@@ -145,6 +147,18 @@ def read_shapes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tracts(spark: SparkSession, path: str, fields: tuple[str, ...] = ("STATEFP", "COUNTYFP", "TRACTCE", "GEOID", "INTPTLAT", "INTPTLON")) -> DataFrame:
-    """Attributes and polygons of zipped tract files, joined by file and record number."""
+    """Attributes and polygons of zipped tract files, joined by file and record number.
+
+    A record that one of the two lacks fails the job; `record_violations` lists such records.
+    """
     a, s = read_attributes(spark, path), read_shapes(spark, path)
-    return a.join(s, ["path", "record_no"]).select("record_no", *[a["attributes"][f].alias(f) for f in fields], "polygons")
+    both = a.join(s, ["path", "record_no"], "full")
+    whole = F.when(F.col("attributes").isNull() | F.col("polygons").isNull(), F.raise_error(F.concat(F.lit("TIGER_RECORD_COUNT_MISMATCH: "), "path", F.lit(" record "), F.col("record_no").cast("string"))))
+    return both.withColumn("record_no", F.coalesce(whole.cast("bigint"), "record_no")).select("record_no", *[F.col("attributes")[f].alias(f) for f in fields], "polygons")
+
+
+def record_violations(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Records that the attributes or the polygons of a file lack."""
+    a, s = read_attributes(spark, path).select("path", "record_no"), read_shapes(spark, path).select("path", "record_no")
+    keys = ["path", "record_no"]
+    return [checks.not_covered(a, s, keys, 10, "TIGER_RECORD_COUNT_MISMATCH"), checks.not_covered(s, a, keys, 10, "TIGER_RECORD_COUNT_MISMATCH")]
