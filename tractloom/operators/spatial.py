@@ -83,22 +83,52 @@ def market_boundary(tracts: DataFrame) -> DataFrame:
     return e.groupBy("market_id", "edge").agg(F.count("*").alias("n")).where("n = 1").drop("n")
 
 
-def edge_distance(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
-    """anchor_to_market_boundary_m and footprint_edge_margin_m; the minimum is partial before its shuffle."""
-    j = contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m").join(market_boundary(tracts), "market_id")
-    d = G.segment_distance(F.col("anchor_x_m"), F.col("anchor_y_m"), F.col("edge.a"), F.col("edge.b"))
-    return j.groupBy("context_instance_id").agg(F.min(d).alias("anchor_to_market_boundary_m")).withColumn("footprint_edge_margin_m", F.col("anchor_to_market_boundary_m") - radius)
+def edge_distance(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M, size: float = 2_000.0, levels: int = 16) -> DataFrame:
+    """anchor_to_market_boundary_m and footprint_edge_margin_m.
+
+    Level k has cells of edge size * 2^k. All edges within that distance of an anchor are in the nine cells about it, so an
+    anchor that meets one so near is settled; the others, which have nothing near, go on to the next level. Anchors that
+    are not settled by the last level (65,536 times `size`) have no boundary: their market has no tract.
+    """
+    edges = settle(market_boundary(tracts).withColumn("box", F.struct(*[f(F.col(f"edge.a.{c}"), F.col(f"edge.b.{c}")).alias(f"{c}{i}") for c in "xy" for i, f in enumerate((F.least, F.greatest))])))
+    left = contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m").join(edges.select("market_id").distinct(), "market_id", "left_semi")
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    done = None
+    for k in range(levels + 1):
+        edge = size * 2**k
+        span = lambda c: F.sequence(F.floor(F.col(f"box.{c}0") / edge), F.floor(F.col(f"box.{c}1") / edge))  # noqa: E731, B023
+        dealt_edges = edges.withColumn("i", F.explode(span("x"))).withColumn("j", F.explode(span("y"))).select("market_id", "edge", "i", "j")
+        cell = [(F.floor(F.col(f"anchor_{c}_m") / edge) + F.col(f"d.{n}")).alias(n) for c, n in (("x", "i"), ("y", "j"))]
+        met = left.withColumn("d", F.explode(around)).select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m", *cell).join(dealt_edges, ["market_id", "i", "j"])
+        d = G.segment_distance(F.col("anchor_x_m"), F.col("anchor_y_m"), F.col("edge.a"), F.col("edge.b"))
+        near = settle(met.groupBy("context_instance_id").agg(F.min(d).alias("anchor_to_market_boundary_m")).where(F.col("anchor_to_market_boundary_m") <= edge))
+        done = near if done is None else done.unionByName(near)
+        left = settle(left.join(near.select("context_instance_id"), "context_instance_id", "left_anti"))
+        if left.isEmpty():
+            break
+    return done.withColumn("footprint_edge_margin_m", F.col("anchor_to_market_boundary_m") - radius)
+
+
+def near_pairs(contexts: DataFrame, reach: float) -> DataFrame:
+    """left, right (left < right) and the right anchor of all contexts of a market nearer than `reach`, by cells of that edge."""
+    x, y = F.col("anchor_x_m"), F.col("anchor_y_m")
+    c = contexts.select("market_id", "context_instance_id", "anchor_x_m", "anchor_y_m").withColumn("i", F.floor(x / reach)).withColumn("j", F.floor(y / reach))
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    l = c.withColumn("d", F.explode(around)).select("market_id", (F.col("i") + F.col("d.i")).alias("i"), (F.col("j") + F.col("d.j")).alias("j"), F.col("context_instance_id").alias("left"), x.alias("x1"), y.alias("y1"))  # noqa: E741
+    r = c.select("market_id", "i", "j", F.col("context_instance_id").alias("right"), x.alias("x2"), y.alias("y2"))
+    met = l.join(r, ["market_id", "i", "j"]).where((F.col("left") < F.col("right")) & (F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")) < reach))
+    return met.select("left", "right", "x2", "y2")
 
 
 def jaccard_pairs(clipped: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
     """left, right (left < right) and geometric_jaccard of the clipped footprints of a market that overlap.
 
-    Pairs meet on the tracts they share; each tract's part of the left footprint gives its area inside the right one.
+    Anchors meet by cells; each tract's part of the left footprint gives its area inside the right one.
     """
     sizes = clipped.groupBy("context_instance_id").agg(F.sum("clip_area").alias("a"))
-    l = clipped.select("market_id", "tract_geoid", "polygons", F.col("context_instance_id").alias("left"), F.col("anchor_x_m").alias("x1"), F.col("anchor_y_m").alias("y1"))  # noqa: E741
-    r = clipped.select("market_id", "tract_geoid", F.col("context_instance_id").alias("right"), F.col("anchor_x_m").alias("x2"), F.col("anchor_y_m").alias("y2"))
-    j = l.join(r, ["market_id", "tract_geoid"]).where((F.col("left") < F.col("right")) & (F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")) < 2 * radius))
+    anchors = clipped.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m").distinct()
+    drawn = clipped.select(F.col("context_instance_id").alias("left"), "polygons")
+    j = near_pairs(anchors, 2 * radius).join(drawn, "left")
     common = j.withColumn("i", G.footprint_clip_area(F.col("polygons"), F.col("x2"), F.col("y2"), radius)).groupBy("left", "right").agg(F.sum("i").alias("i")).where("i > 0")
     named = [sizes.withColumnRenamed("context_instance_id", s).withColumnRenamed("a", f"a_{s}") for s in ("left", "right")]
     both = common.join(named[0], "left").join(named[1], "right")

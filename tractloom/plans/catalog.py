@@ -289,8 +289,12 @@ def anchor_tract_binding(spark, sf_dir):
 
 @query("footprint_evidence")
 def footprint_evidence(spark, sf_dir):
-    """Completeness, edge state, boundary distance, Jaccard and components of footprints over grid tracts."""
+    """Completeness, edge state, boundary distance, Jaccard and components of footprints over grid tracts.
+
+    All points are anchors, ten times as far apart as in the other views, as sites of a chain are.
+    """
     p = points(spark, sf_dir)
+    p = p.withColumns({c: F.col(c) * 10 for c in ("projected_x_m", "projected_y_m")})
     return spatial.spatial_evidence(many_contexts(p), square_tracts(p))
 
 
