@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tractloom.functions import canonical, coordinates, households, text
 from tractloom.functions import geometry as G
-from tractloom.operators import binding, checks, components, governance, identity, membership, spatial
+from tractloom.operators import binding, checks, components, contracts, governance, identity, membership, spatial
 from tractloom.session import table
 
 QUERIES: dict = {}
@@ -418,6 +418,48 @@ def identity_summary(spark, sf_dir):
     return identity.package_summary(resolved(spark, sf_dir))
 
 
+# ---- contracts ----------------------------------------------------------------------------------------------------
+
+
+@query(
+    "context_instance_ids",
+    """SELECT o_orderkey, 'context_instance:sha256:' || sha256('{"domain":"tractloom/context-instance/v1","package_id":"p","package_sha256":"00","package_version":"1.0.0","source_row":' || o_orderkey
+        || ',"source_seed_point_id":"' || o_orderpriority || '","source_sheet":"orders","source_workbook_identity":"w' || o_custkey || '","specification_id":"s","specification_sha256":"11"}') AS context_instance_id FROM orders""",
+)
+def context_instance_ids(spark, sf_dir):
+    said = lambda **x: F.struct(*[F.lit(v).alias(k) for k, v in x.items()])
+    row = F.struct(F.concat(F.lit("w"), F.col("o_custkey").cast("string")).alias("source_workbook_identity"), F.lit("orders").alias("source_sheet"), F.col("o_orderkey").alias("source_row"), F.col("o_orderpriority").alias("source_seed_point_id"))
+    id_ = contracts.context_instance_id(said(package_id="p", package_version="1.0.0", sha256="00"), said(artifact_id="s", sha256="11"), row)
+    return table(spark, sf_dir, "orders").select("o_orderkey", id_.alias("context_instance_id"))
+
+
+@query(
+    "count_qa",
+    """WITH n AS (SELECT n_nationkey, n_name FROM nation), c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT s_nationkey, count(*) AS e FROM supplier WHERE s_nationkey <> 3 GROUP BY 1)
+        SELECT coalesce(c_nationkey, s_nationkey) AS nationkey, coalesce(n, 0) AS n, e AS expected, coalesce(n, 0) = e AS count_qa FROM c FULL JOIN s ON c_nationkey = s_nationkey""",
+)
+def count_qa(spark, sf_dir):
+    stated = table(spark, sf_dir, "supplier").where("s_nationkey <> 3").groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("expected"))
+    return contracts.count_qa(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey")), "nationkey", stated)
+
+
+@query(
+    "authorized_projection",
+    """SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey % 2 = 0 AND c_acctbal >= 0 AND c_custkey IN (SELECT o_custkey FROM orders)""",
+)
+def authorized_projection(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("market"), F.when(F.col("c_nationkey") % 2 == 0, "even").otherwise("odd").alias("evidence_role"), (F.col("c_acctbal") < 0).alias("quarantined")
+    )
+    policy = contracts.ProjectionPolicy(frozenset({"c_custkey", "c_name"}), "BUILDING", "even")
+    return contracts.project(c, policy, ["c_custkey", "c_name"], table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("count_expectation", "SELECT 'ROW_COUNT' AS code, n || ' of 24' AS detail FROM (SELECT count(*) AS n FROM nation) WHERE n <> 24")
+def count_expectation(spark, sf_dir):
+    return contracts.count_violations(table(spark, sf_dir, "nation"), 24, 10, "ROW_COUNT").select("code", "detail")
+
+
 # ---- text, hashes, checks -----------------------------------------------------------------------------------------
 
 
