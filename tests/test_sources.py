@@ -122,6 +122,29 @@ def test_worksheet(spark, tmp_path):
     assert [(r.lineage_key, r.vintage_year, r.target_address) for r in t] == [("A-1", 2024, "J2")]
 
 
+def titled(sheets, relations):
+    b = io.BytesIO()
+    kinds = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    with zipfile.ZipFile(b, "w") as z:
+        z.writestr("xl/workbook.xml", f"<workbook {NS} {kinds}><sheets>" + "".join(f'<sheet name="{t}" r:id="{i}"/>' for t, i in sheets) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="x">' + "".join(f'<Relationship Id="{i}" Target="{t}"/>' for i, t in relations) + "</Relationships>")
+    return zipfile.ZipFile(b)
+
+
+def test_sheet_by_title():
+    for lead in ("worksheets/s2.xml", "/xl/worksheets/s2.xml", "xl/worksheets/s2.xml", "./worksheets/s2.xml"):
+        assert worksheet.sheet_member(titled([("A", "r1"), ("B", "r2")], [("r1", "worksheets/s1.xml"), ("r2", lead)]), "B") == "xl/worksheets/s2.xml"
+    for sheets, relations, code in [
+        ([("A", "r1")], [("r1", "x.xml")], "TARGET_SHEET_AUTHORITY_MISMATCH"),
+        ([("B", "r1"), ("B", "r2")], [("r1", "x.xml")], "TARGET_SHEET_AUTHORITY_MISMATCH"),
+        ([("B", "r1")], [], "XLSX_STRUCTURE_INVALID"),
+        ([("B", "r1")], [("r1", "../secret.xml")], "CONTAINMENT"),
+        ([("B", "r1")], [("r1", "/etc/x.xml")], "CONTAINMENT"),
+    ]:
+        with pytest.raises(checks.ConformanceError, match=code):
+            worksheet.sheet_member(titled(sheets, relations), "B")
+
+
 @pytest.mark.parametrize("cell", [n("G2", "1", "<f>A1</f>"), s("C2", 99)])
 def test_worksheet_fails_closed(tmp_path, cell):
     workbook(tmp_path / "w.xlsx", [(1, [s("A1", 0)]), (2, [cell])], ["Year"])

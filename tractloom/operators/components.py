@@ -10,19 +10,25 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write df once to the folder in spark.checkpoint.dir and read it from there. Without one a local session gets a
-    temporary folder; on a cluster that is an error, as executors would each write to a disk of their own."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Without one a local session gets a temporary folder; on a cluster that is an
+    error, as executors would each write to a disk of their own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        folder = spark.conf.get("spark.checkpoint.dir", "")
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tractloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write df once to the shared folder and read it from there from now on."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

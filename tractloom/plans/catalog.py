@@ -6,13 +6,21 @@ embeddings are tracts (two coordinates as metres, the label as market), customer
 
 from __future__ import annotations
 
+import io
+import struct
+import uuid
+import zipfile
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tractloom import publish
 from tractloom.functions import canonical, coordinates, households, text
 from tractloom.functions import geometry as G
-from tractloom.operators import binding, checks, components, contracts, governance, identity, membership, spatial
+from tractloom.operators import authority, binding, checks, components, contracts, governance, identity, membership, spatial
 from tractloom.session import table
+from tractloom.sources import handles, household_file, shapes, worksheet
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -554,9 +562,23 @@ def temporal_pairs(spark, sf_dir):
     return identity.requested_pairs(pairs)
 
 
-@query("identity_violations", "SELECT 0::BIGINT AS n")
+@query(
+    "identity_violations",
+    """WITH r AS (SELECT vec_id + 2 AS source_row FROM embeddings UNION ALL SELECT vec_id + 2 FROM embeddings)
+       SELECT 'MODEL04_IDENTITY_REASON_INVALID' AS code, count(*) AS n FROM r WHERE source_row % 5 = 0 UNION ALL
+       SELECT 'MODEL04_IDENTITY_STATE_INVALID', count(*) FROM r WHERE source_row % 7 = 0 UNION ALL
+       SELECT 'MODEL04_TARGET_STATE_INVALID', count(*) FROM r WHERE source_row % 11 = 0 UNION ALL SELECT 'untouched package', 0""",
+)
 def identity_violations(spark, sf_dir):
-    return checks.union(identity.identity_violations(resolved(spark, sf_dir))).agg(F.count("*").alias("n"))
+    """Violations of the package as resolved, which has none, and of one with planted faults in three of its columns."""
+    records, row = resolved(spark, sf_dir), F.col("source_row")
+    spoilt = records
+    for c, k in (("identity_reason", 5), ("identity_state", 7), ("target_state", 11)):
+        name = {"identity_reason": "identity_rule_reason_code", "target_state": "target_view_state"}.get(c, c)
+        spoilt = spoilt.withColumn(name, F.when(row % k == 0, "X").otherwise(F.col(name)))
+    planted = checks.union(identity.identity_violations(spoilt)).where(F.col("code").isin("MODEL04_IDENTITY_REASON_INVALID", "MODEL04_IDENTITY_STATE_INVALID", "MODEL04_TARGET_STATE_INVALID"))
+    clean = checks.union(identity.identity_violations(records)).agg(F.count("*").alias("n")).select(F.lit("untouched package").alias("code"), "n")
+    return planted.groupBy("code").agg(F.count("*").alias("n")).unionByName(clean)
 
 
 @query(
@@ -579,3 +601,164 @@ def governed_ids(spark, sf_dir):
 def polygon_edges(spark, sf_dir):
     """Edges on the outline of each market's grid tracts."""
     return spatial.market_boundary(square_tracts(points(spark, sf_dir))).groupBy("market_id").agg(F.count("*").alias("n"))
+
+
+# ---- documents and handles ------------------------------------------------------------------------------------------
+
+
+@query(
+    "document_violations",
+    """WITH o AS (SELECT o_orderkey AS k FROM orders)
+       SELECT 'DATA_MOVING_IDENTITY_REJECTED' AS code, 'd' || k || ':sources[].vintage' AS key FROM o WHERE k % 7 = 0 AND k % 11 <> 0 UNION ALL
+       SELECT 'JSON_OBJECT_REQUIRED', 'd' || k FROM o WHERE k % 11 = 0 UNION ALL
+       SELECT 'CONTENT_HASH_MISMATCH', 'd' || k FROM o WHERE k % 5 = 0 OR k % 11 = 0 UNION ALL
+       SELECT 'VALUE_REPEATED', 'd' || k || '/sources[].name/"s"' FROM o WHERE k % 3 = 0 AND k % 11 <> 0""",
+)
+def document_violations(spark, sf_dir):
+    """A document for each order, some with a moving vintage, a digest of other content, repeated names, or cut short."""
+    k = F.col("k")
+    source = lambda name: F.struct(F.when(k % 7 == 0, "the Latest one").otherwise("2024").alias("vintage") if name == "s" else F.lit("2023").alias("vintage"), F.when(k % 3 == 0, "s").otherwise(name).alias("name"))
+    said = F.struct(k.alias("artifact"), F.array(source("s"), source("t")).alias("sources"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")).withColumn("said", said)
+    sha = F.when(k % 5 == 0, F.lit("0" * 64)).otherwise(canonical.digest_column(F.col("said")))
+    made = orders.select(F.concat(F.lit("d"), k.cast("string")).alias("document"), k, canonical.canonical_column(F.struct("said.*", sha.alias("content_sha256"))).alias("body"))
+    docs = made.select("document", F.when(k % 11 == 0, F.expr("substring(body, 1, 20)")).otherwise(F.col("body")).alias("body"))
+    n = authority.nodes(docs)
+    names = n.where("path = 'sources[].name'")
+    found = [authority.moving(n, 1, "DATA_MOVING_IDENTITY_REJECTED"), authority.readable(n, 2, "JSON_OBJECT_REQUIRED"), authority.sealed(docs, "content_sha256", 3, "CONTENT_HASH_MISMATCH"), checks.duplicates(names, ["document", "path", "value"], 4, "VALUE_REPEATED")]
+    return checks.union(found).select("code", "key")
+
+
+@query(
+    "inventory_documents",
+    f"""WITH {POINTS_SQL}, g AS (SELECT market_id, count(*) AS tract_count, sha256('["' || string_agg(tract_geoid, '","' ORDER BY tract_geoid) || '"]') AS inventory_sha256 FROM pts GROUP BY market_id)
+        SELECT 'inventory-' || market_id AS document, tract_count, inventory_sha256, CASE WHEN market_id < 'm5' THEN tract_count % 2 = 0 END AS qa_count_matches FROM g""",
+)
+def inventory_documents(spark, sf_dir):
+    """One sealed document for each market, read back from where it was written; the expected counts are even, or none."""
+    p = points(spark, sf_dir)
+    expected = p.groupBy("market_id").agg((F.count("*") - F.count("*") % 2).alias("expected")).where("market_id < 'm5'")
+    folder = f"{components.shared_folder(spark)}/inventories-{uuid.uuid4().hex}"
+    authority.write_documents(authority.inventory_documents(p.select("market_id", "tract_geoid"), expected, {"artifact_id": "derivation"}), folder)
+    docs = spark.read.text(folder).withColumnRenamed("value", "body")
+    checks.require_none([authority.sealed(docs, "content_sha256", 1, "CONTENT_HASH_MISMATCH")])
+    field = lambda name: F.get_json_object("body", f"$.{name}")
+    return docs.select("document", field("tract_count").cast("long").alias("tract_count"), field("inventory_sha256").alias("inventory_sha256"), field("qa_count_matches").cast("boolean").alias("qa_count_matches"))
+
+
+@query(
+    "handle_resolution",
+    """SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 11 = 0 OR c_custkey % 7 = 0 OR c_custkey % 5 = 0 OR c_custkey % 3 = 0 THEN NULL ELSE '/data/' || c_nationkey || '/in/' || c_custkey || '.parquet' END AS path,
+              CASE WHEN c_custkey % 13 = 0 THEN 'PROTECTED_HANDLE_INVALID' WHEN c_custkey % 11 = 0 THEN 'PROTECTED_HANDLE_UNRESOLVED' WHEN c_custkey % 7 = 0 THEN 'PROTECTED_HANDLE_KIND_MISMATCH'
+                   WHEN c_custkey % 5 = 0 THEN 'PROTECTED_ROOT_HANDLE_UNRESOLVED' WHEN c_custkey % 3 = 0 THEN 'PROTECTED_PATH_TRAVERSAL_REJECTED' END AS code FROM customer""",
+)
+def handle_resolution(spark, sf_dir):
+    k = F.col("c_custkey")
+    handle = F.concat(F.when(k % 13 == 0, "x-").otherwise("phandle-"), k.cast("string"))
+    c = table(spark, sf_dir, "customer").select(k, handle.alias("handle"), "c_nationkey")
+    roots = table(spark, sf_dir, "nation").select(F.concat(F.lit("proot-"), "n_nationkey").alias("root_handle"), F.concat(F.lit("/data/"), "n_nationkey").alias("root_path"))
+    root = F.concat(F.when(k % 5 == 0, "proot-none").otherwise("proot-"), "c_nationkey")
+    relative = F.concat(F.when(k % 3 == 0, "../in/").otherwise("in/"), k.cast("string"), F.lit(".parquet"))
+    resources = c.where(k % 11 != 0).select("handle", F.when(k % 7 == 0, "other").otherwise("table").alias("kind"), root.alias("root_handle"), relative.alias("relative_path"))
+    found = handles.resolve(c.select("handle", F.lit("table").alias("kind")), resources, roots)
+    return found.select(F.regexp_extract("handle", "([0-9]+)$", 1).cast("long").alias("c_custkey"), "path", "code")
+
+
+# ---- sources and sinks ----------------------------------------------------------------------------------------------
+
+
+def archive(members: dict[str, bytes | str]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return out.getvalue()
+
+
+def a_workbook(k: int, balance: float) -> bytes:
+    """Year, Seedpoint_ID, Lat, Long and a sales column J that must not be read; the sheet is found by its title."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    heads = "".join(f'<c r="{c}1" t="inlineStr"><is><t>{h}</t></is></c>' for c, h in zip("ABGHJ", ("Year", "Seedpoint_ID", "Lat", "Long", "Isolated Sales"), strict=True))
+    cells = f'<c r="A2"><v>{2020 + k % 5}.0</v></c><c r="B2" t="s"><v>{k % 2}</v></c><c r="G2"><v>{balance}</v></c><c r="H2"><v>-87.5</v></c><c r="J2"><v>99</v></c>'
+    lead = "/xl/worksheets/sheet7.xml" if k % 3 == 0 else "worksheets/sheet7.xml"
+    sheets = '<sheet name="Other" r:id="r1"/><sheet name="Rows" r:id="r2"/>'
+    relations = f'<Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="{lead}"/>'
+    return archive({
+        "xl/workbook.xml": f"<workbook {main}><sheets>{sheets}</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{relations}</Relationships>',
+        "xl/worksheets/sheet7.xml": f'<worksheet {main}><sheetData><row r="1">{heads}</row><row r="2">{cells}</row></sheetData></worksheet>',
+        "xl/sharedStrings.xml": f"<sst {main}><si><t>S{k}</t></si><si><t>T{k}</t></si></sst>",
+    })
+
+
+def a_tract_file(k: int, balance: float) -> bytes:
+    """Two tracts with a square each, the second with a hole."""
+    names = [("GEOID", 11), ("NAME", 6)]
+    head = struct.pack("<B3BIHH20x", 3, 24, 1, 1, 2, 32 + 32 * len(names) + 1, 1 + sum(n for _, n in names))
+    head += b"".join(n.encode().ljust(11, b"\0") + b"C" + bytes(4) + bytes([size]) + bytes(15) for n, size in names) + b"\r"
+    dbf = head + b"".join(b" " + str(k * 10 + i).zfill(11).encode() + f"n{i}".ljust(6).encode() for i in (1, 2))
+    outer, hole = [(0, 0), (0, 4), (4, 4), (4, 0), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]
+    body = b""
+    for no, rings in enumerate(([outer], [outer, hole]), 1):
+        corners = [(x + k, y) for r in rings for x, y in r]
+        content = struct.pack("<I4d2I", 5, 0, 0, 1, 1, len(rings), len(corners)) + struct.pack(f"<{len(rings)}I", *range(0, 5 * len(rings), 5)) + b"".join(struct.pack("<2d", *c) for c in corners)
+        body += struct.pack(">II", no, len(content) // 2) + content
+    shp = struct.pack(">I20xI", 9994, (100 + len(body)) // 2) + struct.pack("<II8d", 1000, 5, *[0.0] * 8) + body
+    return archive({"t.dbf": dbf, "t.shp": shp})
+
+
+def files_of(spark: SparkSession, sf_dir: str, make) -> DataFrame:
+    """path and content of a synthetic file for each customer."""
+
+    @F.arrow_udf("binary")
+    def content(keys: pa.Array, balances: pa.Array) -> pa.Array:
+        return pa.array([make(k, b) for k, b in zip(keys.to_pylist(), balances.to_pylist(), strict=True)], type=pa.binary())
+
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("path"), content("c_custkey", "c_acctbal").alias("content"))
+
+
+@query("sheet_rows", "SELECT c_custkey, (2020 + c_custkey % 5)::VARCHAR AS vintage, CASE WHEN c_custkey % 2 = 0 THEN 'S' ELSE 'T' END || c_custkey AS seed_point_id, c_acctbal AS latitude, 'J2' AS target_address FROM customer")
+def sheet_rows(spark, sf_dir):
+    """Workbooks read by the title of their sheet: projected fields decoded, the target column by address only."""
+    cells = worksheet.cells_of(files_of(spark, sf_dir, a_workbook), title="Rows", address_columns=("J",))
+    rows, targets = worksheet.locations(cells), worksheet.target_addresses(cells, 2, 1, 10)
+    j = rows.join(targets.select("path", F.col("row_no").alias("source_row"), "target_address"), ["path", "source_row"])
+    return j.select(F.col("path").cast("long").alias("c_custkey"), "vintage", "seed_point_id", F.col("latitude").cast("double").alias("latitude"), "target_address")
+
+
+@query("tract_files", "SELECT lpad((c_custkey * 10 + i)::VARCHAR, 11, '0') AS geoid, i::BIGINT AS record_no, i - 1 AS holes, c_custkey::DOUBLE AS least_x FROM customer, (VALUES (1), (2)) v(i)")
+def tract_files(spark, sf_dir):
+    """Zipped attribute tables and polygon files, joined by record; holes belong to the ring around them."""
+    t = shapes.tracts_of(files_of(spark, sf_dir, a_tract_file), ("GEOID", "NAME"))
+    ring = F.col("polygons")[0]
+    return t.select(F.col("GEOID").alias("geoid"), "record_no", F.size(ring["holes"]).alias("holes"), F.array_min(F.transform(ring["outer"], lambda p: p["x"])).alias("least_x"))
+
+
+@query("household_rows", f"WITH {POINTS_SQL}, {ACS_SQL} SELECT tract_geoid, status, estimate, moe FROM acs WHERE c_custkey % 3 = 0")
+def household_rows(spark, sf_dir):
+    """A pipe-delimited file written and read back: its own header in another order, other states passed over."""
+    r = raw_households(spark, sf_dir)
+    place = F.concat(F.lit(household_file.TRACT_PREFIX), F.when(F.col("c_custkey") % 3 == 0, "00").otherwise("99"), F.substring("tract_geoid", 3, 9))
+    lines = r.select(F.concat_ws("|", "raw_moe", place, "raw_estimate").alias("value"))
+    folder = f"{components.shared_folder(spark)}/households-{uuid.uuid4().hex}"
+    lines.unionByName(spark.createDataFrame([("B11001_M001|GEO_ID|B11001_E001",)], "value string")).write.text(folder)
+    made, found = household_file.read_household_file(spark, folder, state="00")
+    checks.require_none(found)
+    return made.select("tract_geoid", "status", "estimate", "moe")
+
+
+@query("publish_reconcile", "SELECT 'customers' AS artifact, count(*) AS n FROM customer UNION ALL SELECT 'nations', count(*) FROM nation UNION ALL SELECT 'tampered', 0")
+def publish_reconcile(spark, sf_dir):
+    """A run published and reconciled from its files, and one whose table was written again, which must not reconcile."""
+    top, nonce = f"{components.shared_folder(spark)}/runs-{uuid.uuid4().hex}", bytes(32)
+    tables = {"customers": table(spark, sf_dir, "customer"), "nations": table(spark, sf_dir, "nation")}
+    for run in ("a", "b"):
+        publish.publish(spark, f"{top}/{run}", tables, [], dependencies={"source": "synthetic"}, required=("source",), nonce=nonce)
+    table(spark, sf_dir, "nation").where("n_nationkey <> 3").write.mode("overwrite").parquet(f"{top}/b/tables/nations")
+    rows = [(name, said["rows"]) for name, said in publish.reconcile(spark, f"{top}/a", nonce)["artifacts"].items()]
+    try:
+        publish.reconcile(spark, f"{top}/b", nonce)
+        rows.append(("tampered", 1))
+    except checks.ConformanceError as refused:
+        rows.append(("tampered", int(refused.code != "ARTIFACT_HASH_MISMATCH")))
+    return spark.createDataFrame(rows, "artifact string, n long")

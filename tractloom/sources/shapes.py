@@ -126,24 +126,34 @@ def batches(path: str, rows, column: str, kind: pa.DataType):
 
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:
     """path, record_no (from 1) and attributes of DBF files, or of the DBF members of zips."""
+    return attributes_of(spark.read.format("binaryFile").load(path))
+
+
+def attributes_of(files: DataFrame) -> DataFrame:
+    """`read_attributes` of files at hand: path and content."""
 
     def parse(files):
         for f in files:
             for p, data in zip(f.column(0).to_pylist(), f.column(1).to_pylist(), strict=True):
                 yield from batches(p, (list(r.items()) for r in attribute_records(member(data, ".dbf"))), "attributes", pa.map_(pa.string(), pa.string()))
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, ATTRIBUTES)
+    return files.select("path", "content").mapInArrow(parse, ATTRIBUTES)
 
 
 def read_shapes(spark: SparkSession, path: str) -> DataFrame:
     """path, record_no (from 1) and polygons of polygon files, or of the .shp members of zips."""
+    return shapes_of(spark.read.format("binaryFile").load(path))
+
+
+def shapes_of(files: DataFrame) -> DataFrame:
+    """`read_shapes` of files at hand: path and content."""
 
     def parse(files):
         for f in files:
             for p, data in zip(f.column(0).to_pylist(), f.column(1).to_pylist(), strict=True):
                 yield from batches(p, shape_records(member(data, ".shp")), "polygons", ARROW_POLYGONS)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, SHAPES)
+    return files.select("path", "content").mapInArrow(parse, SHAPES)
 
 
 def read_tracts(spark: SparkSession, path: str, fields: tuple[str, ...] = ("STATEFP", "COUNTYFP", "TRACTCE", "GEOID", "INTPTLAT", "INTPTLON")) -> DataFrame:
@@ -151,7 +161,12 @@ def read_tracts(spark: SparkSession, path: str, fields: tuple[str, ...] = ("STAT
 
     A record that one of the two lacks fails the job; `record_violations` lists such records.
     """
-    a, s = read_attributes(spark, path), read_shapes(spark, path)
+    return tracts_of(spark.read.format("binaryFile").load(path), fields)
+
+
+def tracts_of(files: DataFrame, fields: tuple[str, ...] = ("STATEFP", "COUNTYFP", "TRACTCE", "GEOID", "INTPTLAT", "INTPTLON")) -> DataFrame:
+    """`read_tracts` of files at hand: path and content."""
+    a, s = attributes_of(files), shapes_of(files)
     both = a.join(s, ["path", "record_no"], "full")
     whole = F.when(F.col("attributes").isNull() | F.col("polygons").isNull(), F.raise_error(F.concat(F.lit("TIGER_RECORD_COUNT_MISMATCH: "), "path", F.lit(" record "), F.col("record_no").cast("string"))))
     return both.withColumn("record_no", F.coalesce(whole.cast("bigint"), "record_no")).select("record_no", *[F.col("attributes")[f].alias(f) for f in fields], "polygons")

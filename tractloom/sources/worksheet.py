@@ -65,10 +65,36 @@ def shared_strings(z: zipfile.ZipFile, wanted: set[int]) -> dict[int, str]:
     return found
 
 
-def sheet_cells(data: bytes, sheet: str, last_column: int, address_columns: frozenset[int]):
-    """(row, column, address, kind, value): header cells and allowed columns decoded, address columns without a value."""
+def sheet_member(z: zipfile.ZipFile, title: str) -> str:
+    """The member that holds the sheet of this title, by the workbook's list of sheets and its relationships.
+
+    One sheet must have exactly this title, and its relationship must lead to one member inside xl/.
+    """
+    try:
+        book, relations = (ElementTree.fromstring(z.read(f"xl/{n}")) for n in ("workbook.xml", "_rels/workbook.xml.rels"))
+    except (KeyError, ElementTree.ParseError) as unreadable:
+        raise ConformanceError("XLSX_STRUCTURE_INVALID", "workbook or relationships") from unreadable
+    ids = [[v for k, v in e.items() if k.endswith("}id")] for e in book.iter() if e.tag.endswith("}sheet") and e.get("name") == title]
+    if len(ids) != 1:
+        raise ConformanceError("TARGET_SHEET_AUTHORITY_MISMATCH", title)
+    leads = [e.get("Target") for e in relations.iter() if e.tag.endswith("}Relationship") and [e.get("Id")] == ids[0]]
+    if len(leads) != 1 or not leads[0]:
+        raise ConformanceError("XLSX_STRUCTURE_INVALID", f"relationship of {title}")
+    steps = [x for x in leads[0].replace("\\", "/").split("/") if x not in ("", ".")]
+    if not leads[0].startswith(("/", "\\")) and steps[:1] != ["xl"]:
+        steps = ["xl", *steps]  # targets are relative to the workbook's folder
+    if ".." in steps or steps[:1] != ["xl"]:
+        raise ConformanceError("XLSX_RELATIONSHIP_CONTAINMENT_FAILED", leads[0])
+    return "/".join(steps)
+
+
+def sheet_cells(data: bytes, sheet: str, last_column: int, address_columns: frozenset[int], title: str | None = None):
+    """(row, column, address, kind, value): header cells and allowed columns decoded, address columns without a value.
+
+    The sheet is the one of the title where that is given, else the member `sheet`.
+    """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        name = f"xl/worksheets/{sheet}.xml"
+        name = f"xl/worksheets/{sheet}.xml" if title is None else sheet_member(z, title)
         if name not in z.namelist():
             raise ConformanceError("TARGET_BLIND_MATERIALIZATION_NOT_ENFORCEABLE", "no such worksheet")
         cells, wanted, seen = [], set(), set()
@@ -115,18 +141,23 @@ def shown(value: str | None, kind: str) -> str | None:
     return str(int(x)) if x.is_integer() else repr(x)
 
 
-def read_cells(spark: SparkSession, path: str, sheet: str = "sheet1", last_column: str = "I", address_columns: tuple[str, ...] = ()) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, sheet: str = "sheet1", last_column: str = "I", address_columns: tuple[str, ...] = (), title: str | None = None) -> DataFrame:
     """Cells of the workbooks under path, columns A to last_column decoded, address_columns by address only."""
+    return cells_of(spark.read.format("binaryFile").load(path), sheet, last_column, address_columns, title)
+
+
+def cells_of(files: DataFrame, sheet: str = "sheet1", last_column: str = "I", address_columns: tuple[str, ...] = (), title: str | None = None) -> DataFrame:
+    """`read_cells` of files at hand: path and content."""
     last, others = column_number(last_column), frozenset(map(column_number, address_columns))
 
     def parse(files):
         for f in files:
             for p, data in zip(f.column(0).to_pylist(), f.column(1).to_pylist(), strict=True):
-                rows = [(p, *c) for c in sheet_cells(data, sheet, last, others)]
+                rows = [(p, *c) for c in sheet_cells(data, sheet, last, others, title)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)], names=["path", "row_no", "column_no", "address", "kind", "value"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, CELLS)
+    return files.select("path", "content").mapInArrow(parse, CELLS)
 
 
 def header_field(value: Column) -> Column:
