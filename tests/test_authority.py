@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from tractloom import publish
 from tractloom.functions.canonical import hexdigest, written
 from tractloom.operators import authority, checks
 from tractloom.operators.checks import ConformanceError
@@ -172,3 +173,15 @@ def test_registry(spark):
     swapped = pairs(("now", "phandle-2"), ("before", "phandle-1"))
     assert codes(handles.authority_violations(right, swapped, ("now", "before"))) == {"TARGET_SOURCE_HANDLE_MISMATCH"}
     assert "TARGET_SOURCE_HANDLE_REUSED" in codes(handles.authority_violations(pairs(("now", "phandle-1"), ("before", "phandle-1")), right, ("now", "before")))
+
+
+def test_supersession(spark, tmp_path):
+    first, tables = str(tmp_path / "first"), {"t": spark.range(3)}
+    again = lambda name, **how: publish.publish(spark, str(tmp_path / name), tables, [], dependencies={}, **how)
+    with pytest.raises(ConformanceError, match="RUN_NOT_FROZEN"):
+        again("second", version="1.1.0", supersedes=first)
+    again("first")
+    with pytest.raises(ConformanceError, match="NEW_VERSION"):
+        again("second", supersedes=first)
+    again("second", version="1.1.0", supersedes=first)
+    assert publish.reconcile(spark, str(tmp_path / "second"))["supersedes"] == first

@@ -55,9 +55,17 @@ def write_once(spark: SparkSession, path: str, document: dict) -> bool:
 
 def publish(
     spark: SparkSession, out: str, tables: dict[str, DataFrame], violations: list[DataFrame], *, dependencies: dict[str, str], required: tuple[str, ...] = (), forbidden: frozenset[str] = frozenset(),
-    nonce: bytes | None = None, supersedes: str | None = None,
+    nonce: bytes | None = None, version: str = "1.0.0", supersedes: str | None = None,
 ) -> dict:
-    """Check, write tables/<name> as Parquet, then manifest, commitment and marker. Returns the manifest."""
+    """Check, write tables/<name> as Parquet, then manifest, commitment and marker. Returns the manifest.
+
+    supersedes: the folder of a frozen run that this one takes the place of; it must have another version.
+    """
+    if supersedes is not None:
+        if not is_frozen(spark, supersedes):
+            raise checks.ConformanceError("RUN_NOT_FROZEN", supersedes)
+        if read_document(spark, f"{supersedes}/manifest")["version"] == version:
+            raise checks.ConformanceError("SUPERSESSION_NEEDS_NEW_VERSION", version)
     if missing := sorted(set(required) - {k for k, v in dependencies.items() if v}):
         raise checks.ConformanceError("MANDATORY_DEPENDENCY_MISSING", str(missing))
     for name, df in tables.items():
@@ -73,7 +81,7 @@ def publish(
     for name, df in tables.items():
         df.write.mode("errorifexists").parquet(f"{out}/tables/{name}")
         artifacts[name] = fingerprint(spark.read.parquet(f"{out}/tables/{name}"))
-    manifest = {"artifacts": artifacts, "dependencies": dependencies, "supersedes": supersedes}
+    manifest = {"artifacts": artifacts, "dependencies": dependencies, "version": version, "supersedes": supersedes}
     write_document(spark, f"{out}/manifest", manifest)
     if nonce is not None:
         write_document(spark, f"{out}/commitment", {"commitment": commitment_of(hexdigest(manifest), nonce)})
