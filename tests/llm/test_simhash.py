@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given
 from hypothesis import strategies as st
@@ -21,9 +22,9 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute(ids, fps):
+def brute(ids, fps, radius=2):
     label = list(ids)
-    near = [[j for j in range(len(fps)) if bin(fps[i] ^ fps[j]).count("1") <= 2] for i in range(len(fps))]
+    near = [[j for j in range(len(fps)) if bin(fps[i] ^ fps[j]).count("1") <= radius] for i in range(len(fps))]
     low = lambda xs: min((x for x in xs if x is not None), default=None)
     while True:
         new = [low(label[j] for j in n) for n in near]
@@ -71,6 +72,21 @@ def test_links_equal_all_pairs(spark):
         assert {frozenset(g) for g in got.values()} == want_sets
 
 
+@pytest.mark.parametrize("radius", [0, 1, 3, 4])
+def test_other_radii_link_what_pairs_link(spark, radius):
+    """By pairs in small buckets and by the centres in crowded ones; beyond, the operator says no."""
+    rng = np.random.default_rng(radius)
+    fps = {c ^ sum(1 << int(b) for b in set(rng.integers(0, 16, radius + 2).tolist())) for c in rng.integers(0, 1 << 63, 6).tolist() for _ in range(8)}
+    fps = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    want = dict(zip(fps, brute(fps, [f & (1 << 64) - 1 for f in fps], radius), strict=True))
+    assert not radius or 6 < len(set(want.values())) < len(fps)
+    for block in (1, 1000):
+        roots = {r.vertex: r.root for r in connected_components(S.links(spark.createDataFrame([(f,) for f in fps], "fp long"), radius, block)).collect()}
+        assert {f: roots.get(f, f) for f in fps} == want
+    with pytest.raises(ValueError):
+        S.links(spark.createDataFrame([], "fp long"), S.MOST_RADIUS + 1)
+
+
 @given(st.integers(0, (1 << 64) - 1), st.sets(st.integers(0, 63), max_size=2))
 def test_masks_cover(x, flips):
     y = x

@@ -8,9 +8,11 @@ other than 0 meets them all: in that table none of them is kept and the two fing
 
 All of it works on distinct fingerprints, so exact copies cost nothing. Joins on fingerprints or buckets take the few keys
 with more than 1/HOT of the rows (so fewer than HOT of them) by broadcast and all others by shuffle, where no key is large. A bucket of up to `block` fingerprints compares
-its pairs; in a larger one (only of radius 2 or less) every fingerprint is dealt to the 65 centres at one bit or none
-from it instead: two fingerprints differ by two bits or fewer exactly if they share a centre, so a star for each centre
-links the same ones in linear space. Components come from the stars and pairs.
+its pairs; in a larger one every fingerprint is dealt to centres instead, each of which links its own by a star in linear
+space. For an even radius the centres are the points within radius/2 bits: two fingerprints share one exactly if they
+are within the radius. For an odd one they are the edges between neighbouring points with an end within (radius-1)/2
+bits, by the same reasoning. That is 65 centres a fingerprint for radius 2 and 2,081 for radius 4; a larger radius raises
+ValueError, as its centres would be over 40,000. Components come from the stars and pairs.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other; fewer words than a
 shingle has form one shingle; documents with a null id get a component but never name it; a component of null ids alone
@@ -20,6 +22,7 @@ has a null component id; repeated rows stay repeated; an empty table gives an em
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ BITS = 64
 SEED = 42
 BLOCK = 64
 HOT = 500
+MOST_RADIUS = 4
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 AT_ONCE = 1 << 16
 
@@ -74,6 +78,16 @@ def masks(radius: int = RADIUS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in kept]
 
 
+def centres(radius: int = RADIUS) -> Column:
+    """The centres of column fp, as structs: two fingerprints have one in common exactly if they are within radius."""
+    flips = [sum(1 << i for i in at) for k in range(radius // 2 + 1) for at in combinations(range(BITS), k)]
+    ball = f"array({', '.join(f'{m - (1 << 64) if m >> 63 else m}L' for m in flips)})"
+    if radius % 2:
+        edges = "transform(sequence(0, 63), i -> named_struct('point', (fp ^ m) & ~shiftleft(1L, i), 'bit', i))"
+        return F.expr(f"flatten(transform({ball}, m -> {edges}))")
+    return F.expr(f"transform({ball}, m -> named_struct('point', fp ^ m, 'bit', -1))")
+
+
 def keyed_join(rows: DataFrame, keys: DataFrame, on: list[str], often: str) -> DataFrame:
     """rows joined with keys (one row for each, `often` being how many rows have it), the frequent keys by broadcast."""
     total = keys.agg(F.sum(often)).first()[0] or 0
@@ -87,8 +101,8 @@ def keyed_join(rows: DataFrame, keys: DataFrame, on: list[str], often: str) -> D
 
 def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """a, b: edges that connect exactly what pairs of distinct fingerprints (column fp) within radius connect."""
-    if radius > 2:
-        block = 1 << 31  # no star for these: all buckets compare pairs
+    if not 0 <= radius <= MOST_RADIUS:
+        raise ValueError(f"radius must be from 0 to {MOST_RADIUS}, not {radius}")
     tables = F.explode(F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks(radius))]))
     dealt = fps.select("fp", tables.alias("x")).select("fp", "x.t", "x.key")
     sizes = settle(dealt.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"))
@@ -96,10 +110,9 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     small = met.where(F.col("n") <= block).groupBy("t", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     near = f"filter(slice(fps, i + 2, size(fps)), y -> bit_count(x ^ y) <= {radius})"
     pairs = small.select(F.explode(F.expr(f"flatten(transform(fps, (x, i) -> transform({near}, y -> named_struct('a', x, 'b', y))))")).alias("e")).select("e.*")
-    centres = F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(m)) for m in [*(1 << i for i in range(63)), -(1 << 63)]]))
-    crowded = met.where(F.col("n") > block).select("fp").distinct().select("fp", centres.alias("centre"))
-    heads = crowded.groupBy("centre").agg(F.min("fp").alias("head"), F.count("*").alias("n")).where("n > 1")
-    stars = crowded.join(heads, "centre").where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
+    crowded = met.where(F.col("n") > block).select("fp").distinct().select("fp", F.explode(centres(radius)).alias("c")).select("fp", "c.*")
+    heads = crowded.groupBy("point", "bit").agg(F.min("fp").alias("head"), F.count("*").alias("n")).where("n > 1")
+    stars = crowded.join(heads, ["point", "bit"]).where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
