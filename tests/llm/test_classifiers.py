@@ -175,6 +175,18 @@ def test_rare_stems_are_learnt_and_chance_is_not():
     assert T.surprise(16, 0, 1 / 3) > np.log(10**6) and T.surprise(20, 40, 1 / 3) == 0
 
 
+def test_surprise_as_a_column_and_chosen_stems(spark):
+    """The column says what the function says, and counts by a list of hashes are the counts of those stems."""
+    rows = [(t, c) for t in (0, 1, 3, 8, 40) for c in (0, 1, 5, 90)]
+    got = spark.createDataFrame(rows, "t long, c long").select("t", "c", T.surprise_column(F.col("t"), F.col("c"), 0.3).alias("s")).collect()
+    assert all(abs(r.s - (T.surprise(r.t, r.c, 0.3) if r.t else 0.0)) < 1e-9 for r in got) and len(got) == len(rows)
+    sample = spark.createDataFrame([(["zorgal", "größe"],), (["zorgh", "größer"],), ([],)], "words array<string>")
+    every = {r.stem: r.n for r in T.stem_counts(sample).collect()}
+    some = ["größe", "zorg", "zorgal$", "absent"]
+    hashes = np.sort(spark.createDataFrame([(x,) for x in some], "x string").select(F.xxhash64("x").alias("h")).toArrow()["h"].to_numpy())
+    assert {r.stem: r.n for r in T.stem_counts(sample, hashes).collect()} == {x: every[x] for x in some[:3]} == {"größe": 2, "zorg": 2, "zorgal$": 1}
+
+
 def test_toxicity_of_empty_tables(spark):
     docs, labels = corpus(spark, 60)
     assert T.score_toxicity(docs.limit(0), T.fit_toxicity(docs.limit(0), labels)).count() == 0

@@ -38,7 +38,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractloom.llm.common import labelled_sample, settle
@@ -279,8 +279,8 @@ def sketch(words: list[str], k: int = 5) -> int:
     return xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
-def stem_counts(sample: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
-    """stem, n: documents (column words) that have the stem, of the stems in `only` if given.
+def stem_counts(sample: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """stem, n: documents (column words) that have the stem, of the stems whose xxhash64 is in `only` if given.
 
     Each partition counts before the shuffle, and passes its counts on when there are AT_ONCE of them.
     """
@@ -290,14 +290,16 @@ def stem_counts(sample: DataFrame, only: frozenset[str] | None = None) -> DataFr
         stems = list(tally)
         for a in range(0, len(stems), 50_000):
             part = stems[a : a + 50_000]
-            yield pa.RecordBatch.from_pydict({"stem": part, "n": pa.array([tally[s] for s in part], pa.int64())})
+            if held is not None:
+                hashes = np.array([xxhash.xxh64_intdigest(s.encode("utf-8"), 42) for s in part], dtype=np.uint64).view(np.int64)
+                part = [part[i] for i in np.flatnonzero(np.isin(hashes, held.value))]
+            yield pa.RecordBatch.from_pydict({"stem": pa.array(part, pa.string()), "n": pa.array([tally[s] for s in part], pa.int64())})
 
     def count(batches):
         tally: dict[str, int] = {}
         for b in batches:
             for words in b.column(0):
-                stems = {(w + END)[:n] for w in words.as_py() for n in (*range(MIN_STEM, min(len(w) + 1, MAX_STEM) + 1), len(w) + 1)}
-                for s in stems if held is None else stems & held.value:
+                for s in {(w + END)[:n] for w in words.as_py() for n in (*range(MIN_STEM, min(len(w) + 1, MAX_STEM) + 1), len(w) + 1)}:
                     tally[s] = tally.get(s, 0) + 1
                 if len(tally) > AT_ONCE:
                     yield from rows(tally)
@@ -315,6 +317,13 @@ def surprise(toxic: int, clean: int, share: float) -> float:
     return toxic * float(np.log(toxic / (n * share))) + (clean * float(np.log(clean / (n * (1 - share)))) if clean else 0.0)
 
 
+def surprise_column(toxic: Column, clean: Column, share: float) -> Column:
+    """surprise() as a column."""
+    n = toxic + clean
+    rare = F.when(clean > 0, clean * F.ln(clean / (n * (1 - share)))).otherwise(0.0)
+    return F.when(toxic > n * share, toxic * F.ln(toxic / (n * share)) + rare).otherwise(0.0)
+
+
 def beyond_chance(rows: list[tuple[str, int, int]], tested: int, share: float) -> list[tuple[str, int, int]]:
     """The (stem, toxic, clean) of least chance, as many as keep the share of false ones, of all `tested`, in bound."""
     ranked = sorted(rows, key=lambda r: (-surprise(r[1], r[2], share), r[0]))
@@ -377,9 +386,13 @@ def fit_toxicity(
     tested = sum(sizes.values())
     # Even if no clean document had them, stems of fewer toxic ones would not be taken; what is left is bounded by the sample.
     enough = min((t for t in sizes if share**t * tested <= FALSE_SHARE * sum(k for n, k in sizes.items() if n >= t)), default=n_toxic + 1)
-    toxic = {r.stem: r.n for r in in_toxic.where(F.col("n") >= enough).collect()}
-    clean = {r.stem: r.n for r in stem_counts(sample.where("label = 0"), frozenset(toxic)).collect()}
-    likely = beyond_chance([(s, t, clean.get(s, 0)) for s, t in toxic.items()], tested, share)
+    toxic = in_toxic.where(F.col("n") >= enough)
+    hashes = np.sort(toxic.select(F.xxhash64("stem").alias("h")).toArrow()["h"].to_numpy())  # 8 bytes a stem of the bounded sample
+    clean = stem_counts(sample.where("label = 0"), hashes).withColumnRenamed("n", "c")
+    both = toxic.join(clean, "stem", "left").select("stem", F.col("n").alias("t"), F.coalesce("c", F.lit(0)).alias("c"))
+    # beyond_chance takes none below this bound, whatever its rank, so the rest stays where it is.
+    possible = both.where(surprise_column(F.col("t"), F.col("c"), share) >= -np.log(FALSE_SHARE) - 1e-6).toArrow().to_pydict()
+    likely = beyond_chance(list(zip(possible["stem"], possible["t"], possible["c"], strict=True)), tested, share)
     heavy = [(s, t, c) for s, t, c in likely if np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)) >= min_weight]
     grammar = Grammar(choose_stems(heavy, n_toxic, n_clean))
     held = docs.sparkSession.sparkContext.broadcast(grammar)
