@@ -136,10 +136,16 @@ def keep_representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     ids in other groups go.
     """
     found = near_duplicates(docs, doc_id=doc_id, text=text, **how)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    everything = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"})
-    of_id = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text, F.xxhash64(everything), everything)
-    named = docs.join(kept, F.col(doc_id) == F.col("__kept"), "left_semi").withColumn("__n", F.row_number().over(of_id)).where("__n = 1").drop("__n")
+    ids = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__n"), F.max(F.col("doc_id") == F.col("component_id")).alias("__names"))
+    kept = settle(ids.where("__names").select("__kept", "__n"))
+    # Ids are small beside texts, so they are hashed and no text is sorted; only rows of repeated ids are ranked.
+    named = docs.join(kept.where("__n = 1").hint("shuffle_hash"), F.col(doc_id) == F.col("__kept"), "left_semi")
+    repeated = kept.where("__n > 1")
+    if not repeated.isEmpty():
+        everything = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"})
+        of_id = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text, F.xxhash64(everything), everything)
+        ranked = docs.join(repeated, F.col(doc_id) == F.col("__kept"), "left_semi").withColumn("__n", F.row_number().over(of_id))
+        named = named.unionByName(ranked.where("__n = 1").drop("__n"))
     lone = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("__fp")).distinct()
     nameless = docs.where(F.col(doc_id).isNull()).withColumn("__f", fingerprint_column(F.col(text), how.get("shingle", SHINGLE)))
     nameless = nameless.join(lone, F.col("__f") == F.col("__fp"), "left_semi").dropDuplicates(["__f"]).drop("__f")
