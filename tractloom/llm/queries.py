@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractloom.llm import decontaminate, flac, language, licenses, mixing, quality, simhash, toxicity, urls, wrapper
+from tractloom.llm import decontaminate, flac, language, licenses, merkle, mixing, quality, resample, sharding, simhash, toxicity, urls, wrapper
 from tractloom.llm.common import fold_of, table
 
 THRESHOLD = 0.7
@@ -88,6 +88,25 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", F.array_join(F.col("mined.tokens"), " ").alias("mined_rule"))
 
 
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def manifested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document, by its id's crc32, is held against the manifest with the line ends of its text taken out."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    spoilt = F.when(fold_of(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    seen = merkle.leaf_digest([spoilt if f == "text" else F.col(f) for f in merkle.FIELDS])
+    found = merkle.manifest(docs.withColumn("seen_leaf", seen), keep=("seen_leaf",))
+    found = found.withColumn("folded_root", merkle.fold(F.col("seen_leaf"), F.col("proof")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_decontamination": decontaminated,
     "op2_toxicity": toxic,
@@ -99,8 +118,20 @@ QUERIES = {
     "op8_url_filter": url_verdicts,
     "op9_simhash_near_dedup": near_duplicates,
     "op10_quality": good,
+    "op11_hilbert_shards": shards,
+    "op12_importance_resampling": resampled,
+    "op13_merkle_manifest": manifested,
 }
 
+# crc32 in SQL: a table of 256 by its polynomial, then a fold over the bytes, which are read from the hex form of the UTF-8 text.
+CRC_TABLE_SQL = "crc AS (SELECT list(v ORDER BY b) AS tab FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))) AS v FROM range(256) r(b)))"
+
+
+def crc32_sql(said: str) -> str:
+    octets = f"list_transform(range(strlen({said})), lambda i: ('0x' || substr(hex(encode({said})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+
+
 #: The rest is learnt, drawn, hashed or decoded; tests hold those against brute force, round trips or held-out labels.
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
