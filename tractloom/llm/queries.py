@@ -132,6 +132,8 @@ def crc32_sql(said: str) -> str:
     return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
 
 
+LEAF_SQL = "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
 #: The rest is learnt, drawn, hashed or decoded; tests hold those against brute force, round trips or held-out labels.
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
@@ -151,4 +153,44 @@ ORACLE_SQL: dict[str, str] = {
         FROM low d LEFT JOIN words_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
     """,
     "op7_license_scan": licenses.scan_sql(),
+    "op12_importance_resampling": f"""
+        WITH {CRC_TABLE_SQL},
+        docs AS (SELECT doc_id, {WORDS_SQL} AS w, row_number() OVER () AS pos FROM documents),
+        aim AS (SELECT {WORDS_SQL} AS w FROM benchmark),
+        parts AS (SELECT pos, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM docs),
+        goal AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM aim),
+        named AS (SELECT f, {crc32_sql("f")} % 10000 AS bucket FROM (SELECT f FROM parts UNION SELECT f FROM goal), crc),
+        s AS (SELECT bucket, count(*) AS n FROM parts JOIN named USING (f) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM goal JOIN named USING (f) GROUP BY bucket),
+        sums AS (SELECT (SELECT coalesce(sum(n), 0) + 10000 FROM s)::DOUBLE AS s, (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE AS t),
+        gain AS (SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * sums.s) / ((s.n + 1)::DOUBLE * sums.t)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), sums),
+        weighed AS (SELECT pos, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM parts JOIN named USING (f) JOIN gain USING (bucket) GROUP BY pos),
+        scored AS (SELECT pos, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, len(w) >= 20 AS long_enough,
+                          (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM docs LEFT JOIN weighed USING (pos)),
+        drawn AS (SELECT pos, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n FROM scored WHERE long_enough)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN drawn USING (pos)
+    """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {CRC_TABLE_SQL},
+        seen AS (SELECT *, CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS later FROM documents, crc),
+        leaves AS (SELECT doc_id, source, {LEAF_SQL.format("text")} AS leaf, {LEAF_SQL.format("later")} AS seen_leaf FROM seen),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM leaves),
+        nodes AS (
+            SELECT g, 0 AS k, r AS pos, leaf AS d, count(*) OVER (PARTITION BY g) AS n FROM ranked
+            UNION ALL
+            SELECT g, k, pos, d, count(*) OVER (PARTITION BY g) AS n FROM (SELECT g, k + 1 AS k, pos // 3 AS pos, sha256(string_agg(d, '' ORDER BY pos)) AS d FROM nodes WHERE n > 1 GROUP BY g, k, pos // 3)
+        ),
+        tops AS (
+            SELECT 0 AS k, g AS pos, d, count(*) OVER () AS n FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT k, pos, d, count(*) OVER () AS n FROM (SELECT k + 1 AS k, pos // 3 AS pos, sha256(string_agg(d, '' ORDER BY pos)) AS d FROM tops WHERE n > 1 GROUP BY k, pos // 3)
+        ),
+        runs AS (SELECT 0 AS part, g, k, pos // 3 AS run, list(d ORDER BY pos) AS ds FROM nodes WHERE n > 1 GROUP BY ALL UNION ALL SELECT 1, 0, k, pos // 3, list(d ORDER BY pos) FROM tops WHERE n > 1 GROUP BY ALL),
+        steps AS (SELECT r.g, r.r, u.part, u.k, u.ds, (r.r // pow(3, u.k)::BIGINT) % 3 + 1 AS own FROM ranked r JOIN runs u ON u.part = 0 AND u.g = r.g AND u.run = r.r // pow(3, u.k + 1)::BIGINT
+                  UNION ALL SELECT r.g, r.r, u.part, u.k, u.ds, (r.g // pow(3, u.k)::BIGINT) % 3 + 1 FROM ranked r JOIN runs u ON u.part = 1 AND u.run = r.g // pow(3, u.k + 1)::BIGINT),
+        proofs AS (SELECT g, r, list({{'l': array_to_string(ds[1:own - 1], ''), 'r': array_to_string(ds[own + 1:], '')}} ORDER BY part, k) AS p FROM steps GROUP BY g, r),
+        whole AS (SELECT *, CASE WHEN p IS NULL THEN seen_leaf ELSE list_reduce(list_prepend({{'l': seen_leaf, 'r': ''}}, p), lambda own, x: {{'l': sha256(x.l || own.l || x.r), 'r': ''}}).l END AS folded FROM ranked LEFT JOIN proofs USING (g, r))
+        SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(coalesce(array_to_string(list_transform(p, lambda x: x.l || x.r), ''), '')) AS proof_sha256, folded AS folded_root, folded = t.d AS verified
+        FROM whole JOIN (SELECT g, d FROM nodes WHERE n = 1) s USING (g), (SELECT d FROM tops WHERE n = 1) t
+    """,
 }
