@@ -35,7 +35,6 @@ PERCENT = 25
 SEED = 7
 KNOWN_WORDS = 100_000  # words whose codes a task remembers at once
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def splitter() -> pre_tokenizers.PreTokenizer:
@@ -60,7 +59,7 @@ class Cutter:
         return found
 
     def __call__(self, text: str | None) -> bytes:
-        low = (text or "").translate(ASCII_LOWER)
+        low = (text or "").encode().lower().decode()  # bytes.lower changes A-Z alone
         spans = [span for _, span in self.split.pre_tokenize_str(low)]
         words = [self.code(low[a:b]) for a, b in spans]
         pairs = [zlib.crc32(after[0], before[2]) for before, after in zip(words, words[1:], strict=False)]
