@@ -175,38 +175,6 @@ class Window:
         inside = (p[:, 0] * q[:, 1] - p[:, 1] * q[:, 0]) / 2
         return float(np.where(outside, 0.0, inside).sum() + np.where(start > 0, self.sector(a, p), 0.0).sum() + np.where(~outside & (end < 1), self.sector(q, b), 0.0).sum())
 
-    def rim(self, v: np.ndarray) -> np.ndarray:
-        """Where the ray towards v leaves the window."""
-        reach = self.normal @ v
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = np.where(reach > 0, self.offset / reach, np.inf)
-        return v * r.min()
-
-    def along(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """The window's vertices between the directions of u and v, the short way round."""
-        first = math.atan2(u[1], u[0])
-        turn = math.atan2(u[0] * v[1] - u[1] * v[0], u[0] * v[0] + u[1] * v[1])
-        away = (self.angle - first) % (2 * math.pi) if turn >= 0 else (first - self.angle) % (2 * math.pi)
-        k = np.flatnonzero((away > 0) & (away < abs(turn)))
-        return self.w[k[np.argsort(away[k])]]
-
-    def drawn_in(self, ring: np.ndarray) -> np.ndarray:
-        """The ring with every part outside moved along its ray onto the rim.
-
-        It winds round each point inside the window as the ring does, so any area within the window stays the same.
-        """
-        if len(ring) < 3:
-            return ring[:0]
-        parts = []
-        for a, b, p, q, start, end, outside in zip(*self.split(ring), strict=True):
-            if start > 0:
-                parts += [self.rim(a)[None], self.along(a, p)]
-            if not outside:
-                parts += [p[None], q[None]]
-                if end < 1:
-                    parts.append(self.along(q, b))
-        return np.concatenate(parts) + self.centre
-
 
 def clipped_area(polygons: list[dict], window: Window) -> float:
     """Area of polygons inside a convex window; below a millionth of a square metre it is rounding."""
@@ -247,38 +215,10 @@ def covers_column(polygons: Column, x: Column, y: Column) -> Column:
     return of(polygons, x, y)
 
 
-def drawn_in(polygons: list[dict], window: Window) -> list[dict]:
-    """Polygons drawn into a window, for areas within it; those wholly outside are left out."""
-    out = []
-    for g in polygons:
-        outer = as_ring(g["outer"])
-        if abs(window.ring_area(outer)) > 1e-6:
-            out.append({"outer": as_points(window.drawn_in(outer)), "holes": [as_points(window.drawn_in(as_ring(h))) for h in g["holes"] or ()]})
-    return out
-
-
-def as_points(ring: np.ndarray) -> list[dict]:
-    return [{"x": x, "y": y} for x, y in ring.tolist()]
-
-
 ARROW_RING = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 ARROW_POLYGONS = pa.list_(pa.struct([("outer", ARROW_RING), ("holes", pa.list_(ARROW_RING))]))
 
 
-def footprint_clip(polygons: Column, x: Column, y: Column, radius: float) -> Column:
-    """struct (area, polygons): the area inside the footprint at (x, y), and the polygons drawn into it."""
-
-    @F.arrow_udf(f"struct<area:double,polygons:{POLYGONS}>")
-    def of(g: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
-        out = []
-        for p, a, b in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True):
-            window = Window(footprint(a, b, radius))
-            out.append({"area": clipped_area(p, window), "polygons": drawn_in(p, window)})
-        return pa.array(out, type=pa.struct([("area", pa.float64()), ("polygons", ARROW_POLYGONS)]))
-
-    return of(polygons, x, y)
-
-
 def footprint_clip_area(polygons: Column, x: Column, y: Column, radius: float) -> Column:
     """Area of polygons inside the footprint at (x, y)."""
 
@@ -294,3 +234,39 @@ def footprint_clip_area(polygons: Column, x: Column, y: Column, radius: float) -
         return pa.array(out, type=pa.float64())
 
     return of(polygons, x, y)
+
+
+def common_window(a: tuple[float, float], b: tuple[float, float], radius: float) -> Window | None:
+    """The convex window that two footprints share, None if they do not overlap.
+
+    Its corners are those of either inside the other and where the rims cross; near-equal corners are one.
+    """
+    one, other = footprint(*a, radius), footprint(*b, radius)
+    corners = []
+    for ring, window in ((one, Window(other)), (other, Window(one))):
+        _, _, p, q, start, end, outside = window.split(ring)
+        corners += [(p + window.centre)[~outside], (q + window.centre)[~outside]]
+    c = np.concatenate(corners)
+    if len(c) < 3:
+        return None
+    middle = c.mean(axis=0)
+    c = c[np.argsort(np.arctan2(*(c - middle).T[::-1]))]
+    c = c[np.hypot(*(c - np.roll(c, 1, axis=0)).T) > 1e-7]
+    return Window(c) if len(c) > 2 else None
+
+
+def common_clip_area(polygons: Column, x1: Column, y1: Column, x2: Column, y2: Column, radius: float) -> Column:
+    """Area of polygons inside both footprints, at (x1, y1) and (x2, y2)."""
+
+    @F.arrow_udf("double")
+    def of(g: pa.Array, *at: pa.Array) -> pa.Array:
+        made: dict[tuple, Window | None] = {}
+        out = []
+        for p, *key in zip(g.to_pylist(), *[c.to_pylist() for c in at], strict=True):
+            key = tuple(key)
+            if key not in made:
+                made[key] = common_window(key[:2], key[2:], radius)
+            out.append(clipped_area(p, made[key]) if made[key] is not None else 0.0)
+        return pa.array(out, type=pa.float64())
+
+    return of(polygons, x1, y1, x2, y2)

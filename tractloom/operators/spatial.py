@@ -1,36 +1,30 @@
 """Spatial evidence of contexts: anchor tract, footprint completeness, overlap and components.
 
-Joins go by grid cells: boxes are dealt to the cells they touch and meet in an equi-join on market and cell; a pair that
-shares several cells is kept in the one that holds the lower corner of the boxes' overlap, so no distinct is needed.
-Tracts of a market are taken to be disjoint, so areas of footprints inside the market are sums over tracts.
+Joins by place go through `cells.within`, whose cells follow the density of the anchors. What a footprint holds is an index
+from tracts to contexts, a row of numbers for each context and tract; overlaps of footprints are bounded from it alone, and a
+polygon is clipped again only for pairs that the bounds leave open. Sums over tracts take a market's tracts as disjoint;
+`support.Support` tells whether they are, and gives the outline of their union.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import json
+import math
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractloom.functions import geometry as G
-from tractloom.functions.canonical import id_column
 from tractloom.operators import checks
+from tractloom.operators.cells import around, within
 from tractloom.operators.components import connected_components, settle
 from tractloom.operators.membership import JACCARD_STRESS, PRIMARY_RADIUS_M
+from tractloom.operators.support import Support, typical
 
 TOLERANCE = 1e-9  # share of the footprint's area below which rounding is not truncation
-
-
-def dealt(df: DataFrame, box, size: float) -> DataFrame:
-    return df.withColumn("__box", box).where("__box.x0 is not null").withColumn("__cell", F.explode(G.cells(F.col("__box"), size)))
-
-
-def meet(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
-    """Pairs of rows whose boxes overlap, each once; both have market_id, __box and __cell, else distinct names."""
-    r = right.withColumnRenamed("__box", "__other")
-    j = left.join(r, ["market_id", "__cell"])
-    a, b = F.col("__box"), F.col("__other")
-    overlap = (a["x0"] <= b["x1"]) & (b["x0"] <= a["x1"]) & (a["y0"] <= b["y1"]) & (b["y0"] <= a["y1"])
-    home = (F.floor(F.greatest(a["x0"], b["x0"]) / size) == F.col("__cell.i")) & (F.floor(F.greatest(a["y0"], b["y0"]) / size) == F.col("__cell.j"))
-    return j.where(overlap & home).drop("__box", "__other", "__cell")
+SLACK = 1e-9  # by which bounds are widened against rounding, as a share of the footprint's area
 
 
 def bind_anchors(anchors: DataFrame, tracts: DataFrame, size: float = 0.05) -> tuple[DataFrame, list[DataFrame]]:
@@ -39,33 +33,52 @@ def bind_anchors(anchors: DataFrame, tracts: DataFrame, size: float = 0.05) -> t
     tracts: market_id, tract_geoid, polygons in degrees. A point on a shared edge is covered twice, a violation.
     """
     x, y = F.col("longitude"), F.col("latitude")
-    point = dealt(anchors, F.struct(x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1")), size)
-    shapes = dealt(tracts.select("market_id", "tract_geoid", "polygons"), G.box(F.col("polygons")), size)
-    found = meet(point, shapes, size).where(G.covers_column(F.col("polygons"), x, y)).drop("polygons").withColumnRenamed("tract_geoid", "anchor_tract_geoid")
+    shapes = tracts.select("market_id", F.col("tract_geoid").alias("anchor_tract_geoid"), "polygons")
+    near = within(anchors, x, y, shapes, G.box(F.col("polygons")), size)
+    found = near.where(G.covers_column(F.col("polygons"), x, y)).drop("polygons")
     return found, [
         checks.not_covered(anchors, found, ["context_instance_id"], 10, "GEO02_ANCHOR_TRACT_BINDING_AMBIGUOUS"),
         checks.duplicates(found, ["context_instance_id"], 10, "GEO02_ANCHOR_TRACT_BINDING_AMBIGUOUS"),
     ]
 
 
-def clipped_tracts(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
-    """A row per context and tract with positive area in its footprint: ids, anchor, clip_area and the polygons drawn into the footprint.
+def far_corner(x: Column, y: Column, box: Column) -> Column:
+    """Distance from a point to the farthest point of a box."""
+    return F.hypot(F.greatest(F.abs(x - box["x0"]), F.abs(x - box["x1"])), F.greatest(F.abs(y - box["y0"]), F.abs(y - box["y1"])))
+
+
+def near_corner(x: Column, y: Column, box: Column) -> Column:
+    """Distance from a point to the nearest point of a box, 0 inside."""
+    zero = F.lit(0.0)
+    return F.hypot(F.greatest(box["x0"] - x, x - box["x1"], zero), F.greatest(box["y0"] - y, y - box["y1"], zero))
+
+
+def tract_areas(polygons: Column) -> Column:
+    return F.aggregate(polygons, F.lit(0.0), lambda s, g: s + F.abs(G.ring_area(g["outer"])) - F.aggregate(F.coalesce(g["holes"], F.array().cast(f"array<{G.RING}>")), F.lit(0.0), lambda t, h: t + F.abs(G.ring_area(h))))
+
+
+def clip_index(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
+    """A row per context and tract with positive area in its footprint: ids, anchor, clip_area and tract_area.
 
     contexts: context_instance_id, market_id, anchor_x_m, anchor_y_m. tracts: market_id, tract_geoid, polygons in metres.
+    A tract whose box lies in the footprint is not clipped; its polygon meets the others only.
     """
-    size = 2 * radius
     x, y = F.col("anchor_x_m"), F.col("anchor_y_m")
-    around = dealt(contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m"), F.struct((x - radius).alias("x0"), (y - radius).alias("y0"), (x + radius).alias("x1"), (y + radius).alias("y1")), size)
-    shapes = dealt(tracts.select("market_id", "tract_geoid", "polygons"), G.box(F.col("polygons")), size)
-    met = meet(around, shapes, size)
-    cut = met.withColumn("__c", G.footprint_clip(F.col("polygons"), x, y, radius))
-    return settle(cut.select("context_instance_id", "market_id", "tract_geoid", "anchor_x_m", "anchor_y_m", F.col("__c.area").alias("clip_area"), F.col("__c.polygons").alias("polygons")).where("clip_area > 0"))
-
-
-def completeness(contexts: DataFrame, clipped: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
+    ids = contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m")
+    sized = settle(tracts.select("market_id", "tract_geoid", G.box(F.col("polygons")).alias("box"), tract_areas(F.col("polygons")).alias("tract_area")).where("box.x0 is not null"))
+    grown = F.struct(*[(F.col(f"box.{c}{i}") + (radius if i else -radius)).alias(f"{c}{i}") for i in (0, 1) for c in "xy"])
+    met = within(ids, x, y, sized, grown, 2 * radius).where(near_corner(x, y, F.col("box")) < radius)
+    met = settle(met.withColumn("inside", far_corner(x, y, F.col("box")) <= radius * math.cos(math.pi / G.SIDES)).drop("box"))
+    whole = met.where("inside").withColumn("clip_area", F.col("tract_area"))
+    cut = met.where("not inside").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
+    cut = cut.withColumn("clip_area", F.least("tract_area", G.footprint_clip_area(F.col("polygons"), x, y, radius))).drop("polygons")
+    return settle(whole.unionByName(cut).drop("inside").where("clip_area > 0"))
+
+
+def completeness(contexts: DataFrame, index: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
     """geometric_completeness, market_edge_state, truncated_area_m2 and positive_area_tract_count of each context."""
     whole = G.footprint_area(radius)
-    by = clipped.groupBy("context_instance_id").agg(F.sum("clip_area").alias("inside"), F.count("*").alias("positive_area_tract_count"))
+    by = index.groupBy("context_instance_id").agg(F.sum("clip_area").alias("inside"), F.count("*").alias("positive_area_tract_count"))
     j = contexts.select("context_instance_id", "market_id").join(by, "context_instance_id", "left")
     inside = F.least(F.coalesce("inside", F.lit(0.0)), F.lit(whole))
     cut = F.lit(whole) - inside
@@ -78,84 +91,173 @@ def completeness(contexts: DataFrame, clipped: DataFrame, radius: float = PRIMAR
 
 
 def market_boundary(tracts: DataFrame) -> DataFrame:
-    """market_id and edge (a, b): edges that one tract alone has; exact where neighbours share vertices."""
-    e = tracts.select("market_id", F.explode(G.edges(F.col("polygons"))).alias("edge"))
-    return e.groupBy("market_id", "edge").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    """market_id and the edges a, b of the union of a market's tracts, also where neighbours have other vertices or overlap."""
+    return Support(tracts).outline()
 
 
-def edge_distance(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M, size: float = 2_000.0, levels: int = 16) -> DataFrame:
-    """anchor_to_market_boundary_m and footprint_edge_margin_m.
+def edge_distance(contexts: DataFrame, outline: DataFrame, radius: float = PRIMARY_RADIUS_M, size: float | None = None) -> DataFrame:
+    """anchor_to_market_boundary_m and footprint_edge_margin_m, from the edges (market_id, a, b) of the markets' outlines.
 
-    Level k has cells of edge size * 2^k. All edges within that distance of an anchor are in the nine cells about it, so an
-    anchor that meets one so near is settled; the others, which have nothing near, go on to the next level. Anchors that
-    are not settled by the last level (65,536 times `size`) have no boundary: their market has no tract.
+    The edges are dealt to a pyramid of cells, edge size * 2^k at level k. An anchor's lowest level with an edge in the nine cells
+    about it bounds its distance by the far corner of the nearest such cell; all edges nearer than that are in the cells of the
+    level that begin within the bound, at most seven by seven. So there are two joins at any distance and no loop. An anchor in
+    a market without an edge, or without coordinates, has no row.
     """
-    edges = settle(market_boundary(tracts).withColumn("box", F.struct(*[f(F.col(f"edge.a.{c}"), F.col(f"edge.b.{c}")).alias(f"{c}{i}") for c in "xy" for i, f in enumerate((F.least, F.greatest))])))
-    left = contexts.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m").join(edges.select("market_id").distinct(), "market_id", "left_semi")
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    done = None
-    for k in range(levels + 1):
-        edge = size * 2**k
-        span = lambda c: F.sequence(F.floor(F.col(f"box.{c}0") / edge), F.floor(F.col(f"box.{c}1") / edge))  # noqa: E731, B023
-        dealt_edges = edges.withColumn("i", F.explode(span("x"))).withColumn("j", F.explode(span("y"))).select("market_id", "edge", "i", "j")
-        cell = [(F.floor(F.col(f"anchor_{c}_m") / edge) + F.col(f"d.{n}")).alias(n) for c, n in (("x", "i"), ("y", "j"))]
-        met = left.withColumn("d", F.explode(around)).select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m", *cell).join(dealt_edges, ["market_id", "i", "j"])
-        d = G.segment_distance(F.col("anchor_x_m"), F.col("anchor_y_m"), F.col("edge.a"), F.col("edge.b"))
-        near = settle(met.groupBy("context_instance_id").agg(F.min(d).alias("anchor_to_market_boundary_m")).where(F.col("anchor_to_market_boundary_m") <= edge))
-        done = near if done is None else done.unionByName(near)
-        left = settle(left.join(near.select("context_instance_id"), "context_instance_id", "left_anti"))
-        if left.isEmpty():
-            break
-    return done.withColumn("footprint_edge_margin_m", F.col("anchor_to_market_boundary_m") - radius)
+    box = F.struct(*[f(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(f"{c}{i}") for i, f in enumerate((F.least, F.greatest)) for c in "xy"])
+    edges = settle(outline.select("market_id", "a", "b", box.alias("box")))
+    size = size or typical(edges, F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0")), 1.0)
+    a = contexts.where("anchor_x_m is not null and anchor_y_m is not null").select("context_instance_id", "market_id", F.col("anchor_x_m").alias("x"), F.col("anchor_y_m").alias("y"))
+    spans = [edges.select("market_id", "box.*"), a.select("market_id", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))]
+    widest = spans[0].unionByName(spans[1]).groupBy("market_id").agg(F.greatest(F.max("x1") - F.min("x0"), F.max("y1") - F.min("y0")).alias("w")).agg(F.max("w")).first()[0]
+    levels = max(0, math.ceil(math.log2(max(widest or 0.0, size) / size)))  # at the top level all of a market is in nine cells
+
+    def cell(v: Column, level: Column) -> Column:
+        return F.floor(v / (size * F.pow(F.lit(2.0), level)))
+
+    def spread(df: DataFrame, x0: Column, x1: Column, y0: Column, y1: Column) -> DataFrame:
+        level = F.col("level")
+        return df.withColumn("i", F.explode(F.sequence(cell(x0, level), cell(x1, level)))).withColumn("j", F.explode(F.sequence(cell(y0, level), cell(y1, level))))
+
+    every_level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
+    dealt = spread(edges.withColumn("level", every_level), F.col("box.x0"), F.col("box.x1"), F.col("box.y0"), F.col("box.y1"))
+    at = ["market_id", "level", "i", "j"]
+    edge = size * F.pow(F.lit(2.0), F.col("level"))
+    of_cell = F.struct((F.col("i") * edge).alias("x0"), (F.col("j") * edge).alias("y0"), ((F.col("i") + 1) * edge).alias("x1"), ((F.col("j") + 1) * edge).alias("y1"))
+    x, y = F.col("x"), F.col("y")
+    first = spread(a.withColumn("level", every_level), x - edge, x + edge, y - edge, y + edge).join(dealt.select(*at).distinct(), at)
+    bound = first.groupBy("context_instance_id", "market_id", "x", "y").agg(F.min(F.struct("level", far_corner(x, y, of_cell).alias("far"))).alias("m")).select("context_instance_id", "market_id", "x", "y", "m.level", (F.col("m.far") * (1 + SLACK)).alias("far"))
+    reach = F.col("far")
+    wanted = spread(bound, x - reach, x + reach, y - reach, y + reach).where(near_corner(x, y, of_cell) <= reach)
+    met = wanted.join(dealt.select(*at, "a", "b"), at)
+    d = F.min(G.segment_distance(x, y, F.col("a"), F.col("b")))
+    return met.groupBy("context_instance_id").agg(d.alias("anchor_to_market_boundary_m")).withColumn("footprint_edge_margin_m", F.col("anchor_to_market_boundary_m") - radius)
 
 
 def near_pairs(contexts: DataFrame, reach: float) -> DataFrame:
-    """left, right (left < right) and the right anchor of all contexts of a market nearer than `reach`, by cells of that edge."""
-    x, y = F.col("anchor_x_m"), F.col("anchor_y_m")
-    c = contexts.select("market_id", "context_instance_id", "anchor_x_m", "anchor_y_m").withColumn("i", F.floor(x / reach)).withColumn("j", F.floor(y / reach))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    l = c.withColumn("d", F.explode(around)).select("market_id", (F.col("i") + F.col("d.i")).alias("i"), (F.col("j") + F.col("d.j")).alias("j"), F.col("context_instance_id").alias("left"), x.alias("x1"), y.alias("y1"))  # noqa: E741
-    r = c.select("market_id", "i", "j", F.col("context_instance_id").alias("right"), x.alias("x2"), y.alias("y2"))
-    met = l.join(r, ["market_id", "i", "j"]).where((F.col("left") < F.col("right")) & (F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")) < reach))
-    return met.select("left", "right", "x2", "y2")
+    """market_id, left, right (left < right) and both anchors of all contexts of a market nearer than `reach`."""
+    own, other = ([F.col(c).alias(n) for c, n in zip(("context_instance_id", "anchor_x_m", "anchor_y_m"), names, strict=True)] for names in (("left", "x1", "y1"), ("right", "x2", "y2")))
+    l, r = contexts.select("market_id", *own), contexts.select("market_id", *other)  # noqa: E741
+    met = within(l, F.col("x1"), F.col("y1"), r, around(F.col("x2"), F.col("y2"), reach), reach)
+    return met.where((F.col("left") < F.col("right")) & (F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")) < reach))
+
 
+def lens_area(d: Column, radius: float) -> Column:
+    """Area that two circles of one radius share at a distance d."""
+    half = F.least(d / (2 * radius), F.lit(1.0))
+    return 2 * radius * radius * (F.acos(half) - half * F.sqrt(1 - half * half))
 
-def jaccard_pairs(clipped: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
-    """left, right (left < right) and geometric_jaccard of the clipped footprints of a market that overlap.
 
-    Anchors meet by cells; each tract's part of the left footprint gives its area inside the right one.
+def pair_bounds(index: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
+    """left, right (left < right), their anchors, their clipped areas, and bounds low and high of the area they share.
+
+    Contexts meet in the tracts that both footprints touch. A tract wholly in one footprint shares what it has in the other; else
+    the parts share at most the lesser, and at least what does not fit into the tract beside each other. The
+    circles in and about the footprints bound the whole, less what either footprint lacks of its market.
     """
-    sizes = clipped.groupBy("context_instance_id").agg(F.sum("clip_area").alias("a"))
-    anchors = clipped.select("context_instance_id", "market_id", "anchor_x_m", "anchor_y_m").distinct()
-    drawn = clipped.select(F.col("context_instance_id").alias("left"), "polygons")
-    j = near_pairs(anchors, 2 * radius).join(drawn, "left")
-    common = j.withColumn("i", G.footprint_clip_area(F.col("polygons"), F.col("x2"), F.col("y2"), radius)).groupBy("left", "right").agg(F.sum("i").alias("i")).where("i > 0")
-    named = [sizes.withColumnRenamed("context_instance_id", s).withColumnRenamed("a", f"a_{s}") for s in ("left", "right")]
-    both = common.join(named[0], "left").join(named[1], "right")
-    joint = F.col("a_left") + F.col("a_right") - F.col("i")
-    return both.select("left", "right", (F.least(F.col("i"), joint) / joint).alias("geometric_jaccard"))
+    full = G.footprint_area(radius)
+    sizes = index.groupBy("context_instance_id").agg(F.sum("clip_area").alias("size"))
+    rows = index.join(sizes, "context_instance_id")
+    side = lambda n, s: rows.select("market_id", "tract_geoid", "tract_area", F.col("context_instance_id").alias(s), F.col("anchor_x_m").alias(f"x{n}"), F.col("anchor_y_m").alias(f"y{n}"), F.col("size").alias(f"size{n}"), F.col("clip_area").alias(f"c{n}"))
+    d = F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2"))
+    met = side(1, "left").join(side(2, "right").drop("tract_area"), ["market_id", "tract_geoid"]).where((F.col("left") < F.col("right")) & (d < 2 * radius))
+    least = F.greatest(F.lit(0.0), F.col("c1") + F.col("c2") - F.col("tract_area"))
+    by = met.groupBy("left", "right", "x1", "y1", "x2", "y2", "size1", "size2").agg(F.sum(least).alias("low"), F.sum(F.least("c1", "c2")).alias("high"))
+    inner = lens_area(d, radius * math.cos(math.pi / G.SIDES)) - F.least(full - F.col("size1"), full - F.col("size2"))
+    return by.withColumn("low", F.greatest(F.lit(0.0), F.col("low"), inner) - SLACK * full).withColumn("high", F.least(F.col("high"), lens_area(d, radius)) + SLACK * full)
+
 
+def jaccard(shared: Column) -> Column:
+    joint = F.col("size1") + F.col("size2") - shared
+    return F.least(shared, joint) / joint
 
-def overlap_components(contexts: DataFrame, pairs: DataFrame, threshold: float = JACCARD_STRESS) -> DataFrame:
-    """Of each context: largest Jaccard, threshold neighbours, and the component of the threshold graph.
 
-    component_id is the content id of the sorted member list.
+def shared_areas(pairs: DataFrame, index: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
+    """left, right and the exact area `shared` of the footprints of pairs (left, right, x1, y1, x2, y2).
+
+    Only tracts partly in both footprints meet their polygon, each tract's being shuffled once whatever the number of pairs.
     """
-    sides = pairs.select(F.col("left").alias("context_instance_id"), "geometric_jaccard").unionByName(pairs.select(F.col("right").alias("context_instance_id"), "geometric_jaccard"))
-    by = sides.groupBy("context_instance_id").agg(F.max("geometric_jaccard").alias("j"), F.count_if(F.col("geometric_jaccard") >= threshold).alias("n"))
-    roots = connected_components(pairs.where(F.col("geometric_jaccard") >= threshold).select(F.col("left").alias("a"), F.col("right").alias("b")))
+    side = lambda n, s: index.select("market_id", "tract_geoid", "tract_area", F.col("context_instance_id").alias(s), F.col("clip_area").alias(f"c{n}"))
+    rows = pairs.select("left", "right", "x1", "y1", "x2", "y2").join(side(1, "left"), "left").join(side(2, "right").drop("tract_area"), ["right", "market_id", "tract_geoid"])
+    known = F.greatest("c1", "c2") >= F.col("tract_area") * (1 - 1e-12)
+    rows = settle(rows.withColumn("known", known))
+    open_ = rows.where("not known").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
+    parts = rows.where("known").select("left", "right", F.least("c1", "c2").alias("part"))
+    clipped = open_.select("left", "right", F.least("c1", "c2", G.common_clip_area(F.col("polygons"), *[F.col(c) for c in ("x1", "y1", "x2", "y2")], radius)).alias("part"))
+    return parts.unionByName(clipped).groupBy("left", "right").agg(F.sum("part").alias("shared"))
+
+
+def jaccard_pairs(index: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
+    """left, right (left < right) and the exact geometric_jaccard of all footprints of a market that share an area."""
+    pairs = settle(pair_bounds(index, radius).where("high > 0"))
+    exact = pairs.join(shared_areas(pairs, index, tracts, radius), ["left", "right"])
+    return exact.where("shared > 0").select("left", "right", jaccard(F.col("shared")).alias("geometric_jaccard"))
+
+
+def overlap(contexts: DataFrame, index: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M, threshold: float = JACCARD_STRESS) -> tuple[DataFrame, DataFrame]:
+    """Of each context its largest Jaccard and the number of neighbours at the threshold, and the threshold graph (a, b).
+
+    A pair is clipped only if its bounds lie on both sides of the threshold, or its upper bound reaches the largest
+    lower bound of one of its two contexts; all other pairs can change neither result.
+    """
+    pairs = pair_bounds(index, radius).where("high > 0").withColumn("at_least", jaccard(F.greatest("low", F.lit(0.0)))).withColumn("at_most", jaccard(F.least("high", "size1", "size2")))
+    pairs = settle(pairs.drop("low", "high"))
+    sides = [pairs.select(F.col(s).alias("context_instance_id"), "at_least") for s in ("left", "right")]
+    best = settle(sides[0].unionByName(sides[1]).groupBy("context_instance_id").agg(F.max("at_least").alias("best")))
+    bests = [best.select(F.col("context_instance_id").alias(s), F.col("best").alias(f"best_{s}")) for s in ("left", "right")]
+    judged = pairs.join(bests[0], "left").join(bests[1], "right")
+    open_ = (F.col("at_least") < threshold) & (F.col("at_most") >= threshold)
+    wanted = settle(judged.where(open_ | (F.col("at_most") >= F.least("best_left", "best_right"))))
+    exact = wanted.join(shared_areas(wanted, index, tracts, radius), ["left", "right"]).select("left", "right", jaccard(F.col("shared")).alias("j"))
+    exact = settle(exact)
+    rest = pairs.join(exact.select("left", "right"), ["left", "right"], "left_anti").select("left", "right", F.when(F.col("at_least") >= threshold, F.lit(True)).otherwise(False).alias("linked"), F.lit(None).cast("double").alias("j"))
+    told = settle(exact.select("left", "right", (F.col("j") >= threshold).alias("linked"), "j").unionByName(rest))
+    sides = [told.select(F.col(s).alias("context_instance_id"), "linked", "j") for s in ("left", "right")]
+    by = sides[0].unionByName(sides[1]).groupBy("context_instance_id").agg(F.max("j").alias("j"), F.count_if("linked").alias("n"))
+    out = contexts.select("context_instance_id").join(by, "context_instance_id", "left")
+    return out.select("context_instance_id", F.coalesce("j", F.lit(0.0)).alias("geometric_jaccard"), F.coalesce("n", F.lit(0)).alias("threshold_neighbor_count")), told.where("linked").select(F.col("left").alias("a"), F.col("right").alias("b"))
+
+
+def named_components(contexts: DataFrame, links: DataFrame) -> DataFrame:
+    """context_instance_id, component_id and component_size in the graph of links (a, b).
+
+    component_id is the content id of the component's sorted members. Their canonical text is hashed as it is read, in the order of
+    the sort, so a component of any size is never held.
+    """
+    roots = connected_components(links)
     c = contexts.select("context_instance_id").join(roots.withColumnRenamed("vertex", "context_instance_id"), "context_instance_id", "left")
-    c = c.withColumn("root", F.coalesce("root", "context_instance_id"))
-    lists = c.groupBy("root").agg(F.array_sort(F.collect_list("context_instance_id")).alias("members"))
-    named = lists.select("root", id_column("geo02_spatial_component", F.col("members")).alias("component_id"), F.size("members").cast("bigint").alias("component_size"))
-    return c.join(named, "root").join(by, "context_instance_id", "left").select(
-        "context_instance_id", F.coalesce("j", F.lit(0.0)).alias("geometric_jaccard"), F.coalesce("n", F.lit(0)).alias("threshold_neighbor_count"), "component_id", "component_size"
-    )
+    c = settle(c.withColumn("root", F.coalesce("root", "context_instance_id")))
+
+    def hashed(batches):
+        now, digest, n = None, None, 0
+        done: list[tuple] = []
+
+        def close():
+            if n:
+                digest.update(b"]")
+                done.append((now, f"geo02_spatial_component:sha256:{digest.hexdigest()}", n))
+
+        for batch in batches:
+            for root, member in zip(batch.column("root").to_pylist(), batch.column("context_instance_id").to_pylist(), strict=True):
+                if n == 0 or root != now:
+                    close()
+                    now, digest, n = root, hashlib.sha256(b"["), 0
+                digest.update((b"," if n else b"") + json.dumps(member, ensure_ascii=False).encode())
+                n += 1
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*done, strict=True)], ["root", "component_id", "component_size"])
+                done = []
+        close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*done, strict=True)], ["root", "component_id", "component_size"])
+
+    named = c.select("root", "context_instance_id").repartition("root").sortWithinPartitions("root", "context_instance_id").mapInArrow(hashed, "root string, component_id string, component_size bigint")
+    return c.join(named, "root").select("context_instance_id", "component_id", "component_size")
 
 
 def spatial_evidence(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
     """All spatial evidence of contexts (with context_spec_id), with the Jaccard stress flag."""
-    clipped = clipped_tracts(contexts, tracts, radius)
-    parts = completeness(contexts, clipped, radius).join(edge_distance(contexts, tracts, radius), "context_instance_id", "left")
-    joined = contexts.select("context_instance_id", "context_spec_id").join(parts, "context_instance_id").join(overlap_components(contexts, jaccard_pairs(clipped, radius)), "context_instance_id")
+    index = clip_index(contexts, tracts, radius)
+    parts = completeness(contexts, index, radius).join(edge_distance(contexts, market_boundary(tracts), radius), "context_instance_id", "left")
+    overlaps, links = overlap(contexts, index, tracts, radius)
+    joined = contexts.select("context_instance_id", "context_spec_id").join(parts, "context_instance_id").join(overlaps, "context_instance_id").join(named_components(contexts, links), "context_instance_id")
     return joined.withColumn("jaccard_dependence_stress", F.col("geometric_jaccard") >= JACCARD_STRESS)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tractloom import publish
 from tractloom.functions import canonical, coordinates, households, text
 from tractloom.functions import geometry as G
-from tractloom.operators import authority, binding, checks, components, contracts, governance, identity, membership, spatial
+from tractloom.operators import authority, binding, cells, checks, components, contracts, governance, identity, membership, spatial
+from tractloom.plans import footprints
 from tractloom.session import table
 from tractloom.sources import handles, household_file, shapes, worksheet
 
@@ -295,31 +296,33 @@ def anchor_tract_binding(spark, sf_dir):
     return found.select("context_instance_id", "anchor_tract_geoid")
 
 
-@query("footprint_evidence")
+@query("footprint_evidence", footprints.evidence_sql(POINTS_SQL, HALF))
 def footprint_evidence(spark, sf_dir):
-    """Completeness, edge state, boundary distance, Jaccard and components of footprints over grid tracts.
-
-    All points are anchors, ten times as far apart as in the other views, as sites of a chain are.
-    """
+    """Completeness, edge state, boundary distance, Jaccard and components of footprints over grid tracts, all points anchors."""
     p = points(spark, sf_dir)
-    p = p.withColumns({c: F.col(c) * 10 for c in ("projected_x_m", "projected_y_m")})
-    return spatial.spatial_evidence(many_contexts(p), square_tracts(p))
+    e = spatial.spatial_evidence(many_contexts(p), square_tracts(p))
+    rounded = {"geometric_completeness": 9, "anchor_to_market_boundary_m": 6, "geometric_jaccard": 8}
+    return e.withColumns({c: F.round(c, n) for c, n in rounded.items()}).drop("context_spec_id", "truncated_area_m2", "footprint_edge_margin_m")
 
 
 BOX_SQL = f"""WITH {POINTS_SQL}, c AS (SELECT vec_id, market_id, x, y FROM pts),
     pr AS (SELECT a.vec_id AS l, b.vec_id AS r, greatest(0, 16093.44 - abs(a.x - b.x)) * greatest(0, 16093.44 - abs(a.y - b.y)) AS i FROM c a JOIN c b ON a.market_id = b.market_id AND a.vec_id < b.vec_id)"""
 
 
-def box_pairs(spark, sf_dir):
-    """Jaccard of the footprints' bounding boxes, a closed form in place of polygons."""
-    side = 16093.44
-    c = points(spark, sf_dir)
+SIDE = 16093.44
+
+
+def box_pairs(spark, sf_dir, least: float = 0.0):
+    """Jaccard of the footprints' bounding boxes, a closed form in place of polygons; above `least` only.
+
+    Two boxes share less than (side - gap) * side, so with a Jaccard above `least` they are nearer along both axes than `reach`.
+    """
+    reach = SIDE * (1 - 2 * least / (1 + least))
     x, y = F.col("projected_x_m"), F.col("projected_y_m")
-    b = spatial.dealt(c, F.struct((x - side / 2).alias("x0"), (y - side / 2).alias("y0"), (x + side / 2).alias("x1"), (y + side / 2).alias("y1")), side)
-    other = b.select("market_id", "__cell", "__box", F.col("vec_id").alias("r"), x.alias("x2"), y.alias("y2"))
-    met = spatial.meet(b.select("market_id", "__cell", "__box", F.col("vec_id").alias("l"), x.alias("x1"), y.alias("y1")), other, side).where("l < r")
-    i = (side - F.abs(F.col("x1") - F.col("x2"))) * (side - F.abs(F.col("y1") - F.col("y2")))
-    return met.withColumn("i", i).where("i > 0").select("l", "r", (F.col("i") / (2 * side * side - F.col("i"))).alias("j"))
+    l, r = (points(spark, sf_dir).select("market_id", F.col("vec_id").alias(name), x.alias(f"x{n}"), y.alias(f"y{n}")) for n, name in ((1, "l"), (2, "r")))  # noqa: E741
+    met = cells.within(l, F.col("x1"), F.col("y1"), r, cells.around(F.col("x2"), F.col("y2"), reach), reach).where("l < r")
+    i = (SIDE - F.abs(F.col("x1") - F.col("x2"))) * (SIDE - F.abs(F.col("y1") - F.col("y2")))
+    return met.withColumn("i", i).where("i > 0").select("l", "r", (F.col("i") / (2 * SIDE * SIDE - F.col("i"))).alias("j"))
 
 
 @query("box_jaccard_pairs", BOX_SQL + " SELECT l AS left_id, r AS right_id, round(i / (2 * 16093.44 * 16093.44 - i), 9) AS jaccard FROM pr WHERE i > 0")
@@ -333,7 +336,7 @@ def box_jaccard_pairs(spark, sf_dir):
         w AS (SELECT vec_id AS v, vec_id AS root FROM c UNION SELECT e.r, w.root FROM w JOIN e ON e.l = w.v) SELECT v AS vec_id, min(root) AS component FROM w GROUP BY v""",
 )
 def jaccard_components(spark, sf_dir):
-    roots = components.connected_components(box_pairs(spark, sf_dir).where("j >= 0.25").select(F.col("l").alias("a"), F.col("r").alias("b")))
+    roots = components.connected_components(box_pairs(spark, sf_dir, 0.25).where("j >= 0.25").select(F.col("l").alias("a"), F.col("r").alias("b")))
     c = points(spark, sf_dir).select("vec_id")
     return c.join(roots, F.col("vec_id") == F.col("vertex"), "left").select("vec_id", F.coalesce("root", "vec_id").alias("component"))
 
