@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,10 @@ def box(x0, y0, x1, y1):
     return [({"x": float(x), "y": float(y)}) for x, y in ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0))]
 
 
+def ring_of(points):
+    return [{"x": x, "y": y} for x, y in points.tolist()]
+
+
 def tracts(spark, *boxes):
     return spark.createDataFrame([("m", f"{i:011d}", [{"outer": box(*b), "holes": []}]) for i, b in enumerate(boxes)], TRACTS)
 
@@ -61,15 +66,30 @@ def test_clipping_equals_half_plane_clipping():
         if np.diff(np.append(t, t[0] + 2 * np.pi)).max() < np.pi:
             ring = np.column_stack([c[0] + r * np.cos(t), c[1] + r * np.sin(t)])
             assert abs(window.ring_area(ring)) == pytest.approx(abs(G.area(G.clip(ring, w))), abs=1e-4)
-            at = rng.uniform(-900, 1100, 2)
-            both = abs(G.area(G.clip(G.clip(ring, w), G.footprint(*at, 1000.0))))
-            common = G.common_window((100, 200), tuple(at), 1000.0)
-            assert (abs(common.ring_area(ring)) if common else 0.0) == pytest.approx(both, abs=1e-3)
+            for reach in (1e-9, 1.0, 1400.0):
+                at = np.array([100.0, 200.0]) + rng.uniform(-reach, reach, 2)
+                both = abs(G.area(G.clip(G.clip(ring, w), G.footprint(*at, 1000.0))))
+                common = G.common_window(at - (100, 200), 1000.0)
+                assert (abs(common.ring_area(ring - (100, 200))) if common else 0.0) == pytest.approx(both, abs=1e-3)
+                g = pa.array([None, [{"outer": ring_of(ring), "holes": []}], [{"outer": ring_of(ring), "holes": [ring_of(ring)]}]], G.ARROW_POLYGONS)
+                assert G.common_clipped_areas(g, np.array([[100.0, 200.0, *at]] * 3), 1000.0) == pytest.approx([0, both, 0], abs=1e-3)
+
+
+def test_touching_footprints():
+    """Rims that cross within single sides, and the sum over a plane of squares."""
+    r = 1000.0
+    for shift in ([2 * r * np.cos(np.pi / 256) - 0.3, 0.1], [1999.0, 3.0], [2001.0, 0.0], [10.0, -1500.0]):
+        one, other = G.footprint(0, 0, r), G.footprint(*shift, r)
+        window = G.common_window(np.array(shift), r)
+        assert (window.area if window else 0.0) == pytest.approx(abs(G.area(G.clip(one, other))), abs=1e-6)
+    squares = [[{"outer": [{"x": float(x), "y": float(y)} for x, y in ((i, j), (i + 500, j), (i + 500, j + 500), (i, j + 500))], "holes": []}] for i in range(-2000, 2000, 500) for j in range(-2000, 2000, 500)]
+    got = G.common_clipped_areas(pa.array(squares, G.ARROW_POLYGONS), np.array([[7.0, 3.0, 400.0, -300.0]] * len(squares)), r)
+    assert got.sum() == pytest.approx(abs(G.area(G.clip(G.footprint(7, 3, r), G.footprint(400, -300, r)))), rel=1e-12)
 
 
 def test_holes_rings_and_edges(spark):
     g = [{"outer": box(0, 0, 4, 4), "holes": [box(1, 1, 2, 2)]}]
-    assert G.clipped_area(g, G.Window(G.footprint(2, 2, 50.0))) == pytest.approx(15.0)
+    assert G.clipped_areas(pa.array([g, None, [], g * 2], G.ARROW_POLYGONS), np.full(4, 2.0), np.full(4, 2.0), 50.0).tolist() == pytest.approx([15.0, 0, 0, 30.0])
     assert G.covers(g, 3, 3) and G.covers(g, 1, 1.5) and not G.covers(g, 1.5, 1.5) and G.covers(g, 4, 4) and not G.covers(g, 5, 1)
     d = spark.createDataFrame([(g,)], f"polygons {G.POLYGONS}")
     r = d.select(G.ring_area(F.col("polygons")[0]["outer"]).alias("a"), G.box(F.col("polygons")).alias("b"), F.size(G.edges(F.col("polygons"))).alias("n")).first()

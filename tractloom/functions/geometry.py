@@ -11,10 +11,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SIDES = 256  # 64 segments a quadrant
+EDGES_AT_ONCE = 2048  # a matrix of so many edges by SIDES
 RING = "array<struct<x:double,y:double>>"
 POLYGON = f"struct<outer:{RING},holes:array<{RING}>>"
 POLYGONS = f"array<{POLYGON}>"
@@ -147,13 +149,11 @@ class Window:
         turn = np.arctan2(a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0], (a * b).sum(axis=1))
         return self.swept(start + turn) - self.swept(start)
 
-    def split(self, ring: np.ndarray):
-        """Edges (a, b) from the centre, the ends p, q of the part of each inside, and whether there is none.
+    def split(self, a: np.ndarray, b: np.ndarray):
+        """For edges (a, b) seen from the centre the ends p, q of the part inside, and whether there is none.
 
         An edge is inside where normal . (a + t d) <= offset for all sides. An edge outside has p = q = b.
         """
-        a = ring - self.centre
-        b = np.roll(a, -1, axis=0)
         d = b - a
         ahead, room = d @ self.normal.T, self.offset - a @ self.normal.T
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -164,24 +164,51 @@ class Window:
         start, end = np.where(outside, 1.0, np.minimum(start, 1.0)), np.where(outside, 1.0, np.maximum(end, 0.0))
         p, q = a + start[:, None] * d, a + end[:, None] * d
         p[outside], q[outside] = b[outside], b[outside]
-        return a, b, p, q, start, end, outside
+        return p, q, start, end, outside
+
+    def edge_areas(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What each edge, seen from the centre, adds to the area of its ring inside the window: an edge spans a triangle with
+        the centre, of which the part of the edge inside counts as it is, and what lies beyond as the window's sector."""
+        out = np.zeros(len(a))
+        for k in range(0, len(a), EDGES_AT_ONCE):
+            x, y = a[k : k + EDGES_AT_ONCE], b[k : k + EDGES_AT_ONCE]
+            p, q, start, end, outside = self.split(x, y)
+            inside = (p[:, 0] * q[:, 1] - p[:, 1] * q[:, 0]) / 2
+            beyond = np.where(start > 0, self.sector(x, p), 0.0) + np.where(~outside & (end < 1), self.sector(q, y), 0.0)
+            out[k : k + EDGES_AT_ONCE] = np.where(outside, 0.0, inside) + beyond
+        return out
 
     def ring_area(self, ring: np.ndarray) -> float:
-        """Signed area of a simple ring inside the window: each edge spans a triangle with the centre, of which the part
-        of the edge inside counts as it is, and what lies beyond the window as the window's sector."""
-        if len(ring) < 3:
-            return 0.0
-        a, b, p, q, start, end, outside = self.split(ring)
-        inside = (p[:, 0] * q[:, 1] - p[:, 1] * q[:, 0]) / 2
-        return float(np.where(outside, 0.0, inside).sum() + np.where(start > 0, self.sector(a, p), 0.0).sum() + np.where(~outside & (end < 1), self.sector(q, b), 0.0).sum())
-
-
-def clipped_area(polygons: list[dict], window: Window) -> float:
-    """Area of polygons inside a convex window; below a millionth of a square metre it is rounding."""
-    total = 0.0
-    for g in polygons:
-        total += abs(window.ring_area(as_ring(g["outer"]))) - sum(abs(window.ring_area(as_ring(h))) for h in g["holes"] or ())
-    return total if total > 1e-6 else 0.0
+        """Signed area of a simple ring inside the window."""
+        a = ring - self.centre
+        return float(self.edge_areas(a, np.roll(a, -1, axis=0)).sum()) if len(ring) > 2 else 0.0
+
+
+class Rings:
+    """The rings of a batch of polygon lists as flat arrays: edges a to b, the ring of each edge, the row and sign of each ring."""
+
+    def __init__(self, batch: pa.Array) -> None:
+        parts, row = batch.flatten(), pc.list_parent_indices(batch).to_numpy()
+        outer, holes = pc.struct_field(parts, "outer"), pc.struct_field(parts, "holes")
+        inner, of_part = holes.flatten(), pc.list_parent_indices(holes).to_numpy()
+        at, ring = [], []
+        for lists, first in ((outer, 0), (inner, len(parts))):
+            points = lists.flatten()
+            at.append(np.column_stack([pc.struct_field(points, c).to_numpy(zero_copy_only=False) for c in "xy"]).reshape(-1, 2))
+            ring.append(first + pc.list_parent_indices(lists).to_numpy())
+        self.a, self.ring = np.concatenate(at), np.concatenate(ring)
+        self.row, self.sign = np.concatenate([row, row[of_part]]), np.concatenate([np.ones(len(parts)), -np.ones(len(inner))])
+        # The point after each one; after a ring's last comes its first.
+        after = np.arange(1, len(self.a) + 1)
+        first = np.flatnonzero(np.diff(self.ring, prepend=-1))
+        after[np.append(first[1:], len(self.a)) - 1] = first
+        self.b = self.a[after]
+
+    def areas(self, edge_areas: np.ndarray, rows: int, edges: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """By row, from what each of the edges adds; below a millionth of a square metre it is rounding."""
+        by_ring = np.abs(np.bincount(self.ring[edges], edge_areas, minlength=len(self.row)))
+        total = np.bincount(self.row, by_ring * self.sign, minlength=rows)
+        return np.where(total > 1e-6, total, 0.0)
 
 
 def covers(polygons: list[dict], x: float, y: float) -> bool:
@@ -219,54 +246,76 @@ ARROW_RING = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 ARROW_POLYGONS = pa.list_(pa.struct([("outer", ARROW_RING), ("holes", pa.list_(ARROW_RING))]))
 
 
+def clipped_areas(batch: pa.Array, xs: np.ndarray, ys: np.ndarray, radius: float) -> np.ndarray:
+    """Area of each row's polygons inside the footprint at its point: one window for all, as rings are seen from their point."""
+    rings, centre = Rings(batch), np.column_stack([xs, ys])
+    own = centre[rings.row[rings.ring]] if len(rings.ring) else np.zeros((0, 2))
+    return rings.areas(Window(footprint(0.0, 0.0, radius)).edge_areas(rings.a - own, rings.b - own), len(batch))
+
+
 def footprint_clip_area(polygons: Column, x: Column, y: Column, radius: float) -> Column:
     """Area of polygons inside the footprint at (x, y)."""
 
     @F.arrow_udf("double")
     def of(g: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
-        made: dict[tuple, Window] = {}
-        out = []
-        for p, *at in zip(g.to_pylist(), xs.to_pylist(), ys.to_pylist(), strict=True):
-            key = tuple(at)
-            if key not in made:
-                made[key] = Window(footprint(*at, radius))
-            out.append(clipped_area(p, made[key]))
-        return pa.array(out, type=pa.float64())
+        return pa.array(clipped_areas(g, xs.to_numpy(zero_copy_only=False), ys.to_numpy(zero_copy_only=False), radius))
 
     return of(polygons, x, y)
 
 
-def common_window(a: tuple[float, float], b: tuple[float, float], radius: float) -> Window | None:
-    """The convex window that two footprints share, None if they do not overlap.
+def common_window(shift: np.ndarray, radius: float) -> Window | None:
+    """The convex window that the footprint about the origin shares with the one about `shift`, None if there is none.
 
-    Its corners are those of either inside the other and where the rims cross; near-equal corners are one.
+    A footprint is its own image through its centre, so the window is its own through the middle of the shift: the corners of
+    the first inside the second, the crossing after them, and the images of these.
     """
-    one, other = footprint(*a, radius), footprint(*b, radius)
-    corners = []
-    for ring, window in ((one, Window(other)), (other, Window(one))):
-        _, _, p, q, start, end, outside = window.split(ring)
-        corners += [(p + window.centre)[~outside], (q + window.centre)[~outside]]
-    c = np.concatenate(corners)
-    if len(c) < 3:
-        return None
-    middle = c.mean(axis=0)
-    c = c[np.argsort(np.arctan2(*(c - middle).T[::-1]))]
+    ring = footprint(0.0, 0.0, radius)
+    away = ring - shift
+    turn = 2 * math.pi / SIDES
+    from_side = np.arctan2(away[:, 1], away[:, 0]) % turn - turn / 2
+    inside = np.hypot(*away.T) * np.cos(from_side) <= radius * math.cos(turn / 2)
+    if inside.all():
+        return Window(ring)
+    other = Window(footprint(0.0, 0.0, radius))
+    if inside.any():
+        first = int(np.flatnonzero(inside & ~np.roll(inside, 1))[0])
+        run = np.roll(ring, -first, axis=0)[: int(inside.sum())]
+        last, beyond = run[-1], ring[(first + len(run)) % SIDES]
+        _, q, _, _, _ = other.split((last - shift)[None], (beyond - shift)[None])
+        corners = np.concatenate([run, q + shift])
+    else:
+        # The rims cross within single sides, if at all.
+        p, q, _, _, outside = other.split(away, np.roll(away, -1, axis=0))
+        corners = np.concatenate([np.stack([p, q], axis=1)[~outside].reshape(-1, 2) + shift])
+    c = np.concatenate([corners, shift - corners])
     c = c[np.hypot(*(c - np.roll(c, 1, axis=0)).T) > 1e-7]
     return Window(c) if len(c) > 2 else None
 
 
+def common_clipped_areas(batch: pa.Array, at: np.ndarray, radius: float) -> np.ndarray:
+    """Area of each row's polygons inside both footprints, at (x1, y1) and (x2, y2); one window for each pair of points."""
+    rings = Rings(batch)
+    own, out = at[rings.row[rings.ring]] if len(rings.ring) else np.zeros((0, 4)), np.zeros(len(batch))
+    pairs, of_row = np.unique(at, axis=0, return_inverse=True)
+    of_edge = of_row.reshape(-1)[rings.row[rings.ring]]
+    order = np.argsort(of_edge, kind="stable")
+    bounds = np.searchsorted(of_edge[order], np.arange(len(pairs) + 1))
+    added = np.zeros(len(rings.a))
+    for k, pair in enumerate(pairs):
+        edges = order[bounds[k] : bounds[k + 1]]
+        window = common_window(pair[2:] - pair[:2], radius) if len(edges) else None
+        if window is not None:
+            shift = own[edges, :2] + window.centre
+            added[edges] = window.edge_areas(rings.a[edges] - shift, rings.b[edges] - shift)
+    out += rings.areas(added, len(batch))
+    return out
+
+
 def common_clip_area(polygons: Column, x1: Column, y1: Column, x2: Column, y2: Column, radius: float) -> Column:
     """Area of polygons inside both footprints, at (x1, y1) and (x2, y2)."""
 
     @F.arrow_udf("double")
     def of(g: pa.Array, *at: pa.Array) -> pa.Array:
-        made: dict[tuple, Window | None] = {}
-        out = []
-        for p, *key in zip(g.to_pylist(), *[c.to_pylist() for c in at], strict=True):
-            key = tuple(key)
-            if key not in made:
-                made[key] = common_window(key[:2], key[2:], radius)
-            out.append(clipped_area(p, made[key]) if made[key] is not None else 0.0)
-        return pa.array(out, type=pa.float64())
+        return pa.array(common_clipped_areas(g, np.column_stack([c.to_numpy(zero_copy_only=False) for c in at]), radius))
 
     return of(polygons, x1, y1, x2, y2)

@@ -70,11 +70,16 @@ def clip_index(contexts: DataFrame, tracts: DataFrame, radius: float = PRIMARY_R
     met = within(ids, x, y, sized, grown, 2 * radius).where(near_corner(x, y, F.col("box")) < radius)
     met = settle(met.withColumn("inside", far_corner(x, y, F.col("box")) <= radius * math.cos(math.pi / G.SIDES)).drop("box"))
     whole = met.where("inside").withColumn("clip_area", F.col("tract_area"))
-    cut = met.where("not inside").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
+    cut = spread(met.where("not inside"), "context_instance_id").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
     cut = cut.withColumn("clip_area", F.least("tract_area", G.footprint_clip_area(F.col("polygons"), x, y, radius))).drop("polygons")
     return settle(whole.unionByName(cut).drop("inside").where("clip_area > 0"))
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Few bytes, much work: rows over all tasks of a shuffle, which adaptive execution would else join into one."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def completeness(contexts: DataFrame, index: DataFrame, radius: float = PRIMARY_RADIUS_M) -> DataFrame:
     """geometric_completeness, market_edge_state, truncated_area_m2 and positive_area_tract_count of each context."""
     whole = G.footprint_area(radius)
@@ -180,7 +185,7 @@ def shared_areas(pairs: DataFrame, index: DataFrame, tracts: DataFrame, radius:
     rows = pairs.select("left", "right", "x1", "y1", "x2", "y2").join(side(1, "left"), "left").join(side(2, "right").drop("tract_area"), ["right", "market_id", "tract_geoid"])
     known = F.greatest("c1", "c2") >= F.col("tract_area") * (1 - 1e-12)
     rows = settle(rows.withColumn("known", known))
-    open_ = rows.where("not known").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
+    open_ = spread(rows.where("not known"), "left", "right").join(tracts.select("market_id", "tract_geoid", "polygons"), ["market_id", "tract_geoid"])
     parts = rows.where("known").select("left", "right", F.least("c1", "c2").alias("part"))
     clipped = open_.select("left", "right", F.least("c1", "c2", G.common_clip_area(F.col("polygons"), *[F.col(c) for c in ("x1", "y1", "x2", "y2")], radius)).alias("part"))
     return parts.unionByName(clipped).groupBy("left", "right").agg(F.sum("part").alias("shared"))
