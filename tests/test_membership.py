@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,3 +145,20 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert finals(spark.table("members")) == finals(M.membership(context(spark), points(spark)))
+
+
+def test_sums_without_the_product(spark):
+    """Equal to the sums over all rows of membership: unknown places, absent and unplaced anchors, absent evidence, an empty market."""
+    rng = random.Random(6)
+    place = lambda: rng.choice([None, float("nan"), float("inf")]) if rng.random() < 0.01 else rng.uniform(-20_000, 20_000)
+    p = [(f"m{k % 7}", f"{k:011d}", place(), place()) for k in range(500)] + [("m0", "00000000900", 0.0, 0.0), ("alone", "00000000901", None, 0.0)]
+    xy = {(m, t): (x, y) for m, t, x, y in p}
+    c = [(m, "s", f"c{i}", t, *xy[m, t]) for i, (m, t) in enumerate(rng.sample(sorted(xy), 60))]
+    c += [("m1", "s", "absent", "00000000999", 0.0, 0.0), ("m2", "s", "nowhere", "00000000002", None, 1.0), ("m3", "s", "null", None, 5.0, 5.0), ("none", "s", "empty", "x", 0.0, 0.0), ("alone", "s", "alone", "00000000901", None, 0.0), ("m4", "s", "moved", "00000000004", 90_000.0, 0.0)]
+    h = [(m, t, rng.randint(0, 900), 5, "valid" if rng.random() < 0.99 else "invalid") for m, t, _, _ in p if rng.random() < 0.99]
+    points = spark.createDataFrame(p, "market_id string, tract_geoid string, projected_x_m double, projected_y_m double")
+    contexts = spark.createDataFrame(c, "market_id string, context_spec_id string, context_instance_id string, anchor_tract_geoid string, anchor_x_m double, anchor_y_m double")
+    given = M.household_evidence(spark.createDataFrame(h, "market_id string, tract_geoid string, estimate long, moe long, status string"))
+    want = sorted(map(repr, M.household_opportunity(M.membership(contexts, points), given).collect()))
+    assert sorted(map(repr, M.household_sums(contexts, points, given).collect())) == want
+    assert len(want) == 3 * 65 and len({r for r in want if "'complete'" in r}) > 10 and len({r for r in want if "INVALID_MEMBER" in r}) > 3

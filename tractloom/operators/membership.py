@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tractloom.functions.coordinates import albers, parsed_point, planar_distance_m
 from tractloom.functions.households import STATUSES
 from tractloom.operators import checks
+from tractloom.operators.cells import around, within
 
 # Radii of 3, 5 and 7 miles in metres and the thresholds of eligibility.
 RADII_M = (4828.032, 8046.72, 11265.408)
@@ -161,6 +162,10 @@ def household_opportunity(members: DataFrame, evidence: DataFrame) -> DataFrame:
         F.bool_or(F.col("final_membership").isNull()).alias("__unknown"), F.bool_or(member & ~F.coalesce("__v", F.lit(False))).alias("__invalid"),
         F.coalesce(F.sum(F.when(member, F.col("__e"))), F.lit(0)).cast("bigint").alias("__sum"), F.count_if(member).alias("member_count"),
     )
+    return stated_sums(agg)
+
+
+def stated_sums(agg: DataFrame) -> DataFrame:
     bad = F.col("__unknown") | F.col("__invalid")
     reason = F.when(F.col("__unknown"), "NONCOMPUTABLE_TRACT_MEMBERSHIP").when(F.col("__invalid"), "INVALID_MEMBER_ACS_EVIDENCE").otherwise("WHOLE_TRACT_FINAL_MEMBERSHIP_SUM")
     return agg.select(
@@ -169,6 +174,36 @@ def household_opportunity(members: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
+def household_sums(contexts: DataFrame, points: DataFrame, evidence: DataFrame, radii: tuple[float, ...] = RADII_M) -> DataFrame:
+    """What `household_opportunity` gives for `membership`, without a row for any tract that is no member.
+
+    Members are found by cells about the anchors, within the largest radius; the anchor's own tract is looked up and counts at the
+    radii it lies beyond. Tracts whose membership is unknown are only counted, for each market once: a context's are those of
+    its market but its own, or all others if the anchor has no place. Evidence is joined to the tracts before they meet contexts.
+    Coordinates are metres; null, NaN and infinite ones are unknown. A context whose market has no tract has no row.
+    """
+    finite = lambda x, y: F.coalesce(~F.isnan(x) & ~F.isnan(y) & (F.abs(x) < float("inf")) & (F.abs(y) < float("inf")), F.lit(False))
+    p = points.select("market_id", "tract_geoid", F.col("projected_x_m").alias("__px"), F.col("projected_y_m").alias("__py"), finite(F.col("projected_x_m"), F.col("projected_y_m")).alias("__known"))
+    e = evidence.select("market_id", "tract_geoid", F.col("estimate").alias("__e"), F.coalesce("evidence_valid", F.lit(False)).alias("__v"))
+    told = p.join(e, ["market_id", "tract_geoid"], "left")
+    c = contexts.select("market_id", "context_instance_id", "anchor_tract_geoid", F.col("anchor_x_m").alias("__ax"), F.col("anchor_y_m").alias("__ay"), finite(F.col("anchor_x_m"), F.col("anchor_y_m")).alias("__placed"))
+    x, y, reach = F.col("__ax"), F.col("__ay"), max(radii)
+    d = planar_distance_m(F.col("__px"), F.col("__py"), x, y)
+    each_radius = F.explode(F.array(*[F.lit(r) for r in radii])).alias("radius_m")
+    met = within(told.where("__known").drop("__known"), F.col("__px"), F.col("__py"), c.where("__placed").drop("__placed", "anchor_tract_geoid"), around(x, y, reach), reach)
+    near = met.withColumn("__d", d).where(F.col("__d") <= reach).select("context_instance_id", "__e", "__v", "__d", each_radius).where("__d <= radius_m")
+    own = c.join(told.withColumnRenamed("tract_geoid", "anchor_tract_geoid"), ["market_id", "anchor_tract_geoid"]).withColumn("__d", F.when(F.col("__known") & F.col("__placed"), d))
+    forced = own.select("context_instance_id", "__e", "__v", "__d", each_radius).where(~F.coalesce(F.col("__d") <= F.col("radius_m"), F.lit(False)))
+    sums = near.unionByName(forced).groupBy("context_instance_id", "radius_m").agg(F.bool_or(~F.coalesce("__v", F.lit(False))).alias("__invalid"), F.sum("__e").alias("__s"), F.count("*").alias("__n"))
+    markets = p.groupBy("market_id").agg(F.count("*").alias("__all"), F.count_if(~F.col("__known")).alias("__gaps"))
+    mine = p.groupBy("market_id", F.col("tract_geoid").alias("anchor_tract_geoid")).agg(F.count("*").alias("__own"), F.count_if(~F.col("__known")).alias("__own_gaps"))
+    rows = c.join(markets, "market_id").join(mine, ["market_id", "anchor_tract_geoid"], "left")
+    others = F.when(F.col("__placed"), F.col("__gaps") - F.coalesce("__own_gaps", F.lit(0))).otherwise(F.col("__all") - F.coalesce("__own", F.lit(0)))
+    rows = rows.select("context_instance_id", (others > 0).alias("__unknown"), each_radius).join(sums, ["context_instance_id", "radius_m"], "left")
+    zero = F.lit(0)
+    return stated_sums(rows.select("context_instance_id", "radius_m", "__unknown", F.coalesce("__invalid", F.lit(False)).alias("__invalid"), F.coalesce("__s", zero).cast("bigint").alias("__sum"), F.coalesce("__n", zero).alias("member_count")))
+
+
 def eligibility(spatial: DataFrame, households: DataFrame, quarantined: Column | None = None) -> DataFrame:
     """Status and reasons of each context from its completeness, Jaccard stress and primary-radius households.
 

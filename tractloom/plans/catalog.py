@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tractloom import publish
 from tractloom.functions import canonical, coordinates, households, text
 from tractloom.functions import geometry as G
-from tractloom.operators import authority, binding, cells, checks, components, contracts, governance, identity, membership, spatial
+from tractloom.operators import authority, binding, cells, checks, components, contracts, governance, identity, membership, spatial, support
 from tractloom.plans import footprints
 from tractloom.session import table
 from tractloom.sources import handles, household_file, shapes, worksheet
@@ -216,7 +216,7 @@ def nesting_violations(spark, sf_dir):
 @query("household_opportunity", f"{FULL_SQL}, {OPPORTUNITY_SQL} SELECT * FROM opp")
 def household_opportunity(spark, sf_dir):
     p = points(spark, sf_dir)
-    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    h = membership.household_sums(contexts(p), gappy(p), evidence(spark, sf_dir, p))
     return h.drop("aggregation_method")
 
 
@@ -237,7 +237,7 @@ def eligible(spark, sf_dir):
     p = points(spark, sf_dir)
     k = F.substring("context_instance_id", 5, 20).cast("long")
     s = contexts(p).select("context_instance_id", F.concat(F.lit("0."), (k * 37 % 100).cast("string")).cast("double").alias("geometric_completeness"), F.when(k % 2 == 0, 0.5).otherwise(0.1).alias("geometric_jaccard"), (k % 5 == 4).alias("held"))
-    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    h = membership.household_sums(contexts(p), gappy(p), evidence(spark, sf_dir, p))
     return membership.eligibility(s, h, F.col("held"))
 
 
@@ -259,7 +259,7 @@ def eligibility_histogram(spark, sf_dir):
 @query("baseline_prediction", f"{FULL_SQL}, {OPPORTUNITY_SQL} SELECT context_instance_id, 'primary' AS role, household_opportunity AS prediction_candidate FROM opp WHERE radius_m = 8046.72 AND calculation_state = 'complete'")
 def baseline_prediction(spark, sf_dir):
     p = points(spark, sf_dir)
-    h = membership.household_opportunity(membership.membership(contexts(p), gappy(p)), evidence(spark, sf_dir, p))
+    h = membership.household_sums(contexts(p), gappy(p), evidence(spark, sf_dir, p))
     spec = {"model_spec_id": "raw-5", "model_spec_version": "1", "preregistration_id": "pre", "preregistration_version": "1", "prediction_semantics": "raw_5_mile_whole_tract_household_opportunity", "accepted": True}
     return membership.baseline_prediction(h, spec).select("context_instance_id", "role", "prediction_candidate")
 
@@ -348,6 +348,35 @@ def ring_area(spark, sf_dir):
     return points(spark, sf_dir).select("vec_id", F.round(G.ring_area(ring), 6).alias("area"))
 
 
+SNAPPED = "round(({0}) / 1e-6) * 1e-6"
+LOOSE_SQL = f"WITH {POINTS_SQL}, g AS (SELECT vec_id, market_id, {', '.join(SNAPPED.format(f'{c} {sign} (1000 + vec_id % {n} * 150)') + f' AS {c}{k}' for c, n in (('x', 7), ('y', 5)) for k, sign in enumerate('-+'))} FROM pts)"
+
+
+def loose_tracts(p: DataFrame) -> DataFrame:
+    """A box of its own size about every point, so that tracts overlap."""
+    x, y, k = F.col("projected_x_m"), F.col("projected_y_m"), F.col("vec_id")
+    w, h = (F.lit(1000) + k % n * 150 for n in (7, 5))
+    ring = F.array(*[F.struct((x + a * w).alias("x"), (y + b * h).alias("y")) for a, b in ((-1, -1), (-1, 1), (1, 1), (1, -1), (-1, -1))])
+    return p.select("market_id", "tract_geoid", F.array(F.struct(ring.alias("outer"), F.array().cast(f"array<{G.RING}>").alias("holes"))).alias("polygons"))
+
+
+@query(
+    "market_support",
+    LOOSE_SQL + """, ys AS (SELECT market_id, y0 AS y FROM g UNION SELECT market_id, y1 FROM g), bands AS (SELECT market_id, y AS a, lead(y) OVER (PARTITION BY market_id ORDER BY y) AS b FROM ys),
+        held AS (SELECT market_id, a, b, x0, x1, max(x1) OVER (PARTITION BY market_id, a ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far FROM bands JOIN g USING (market_id) WHERE y0 <= a AND y1 >= b)
+        SELECT market_id, round(sum((b - a) * greatest(0, x1 - greatest(x0, coalesce(so_far, x0)))), 2) AS area FROM held GROUP BY market_id""",
+)
+def market_support(spark, sf_dir):
+    """The area of the union of overlapping boxes."""
+    return support.Support(loose_tracts(points(spark, sf_dir))).areas().select("market_id", F.round("area", 2).alias("area"))
+
+
+@query("overlapping_tracts", LOOSE_SQL + " SELECT a.market_id || '/' || lpad(a.vec_id::VARCHAR, 11, '0') || '/' || lpad(b.vec_id::VARCHAR, 11, '0') AS key FROM g a JOIN g b ON a.market_id = b.market_id AND a.vec_id < b.vec_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1")
+def overlapping_tracts(spark, sf_dir):
+    """The violations of tracts that are not disjoint."""
+    return checks.union(support.Support(loose_tracts(points(spark, sf_dir))).violations()).select("key")
+
+
 # ---- identity, pairs, binding -------------------------------------------------------------------------------------
 
 
