@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import sequential_identity
 from pyspark.sql import functions as F
 
 from tractloom.operators import binding, checks, governance
@@ -60,18 +61,54 @@ def test_other_cases(spark):
     assert r["B"].identity_state == I.NEW
 
 
-def test_blocks_do_not_change_the_result(spark):
-    rng = random.Random(4)
+def decisions(records):
+    return {(r["source_workbook_identity"], r["source_row"]): tuple(r[c] for c in ("identity_state", "identity_rule_reason_code", "physical_location_id", *[f"anchor_{c}" for c in I.ANCHOR])) for r in records}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_waves_equal_the_rules_in_order(spark, seed):
+    """Crowded places, three vintages, seeds and addresses that recur near and far, points of other precision and within 10 m."""
+    rng = random.Random(seed)
     rows = []
-    for k in range(160):
-        lat, lon = 10 + rng.randrange(40) * 0.0021 + rng.choice([0, 0, 0.00004, 0.003]), -20 + rng.randrange(3) * 0.004
-        rows.append(row(DEV if k < 60 else "NEW", k + 2, 2024 if k < 60 else rng.choice([2025, 2026]), f"S{rng.randrange(70)}", round(lat, 6), f"{rng.randrange(60)} Ave", lon=round(lon, 6)))
+    for k in range(220):
+        year = rng.choice([2024, 2025, 2026])
+        lat, lon = 10 + rng.randrange(30) * 0.0021 + rng.choice([0, 0, 0.00004, 0.000071, 0.003]), -20 + rng.randrange(3) * 0.0043
+        digits = rng.choice([6, 6, 4])
+        x = list(row(DEV if year == 2024 else f"NEW{rng.randrange(2)}", k + 2, year, rng.choice([f"S{rng.randrange(70)}", f"U{k}", f"U{k}", ""]), round(lat, digits), f"{rng.choice([rng.randrange(60), k + 1000])} Ave", lon=round(lon, digits), market=rng.choice(["Milwaukee", "Milwaukee", "Madison"])))
+        x[9] = rng.choice(["00000", "00001", ""])
+        rows.append(tuple(x))
+    for k in range(25):  # places seen again at four decimals, some of them twice
+        lat = 30 + k * 0.05 + rng.uniform(0, 0.001)
+        rows.append(row(DEV, k + 5000, 2024, f"P{k}", round(lat, 6), f"{k} Place"))
+        rows += [row("NEW0", k + 5000 + 100 * n, 2026, f"Q{k}{n}", round(lat + rng.choice([0, 0, 0.00005]), 4), f"{k} Place {n}") for n in range(rng.choice([1, 1, 2]))]
     prepared = I.prepare_locations(spark.createDataFrame(rows, ROWS)).cache()
-    whole = I.resolve_block([r.asDict() for r in prepared.collect()])
-    key = ["source_workbook_identity", "source_row"]
-    want = {tuple(x[k] for k in key): (x["identity_state"], x["physical_location_id"]) for x in whole}
-    got = {(r.source_workbook_identity, r.source_row): (r.identity_state, r.physical_location_id) for r in I.resolve(prepared).collect()}
-    assert got == want and len({s for s, _ in want.values()}) >= 3
+    groups = {}
+    for r in prepared.collect():
+        groups.setdefault((r.market, r.state_norm), []).append(r.asDict())
+    want = decisions(x for g in groups.values() for x in sequential_identity.resolve_block(g))
+    assert decisions(r.asDict() for r in I.resolve(prepared).collect()) == want
+    assert {s for s, *_ in want.values()} == {I.SAME, I.PROBABLE, I.AMBIGUOUS, I.NEW}
+
+
+def test_a_chain_of_places_takes_few_waves(spark):
+    """Places 400 m apart in one row, each seen again twice a few metres off: one block of all, settled in a handful of waves."""
+    rows = []
+    for k in range(1500):
+        lat = 10 + k * 0.0036
+        rows.append(row(DEV, k + 2, 2024, f"A{k}", round(lat, 6), f"{k} Ave"))
+        rows.append(row("NEW", k + 2, 2025, f"B{k}", round(lat, 6), f"{k} Street"))
+        rows.append(row("NEW", k + 5002, 2026, f"A{k}", round(lat + 0.00003, 6), f"{k} Road"))
+    records = I.in_order(I.prepare_locations(spark.createDataFrame(rows, ROWS)))
+    told = I.assignment(records, most_waves=6)
+    assert told.join(records.select("__at", "vintage_year"), "__at").groupBy("vintage_year", "why").count().count() == 3 and told.where("place is not null").select("place").distinct().count() == 1500
+
+
+def test_counts_before(spark, monkeypatch):
+    monkeypatch.setattr(I, "RANGE", 7)
+    rng = random.Random(1)
+    rows, asks = [(rng.choice("ab"), k) for k in rng.sample(range(200), 120)], [(rng.choice("abc"), k) for k in rng.sample(range(220), 90)]
+    got = I.counted_before(spark.createDataFrame(rows, "k string, __at long"), ["k"], spark.createDataFrame(asks, "k string, __at long"))
+    assert sorted(map(tuple, got.collect())) == sorted((k, at, sum(a == k and b < at for a, b in rows)) for k, at in asks)
 
 
 def test_location_checks(spark):
