@@ -74,6 +74,31 @@ def test_class_words_on_body_and_article():
     assert wrapper.plain(wrapper.parse(f"<body><p>{text}</p><div class='related'>More</div><span class='ad'>Buy</span> tail 1 < 2</body>")) == f"{text}\ntail 1 < 2"
 
 
+def test_boxes_of_undecided_slots_stay_out(spark):
+    """Without any telling tag or class: menus and closing lines of new words on every page lie outside of the content's box."""
+    page = "<body><div><ul><li>m{k}</li><li>n{k}</li></ul></div><div><h1>Head {k}</h1><p>Story {k} tells of many things in a longer line</p>{more}</div><div>Closing {f}</div></body>"
+    rows = [(k, "http://g.example/", page.format(k=k, f=k % 13, more=f"<p>And more {k}</p>" * (k % 3)), "", "") for k in range(45)]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r.page_id: r.text for r in wrapper.extract(pages, wrapper.induce_wrappers(pages)).collect()}
+    for k in range(45):
+        assert f"Head {k}\nStory {k} tells" in got[k] and got[k].count("And more") == k % 3 and "Closing" not in got[k]
+
+
+def test_forms_comments_articles_and_names():
+    """Forms and reader comments of any size go, every article and its own header stays, and names count as a whole."""
+    long = "many words of no article " * 40
+    of = lambda page: wrapper.plain(wrapper.parse(page))
+    assert of(f"<body><article><p>Short text.</p></article><div class='comments'><p>{long}</p></div></body>") == "Short text."
+    assert of(f"<body><p>Short text.</p><section id='reader-comments'><article class='comment'><p>{long}</p></article></section></body>") == "Short text."
+    assert of(f"<body><article><p>Short text.</p><form><p>{long}</p></form></article></body>") == "Short text."
+    assert of("<body><article><p>One.</p></article><div>between</div><article><h2>Two</h2><p>Second article, longer.</p></article></body>") == "One.\nTwo\nSecond article, longer."
+    assert of("<body><header>Site</header><main><article><header><h1>Title</h1></header><p>Text.</p><footer>By me</footer></article></main></body>") == "Title\nText."
+    assert of("<body><article><div class='header-note'>A note.</div><div class='social-science'>Study.</div><div class='cookie-notice'>We use</div><div class='site-sidebar'>More</div></article></body>") == "A note.\nStudy."
+    page, seed = wrapper.parse("<body><div class='related'><p>new text</p></div><div class='ad'><p>buy this and that</p></div></body>"), {}
+    slots = {x.number: wrapper.CONTENT for x in wrapper.preorder(page) if not x.elements}
+    assert wrapper.blocks(page, seed) == [] and wrapper.blocks(page, slots) == ["new text"]
+
+
 def test_deep_and_broken_pages_in_linear_time():
     deep = wrapper.parse("<div>" * 3000 + "<p>bottom</p>" + "</div>" * 3000)
     other = wrapper.parse("<div>" * 2500 + "<p>bottom</p><ul><li>x</ul>" + "</div>" * 2500)

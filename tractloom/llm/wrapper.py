@@ -12,11 +12,14 @@ it is counted how the texts of a slot repeat:
 
 The most frequent text of a slot is not counted as recurring unless it is on nearly all pages, so many copies of one
 article do not make an article a template. Extraction aligns a page again: template slots go, and content slots stay
-inside and outside of the article or main element. What is undecided stays only inside of it. A page's own marks hold
-beside the wrapper: elements that are no article by their tag (nav, header, footer, aside, script, ...) go, and so does
-what a class, id or role calls a menu, advert, notice and the like, or a form, unless it is the body or the article or
-holds most of the page's text. Slots of the region are not taken for template where they would be half of it or more,
-as is so on hosts of copies.
+inside and outside of the article or main elements, of which a page may have several. What is undecided stays only inside of
+them; on pages that have none the box that holds nearly all text of the content slots stands for them. A page's own marks fill the gaps: elements that are no article by their tag (nav,
+footer, aside, script, ...; header outside of an article) go, and forms, adverts, consent boxes and reader comments go whatever
+their size and the wrapper's verdict, as their texts may be new on every page; other names of classes, ids and roles
+(menu, sidebar, related, ...) count for undecided slots only. A name is telling as a whole: `cookie-notice` is, as all
+its parts are, `header-note` and `social-science` are not. The body, an article and a form around all of a page's text are
+frames and no such elements. Slots of the region are not taken for template where they would be half of it or more, as is so
+on hosts of copies.
 
 Learning sees all pages, each once; a partition sums its own repeats before the shuffle. Wrappers are broadcast while
 the seeds are under a checked size, else joined by host and frame. Alignment is exact at any size: long child lists go
@@ -43,7 +46,7 @@ from tractloom.llm.common import settle
 from tractloom.llm.urls import host_of
 
 MIN_PAGES = 5
-CONTENT_PAGES = 20
+CONTENT_PAGES = 12
 CONSTANT_SHARE, RECURRING_SHARE, VARYING_SHARE = 0.9, 0.25, 0.08
 MAX_BROADCAST_SEED_CHARS = 24_000_000
 TABLE_CELLS = 4_000_000  # larger alignments are split in two (exactly) until they fit
@@ -58,16 +61,29 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 BARRIERS = frozenset("ul ol dl table select html body".split())
 CROSSING = frozenset("article main section div nav aside footer header form".split())
 NOT_ARTICLE = frozenset("nav header footer aside button select input label script style noscript template iframe svg textarea title head dialog menu".split())
-NOT_ARTICLE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments disqus cookie cookies notice consent newsletter subscribe popup modal sharing social related widget toolbar".split()
-)
+ALWAYS_OUT_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo comment comments disqus cookie cookies consent newsletter subscribe popup modal".split())
+NOT_ARTICLE_WORDS = ALWAYS_OUT_WORDS | frozenset("banner sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer notice sharing social related widget toolbar".split())
+FILLING_WORDS = frozenset("site global top bottom left right box bar list block area links section container wrapper form thread user reader".split())
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 STOP = re.compile("[>\"']")
 DIGITS = re.compile("[0-9]+")
 ATTRIBUTE = re.compile(r"""(?:\A|[\s/"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
+BOXES = frozenset("div section td center table tbody tr".split())
+REGION_SHARE = 0.8
 TEMPLATE, CONTENT = 1, 2
+WEAK, STRONG = 1, 2  # marks that a content slot overrules, and marks that nothing does
+
+
+def named_mark(names: str) -> int:
+    """What class names and ids say: a name counts if all its parts are known words and one is telling."""
+    found = 0
+    for name in names.split():
+        parts = {p for p in re.split(r"[^a-z]+", name) if p}
+        if not NOT_ARTICLE_WORDS.isdisjoint(parts) and parts <= NOT_ARTICLE_WORDS | FILLING_WORDS:
+            found = max(found, WEAK if ALWAYS_OUT_WORDS.isdisjoint(parts) else STRONG)
+    return found
 
 
 class Node:
@@ -82,10 +98,12 @@ class Node:
             for m in ATTRIBUTE.finditer(attributes):
                 found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
         self.key = f"{tag}.{DIGITS.sub('0', found['class'])}" if "class" in found else tag
-        words = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}") if found else ()
+        mark = named_mark(f"{found.get('class', '')} {found.get('id', '')}") if found else 0
         self.region = tag in ("article", "main") or found.get("role") in ("main", "article")
-        self.marked = not self.region and tag != "body" and (tag == "form" or not NOT_ARTICLE_WORDS.isdisjoint(words) or found.get("role") in NOT_ARTICLE_ROLES)
-        self.block = tag in BLOCKS or self.marked
+        if self.region and mark == STRONG and tag != "main":  # an article element for each reader comment
+            self.region = False
+        self.marked = 0 if self.region or tag == "body" else STRONG if tag == "form" else max(mark, WEAK if found.get("role") in NOT_ARTICLE_ROLES else 0)
+        self.block = tag in BLOCKS or self.marked > 0
 
 
 class Stack:
@@ -375,27 +393,48 @@ def frame(root: Node) -> str:
     return " ".join(sorted({c.key for c in node.elements if c.words}))
 
 
-def region_of(root: Node) -> Node:
-    """The outermost article or main with the most text, not inside what is left out by tag; else the body; else all."""
+def regions_of(root: Node) -> list[Node]:
+    """The outermost article elements, in place of a main around them that main, none inside what its tag or a name calls no
+    article; without any the body, else all."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.tag in NOT_ARTICLE:
+        if node.tag in NOT_ARTICLE or counts(node, root):
             continue
         if node.region:
             found.append(node)
             continue
-        stack.extend(node.elements)
-    inner = [x for f in found for x in ([f] if f.tag != "main" else [c for c in preorder(f) if c.region])]
-    articles = [x for x in inner if x.tag == "article"] or inner
-    return max(articles, key=lambda x: x.words, default=body_of(root))
-
-
-def blocks(root: Node, verdicts: dict[int, int]) -> list[str]:
-    """Texts of the blocks of a page in order, by the verdicts on its nodes (number: TEMPLATE or CONTENT) and its marks."""
+        stack.extend(reversed(node.elements))
+    out = []
+    for f in found:
+        inner = []
+        if f.tag == "main":
+            below = list(reversed(f.elements))
+            while below:
+                c = below.pop()
+                if c.region and c.tag != "main":
+                    inner.append(c)
+                elif c.tag not in NOT_ARTICLE and not c.marked:
+                    below.extend(reversed(c.elements))
+        out += inner or [f]
+    return out or [body_of(root)]
+
+
+def counts(node: Node, root: Node) -> bool:
+    """Whether a mark holds: a form around all text is the page's frame, and a weak name is not believed of most of a page."""
+    if node.tag == "form" and node.words == root.words:
+        return False
+    return node.marked == STRONG or (node.marked == WEAK and 2 * node.words <= root.words)
+
+
+def blocks(root: Node, verdicts: dict[int, int], found: Node | None = None) -> list[str]:
+    """Texts of the blocks of a page in order, by the verdicts on its nodes (number: TEMPLATE or CONTENT) and its marks.
+
+    found: what the wrapper takes for the article, on a page without article elements.
+    """
     nodes = preorder(root)
-    region, most = region_of(root), root.words / 2
-    inside = {x.number for x in preorder(region)}
+    regions = regions_of(root) if found is None else [found]
+    heads, inside = {x.number for x in regions}, {x.number for r in regions for x in preorder(r)}
     content = [verdicts.get(x.number) == CONTENT and not x.elements for x in nodes]
     out: list[str] = []
     parts: list[str] = []
@@ -406,7 +445,7 @@ def blocks(root: Node, verdicts: dict[int, int]) -> list[str]:
         if text:
             out.append(text)
 
-    stack: list = [(root, False, False)]  # a node or text, whether its text stays, whether it is below a marked element
+    stack: list = [(root, False, 0)]  # a node or text, whether its text stays, the strongest mark about it
     while stack:
         x, keep, marked = stack.pop()
         if type(x) is str:
@@ -418,16 +457,18 @@ def blocks(root: Node, verdicts: dict[int, int]) -> list[str]:
             continue
         if x.tag == "br":
             parts.append(" ")
-        if x.tag in NOT_ARTICLE or (x.block and verdicts.get(x.number) == TEMPLATE):
+        own_header = x.tag == "header" and x.number in inside and x.number not in heads if x.block else False
+        if (x.tag in NOT_ARTICLE and not own_header) or (x.block and verdicts.get(x.number) == TEMPLATE):
             if x.tag in BLOCKS:
                 flush()
             continue
         if x.block:
             if x.tag in BLOCKS:
                 flush()
-                stack.append((None, False, False))
-            marked = marked or (x.marked and x.words <= most and x is not region)
-            keep = not marked and (content[x.number] or x.number in inside)
+                stack.append((None, False, 0))
+            if x.number not in heads and counts(x, root):
+                marked = max(marked, x.marked)
+            keep = marked < STRONG and (content[x.number] or (not marked and x.number in inside))
         stack.extend((c, keep, marked) for c in reversed(x.children))
     flush()
     return out
@@ -438,25 +479,46 @@ class Wrapper:
 
     def __init__(self, seed: str, template: list[int], content: list[int]) -> None:
         self.tree, self.known = parse(seed), {}
-        region, below = region_of(self.tree), 0
-        inside = {x.number for x in preorder(region)}
-        fixed, stack = set(template), [region]
-        while stack:  # the text of the region's template, each node's once
-            x = stack.pop()
-            if x.number in fixed:
-                below += x.words
-            else:
-                stack.extend(x.elements)
-        if 2 * below >= region.words:
-            fixed -= inside
-        fixed -= {x.number for x in preorder(self.tree) if x.number <= region.number < x.number + x.size}  # what holds the region
+        fixed = set(template)
+        for region in regions_of(self.tree):
+            below, stack = 0, [region]
+            while stack:  # the text of the region's template, each node's once
+                x = stack.pop()
+                if x.number in fixed:
+                    below += x.words
+                else:
+                    stack.extend(x.elements)
+            if 2 * below >= region.words:
+                fixed -= {x.number for x in preorder(region)}
+            fixed -= {x.number for x in preorder(self.tree) if x.number <= region.number < x.number + x.size}  # what holds the region
         self.verdicts = dict.fromkeys(content, CONTENT) | dict.fromkeys(fixed, TEMPLATE)
+        self.region = self.container()
+
+    def container(self) -> int | None:
+        """The seed's number for the box that holds nearly all of its content slots' text, if it has no article element."""
+        body = body_of(self.tree)
+        if regions_of(self.tree) != [body]:
+            return None
+        held: dict[int, int] = {}
+        for x in reversed(preorder(self.tree)):  # children before parents
+            own = x.words if self.verdicts.get(x.number) == CONTENT and not x.elements else 0
+            held[x.number] = own + sum(held[c.number] for c in x.elements)
+        node = body
+        while node.elements and held[node.number]:
+            most = max(node.elements, key=lambda c: held[c.number])
+            if most.tag not in BOXES or not most.elements or held[most.number] < REGION_SHARE * held[body.number]:
+                break
+            node = most
+        return None if node is body else node.number
 
     def extract(self, tree: Node) -> str:
-        verdicts = {}
+        verdicts, found = {}, None
         if self.verdicts:
-            verdicts = {x.number: self.verdicts[y.number] for x, y in matched(tree, self.tree, self.known) if y.number in self.verdicts}
-        return "\n".join(blocks(tree, verdicts))
+            pairs = matched(tree, self.tree, self.known)
+            verdicts = {x.number: self.verdicts[y.number] for x, y in pairs if y.number in self.verdicts}
+            if self.region is not None and regions_of(tree) == [body_of(tree)]:
+                found = next((x for x, y in pairs if y.number == self.region), None)
+        return "\n".join(blocks(tree, verdicts, found))
 
 
 def plain(tree: Node) -> str:
