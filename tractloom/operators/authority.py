@@ -328,11 +328,11 @@ def inventory_documents(inventory: DataFrame, expected: DataFrame, derivation: d
     count = F.size("ordered_geoids").cast("long")
     said = F.struct(
         F.concat(F.lit("inventory-"), "market_id").alias("artifact_id"), F.lit(version).alias("version"), F.struct(*[F.lit(v).alias(k) for k, v in derivation.items()]).alias("derivation_specification"),
-        F.struct("market_id").alias("market_configuration"), "ordered_geoids", digest_column(F.col("ordered_geoids")).alias("inventory_sha256"), count.alias("tract_count"), "qa_expected_count", (count == F.col("qa_expected_count")).alias("qa_count_matches"),
+        F.struct("market_id").alias("market_configuration"), "ordered_geoids", digest_column(F.col("ordered_geoids"), ordered).alias("inventory_sha256"), count.alias("tract_count"), "qa_expected_count", (count == F.col("qa_expected_count")).alias("qa_count_matches"),
     )
     made = ordered.select("market_id", said.alias("said"))
-    whole = F.struct("said.*", digest_column(F.col("said")).alias("content_sha256"))
-    return made.select(F.concat(F.lit("inventory-"), "market_id").alias("document"), canonical_column(whole).alias("body"))
+    whole = F.struct("said.*", digest_column(F.col("said"), made).alias("content_sha256"))
+    return made.select(F.concat(F.lit("inventory-"), "market_id").alias("document"), canonical_column(whole, made).alias("body"))
 
 
 def write_documents(documents: DataFrame, folder: str) -> None:

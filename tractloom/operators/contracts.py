@@ -15,14 +15,14 @@ CONTEXT_DOMAIN = "tractloom/context-instance/v1"
 LINEAGE = ("source_workbook_identity", "source_sheet", "source_row", "source_seed_point_id")
 
 
-def context_instance_id(package: Column, specification: Column, record: Column, domain: str = CONTEXT_DOMAIN) -> Column:
+def context_instance_id(package: Column, specification: Column, record: Column, rows: DataFrame | None = None, domain: str = CONTEXT_DOMAIN) -> Column:
     """The content id of a context from ten fields: the domain; the package's id, version and digest (a struct of
     package_id, package_version, sha256); the record's lineage; the specification's id and digest (artifact_id, sha256)."""
     named = {"domain": F.lit(domain)}
     named |= {f"package_{k}": package[c] for k, c in (("id", "package_id"), ("version", "package_version"), ("sha256", "sha256"))}
     named |= {c: record[c] for c in LINEAGE}
     named |= {f"specification_{k}": specification[c] for k, c in (("id", "artifact_id"), ("sha256", "sha256"))}
-    return id_column("context_instance", F.struct(*[v.alias(k) for k, v in named.items()]))
+    return id_column("context_instance", F.struct(*[v.alias(k) for k, v in named.items()]), rows)
 
 
 def count_violations(df: DataFrame, expected: int, order: int, code: str) -> DataFrame:

@@ -469,8 +469,9 @@ def identity_summary(spark, sf_dir):
 def context_instance_ids(spark, sf_dir):
     said = lambda **x: F.struct(*[F.lit(v).alias(k) for k, v in x.items()])
     row = F.struct(F.concat(F.lit("w"), F.col("o_custkey").cast("string")).alias("source_workbook_identity"), F.lit("orders").alias("source_sheet"), F.col("o_orderkey").alias("source_row"), F.col("o_orderpriority").alias("source_seed_point_id"))
-    id_ = contracts.context_instance_id(said(package_id="p", package_version="1.0.0", sha256="00"), said(artifact_id="s", sha256="11"), row)
-    return table(spark, sf_dir, "orders").select("o_orderkey", id_.alias("context_instance_id"))
+    o = table(spark, sf_dir, "orders")
+    id_ = contracts.context_instance_id(said(package_id="p", package_version="1.0.0", sha256="00"), said(artifact_id="s", sha256="11"), row, o)
+    return o.select("o_orderkey", id_.alias("context_instance_id"))
 
 
 @query(
@@ -529,7 +530,8 @@ def content_ids(spark, sf_dir):
 
 @query("canonical_ids", """SELECT event_id, 'event:sha256:' || sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}') AS content_id FROM events""")
 def canonical_ids(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", canonical.id_column("event", F.struct("user_id", "event_type", "event_id")).alias("content_id"))
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", canonical.id_column("event", F.struct("user_id", "event_type", "event_id"), e).alias("content_id"))
 
 
 @query("forbidden_key_scan", "SELECT event_id, list_aggregate(list_sort(list_filter(json_keys(props), lambda k: k IN ('k', 'v'))), 'string_agg', ',') AS found FROM events WHERE len(list_filter(json_keys(props), lambda k: k IN ('k', 'v'))) > 0")
@@ -652,8 +654,8 @@ def document_violations(spark, sf_dir):
     source = lambda name: F.struct(F.when(k % 7 == 0, "the Latest one").otherwise("2024").alias("vintage") if name == "s" else F.lit("2023").alias("vintage"), F.when(k % 3 == 0, "s").otherwise(name).alias("name"))
     said = F.struct(k.alias("artifact"), F.array(source("s"), source("t")).alias("sources"))
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")).withColumn("said", said)
-    sha = F.when(k % 5 == 0, F.lit("0" * 64)).otherwise(canonical.digest_column(F.col("said")))
-    made = orders.select(F.concat(F.lit("d"), k.cast("string")).alias("document"), k, canonical.canonical_column(F.struct("said.*", sha.alias("content_sha256"))).alias("body"))
+    sha = F.when(k % 5 == 0, F.lit("0" * 64)).otherwise(canonical.digest_column(F.col("said"), orders))
+    made = orders.select(F.concat(F.lit("d"), k.cast("string")).alias("document"), k, canonical.canonical_column(F.struct("said.*", sha.alias("content_sha256")), orders).alias("body"))
     docs = made.select("document", F.when(k % 11 == 0, F.expr("substring(body, 1, 20)")).otherwise(F.col("body")).alias("body"))
     n = authority.nodes(docs)
     names = n.where("path = 'sources[].name'")
