@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,7 @@ TEMPLATE, CONTENT = 1, 2
 WEAK, STRONG = 1, 2  # marks that a content slot overrules, and marks that nothing does
 
 
+@lru_cache(4096)
 def named_mark(names: str) -> int:
     """What class names and ids say: a name counts if all its parts are known words and one is telling."""
     found = 0
