@@ -208,9 +208,19 @@ def membership_rows(spark, sf_dir):
     return m.select("context_instance_id", "radius_m", "tract_geoid", F.round("distance_m", 6).alias("distance_m"), "ordinary_membership", "forced_anchor_inclusion", "final_membership", "reason_code")
 
 
-@query("nesting_violations", FULL_SQL + " SELECT count(*) AS n FROM (SELECT context_instance_id, tract_geoid FROM mem GROUP BY ALL HAVING count(*) <> 3)")
+@query(
+    "nesting_violations",
+    FULL_SQL + """, spoilt AS (SELECT context_instance_id, tract_geoid, radius_m, CASE WHEN tract_geoid::BIGINT % 17 = 0 AND radius_m > 5000 THEN NOT final ELSE final END AS final FROM mem WHERE tract_geoid::BIGINT % 19 <> 0 OR radius_m < 9000),
+        g AS (SELECT context_instance_id, tract_geoid, count(*) AS n, list_sort(list(DISTINCT radius_m)) AS seen, list_sort((SELECT list(radius_m) FROM radii)) AS wanted,
+                     bool_or(final AND radius_m = 4828.032) AS m0, bool_or(final AND radius_m = 8046.72) AS m1, bool_or(final AND radius_m = 11265.408) AS m2 FROM spoilt GROUP BY ALL),
+        v AS (SELECT 'MEMBERSHIP_RADIUS_SET_INVALID' AS code, * FROM g WHERE n <> 3 OR seen <> wanted UNION ALL SELECT 'MEMBERSHIP_NESTING_VIOLATION', * FROM g WHERE m0 AND NOT coalesce(m1, false) UNION ALL SELECT 'MEMBERSHIP_NESTING_VIOLATION', * FROM g WHERE m1 AND NOT coalesce(m2, false))
+        SELECT code, context_instance_id || '/' || tract_geoid AS key, count(*) AS n FROM v GROUP BY ALL""",
+)
 def nesting_violations(spark, sf_dir):
-    return checks.union(membership.nesting_violations(members(spark, sf_dir))).agg(F.count("*").alias("n"))
+    """Rows of which some radii are missing and some memberships are turned round."""
+    k, r = F.col("tract_geoid").cast("long"), F.col("radius_m")
+    spoilt = members(spark, sf_dir).where((k % 19 != 0) | (r < 9000)).withColumn("final_membership", F.when((k % 17 == 0) & (r > 5000), ~F.col("final_membership")).otherwise(F.col("final_membership")))
+    return checks.union(membership.nesting_violations(spoilt)).groupBy("code", "key").agg(F.count("*").alias("n"))
 
 
 @query("household_opportunity", f"{FULL_SQL}, {OPPORTUNITY_SQL} SELECT * FROM opp")
@@ -396,10 +406,9 @@ def earliest_member(spark, sf_dir):
 )
 def latest_prior_pair(spark, sf_dir):
     """The latest vintage before 2000 of each location, where one record alone has it."""
-    v = vintages(spark, sf_dir).where("vintage_year < 2000")
-    top = v.groupBy("location").agg(F.max("vintage_year").alias("vintage_year"))
-    one = v.join(top, ["location", "vintage_year"]).groupBy("location", "vintage_year").agg(F.min("o_orderkey").alias("o_orderkey"), F.count("*").alias("n"))
-    return one.where("n = 1").select("location", F.col("vintage_year").alias("prior_year"), "o_orderkey")
+    found, many = identity.latest_prior(vintages(spark, sf_dir).where("vintage_year < 2000"), "location")
+    alone = found.join(many.select("location"), "location", "left_anti")
+    return alone.select("location", F.col("vintage_year").alias("prior_year"), "o_orderkey")
 
 
 @query("role_pivot", "SELECT o_custkey AS physical_location_id, min(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS prior, min(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS current FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_custkey")
@@ -561,10 +570,11 @@ def symmetric_set_check(spark, sf_dir):
 
 @query(
     "protected_path_guard",
-    "SELECT page_id FROM pages WHERE page_id % 4 = 0 AND page_id % 3 <> 0",
+    """WITH p AS (SELECT page_id, string_split(lower(CASE page_id % 3 WHEN 0 THEN 'schemas' WHEN 1 THEN 'Out' ELSE 'frozen.JSON' END || '/' || CASE WHEN page_id % 4 = 0 THEN 'READY.json' ELSE 'notes.md' END), '/') AS parts FROM pages)
+       SELECT page_id FROM p WHERE list_has_any(parts, ['ready.json', 'frozen.json']) AND NOT list_has_any(parts, ['schemas', 'synthetic'])""",
 )
 def protected_path_guard(spark, sf_dir):
-    folder = F.when(F.col("page_id") % 3 == 0, "schemas").otherwise("out")
+    folder = F.when(F.col("page_id") % 3 == 0, "schemas").when(F.col("page_id") % 3 == 1, "Out").otherwise("frozen.JSON")
     p = table(spark, sf_dir, "pages").select("page_id", F.concat_ws("/", folder, F.when(F.col("page_id") % 4 == 0, "READY.json").otherwise("notes.md")).alias("path"))
     return governance.protected_paths(p, ["READY.json", "FROZEN.json"]).select("page_id")
 
@@ -682,9 +692,15 @@ def inventory_documents(spark, sf_dir):
 
 @query(
     "handle_resolution",
-    """SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 11 = 0 OR c_custkey % 7 = 0 OR c_custkey % 5 = 0 OR c_custkey % 3 = 0 THEN NULL ELSE '/data/' || c_nationkey || '/in/' || c_custkey || '.parquet' END AS path,
-              CASE WHEN c_custkey % 13 = 0 THEN 'PROTECTED_HANDLE_INVALID' WHEN c_custkey % 11 = 0 THEN 'PROTECTED_HANDLE_UNRESOLVED' WHEN c_custkey % 7 = 0 THEN 'PROTECTED_HANDLE_KIND_MISMATCH'
-                   WHEN c_custkey % 5 = 0 THEN 'PROTECTED_ROOT_HANDLE_UNRESOLVED' WHEN c_custkey % 3 = 0 THEN 'PROTECTED_PATH_TRAVERSAL_REJECTED' END AS code FROM customer""",
+    """WITH wanted AS (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'x-' ELSE 'phandle-' END || c_custkey AS handle, 'table' AS kind FROM customer),
+        resources AS (SELECT w.handle, CASE WHEN c_custkey % 7 = 0 THEN 'other' ELSE 'table' END AS kind, CASE WHEN c_custkey % 5 = 0 THEN 'proot-none' ELSE 'proot-' || c_nationkey END AS root,
+                             CASE WHEN c_custkey % 3 = 0 THEN '../in/' ELSE 'in/' END || c_custkey || '.parquet' AS relative FROM wanted w JOIN customer USING (c_custkey) WHERE c_custkey % 11 <> 0),
+        roots AS (SELECT 'proot-' || n_nationkey AS root, '/data/' || n_nationkey AS top FROM nation),
+        told AS (SELECT w.c_custkey, r.relative, t.top, CASE WHEN NOT starts_with(w.handle, 'phandle-') THEN 'PROTECTED_HANDLE_INVALID' WHEN r.handle IS NULL THEN 'PROTECTED_HANDLE_UNRESOLVED' WHEN r.kind <> w.kind THEN 'PROTECTED_HANDLE_KIND_MISMATCH'
+                        WHEN t.top IS NULL THEN 'PROTECTED_ROOT_HANDLE_UNRESOLVED' WHEN r.relative = '' THEN 'PROTECTED_RELATIVE_PATH_INVALID'
+                        WHEN starts_with(r.relative, '/') OR list_has_any(string_split(r.relative, '/'), ['.', '..']) OR regexp_matches(r.relative, '[*?{}:]') THEN 'PROTECTED_PATH_TRAVERSAL_REJECTED' END AS code
+                 FROM wanted w LEFT JOIN resources r ON r.handle = w.handle LEFT JOIN roots t ON t.root = r.root)
+        SELECT c_custkey, CASE WHEN code IS NULL THEN top || '/' || relative END AS path, code FROM told""",
 )
 def handle_resolution(spark, sf_dir):
     k = F.col("c_custkey")
