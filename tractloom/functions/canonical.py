@@ -34,6 +34,11 @@ def hexdigest(value) -> str:
     return hashlib.sha256(written(value).encode()).hexdigest()
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once: within f it is a variable, however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def quoted(value: Column) -> Column:
     """A JSON string: quotes, backslashes and control characters escaped, the rest as it is."""
     escapes = {"\\": "\\\\", '"': '\\"'} | {chr(c): f"\\u{c:04x}" for c in range(32)} | {"\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
@@ -52,31 +57,35 @@ def shortest(value: Column) -> Column:
     and 1e22 none differed from Python's; farther out the JVM's digits are not always near enough, so such numbers, NaN and
     infinities raise instead of getting another digest.
     """
-    sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
-    size = F.abs(value)
-    said = F.when((size >= float(1 << 53)) & (size < float(1 << 63)), F.concat(size.cast("bigint").cast("string"), F.lit(".0"))).otherwise(size.cast("string"))
-    mantissa, power = F.substring_index(said, "E", 1), F.when(said.contains("E"), F.substring_index(said, "E", -1)).otherwise("0").cast("int")
-    whole, part = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
-    every = F.concat(whole, part)
-    digits = F.regexp_replace(F.regexp_replace(every, "^0+", ""), "0+$", "")
-    # value = 0.digits * 10^place
-    place = F.length(whole) + power - (F.length(every) - F.length(F.regexp_replace(every, "^0+", "")))
-
-    def rounded(n: Column, up: int) -> Column:
+
+    def parts(said: Column) -> Column:
+        """struct (digits, place): the value is 0.digits * 10^place."""
+        mantissa, power = F.substring_index(said, "E", 1), F.when(said.contains("E"), F.substring_index(said, "E", -1)).otherwise("0").cast("int")
+        read = F.struct(F.regexp_replace(mantissa, "[.]", "").alias("every"), (F.length(F.substring_index(mantissa, ".", 1)) + power).alias("point"))
+        return let(read, lambda r: let(F.regexp_replace(r["every"], "^0+", ""), lambda led: F.struct(F.regexp_replace(led, "0+$", "").alias("digits"), (r["point"] - F.length(r["every"]) + F.length(led)).alias("place"))))
+
+    def rounded(p: Column, n: int, up: int) -> Column:
         """struct (digits, place) of the value at n digits, to the nearest, or with up = 1 to the one on the value's other side."""
-        full = F.concat(F.substring(digits, F.lit(1), n), F.lit("."), F.substring(digits, n + 1, F.lit(18))).cast("decimal(38,18)")
-        near = F.round(full, 0).cast("decimal(20,0)")
-        if up:
-            near = (near + F.when(near > full, -1).otherwise(1)).cast("decimal(20,0)")
-        said = near.cast("string")
-        return F.struct(F.regexp_replace(said, "0+$", "").alias("digits"), (place + F.length(said) - n).alias("place"))
+        full = F.concat(F.substring(p["digits"], F.lit(1), F.lit(n)), F.lit("."), F.substring(p["digits"], F.lit(n + 1), F.lit(18))).cast("decimal(38,18)")
+
+        def near(full: Column) -> Column:
+            nearest = F.round(full, 0).cast("decimal(20,0)")
+            return (nearest + F.when(nearest > full, -1).otherwise(1)).cast("decimal(20,0)") if up else nearest
+
+        return let(let(full, near).cast("string"), lambda said: F.struct(F.regexp_replace(said, "0+$", "").alias("digits"), (p["place"] + F.length(said) - n).alias("place")))
+
+    def chosen(v: Column, p: Column) -> Column:
+        same = lambda c: F.concat(F.lit("0."), c["digits"], F.lit("E"), c["place"].cast("string")).cast("double") == F.abs(v)
+        tried = F.filter(F.array(*[rounded(p, n, up) for n in (15, 16, 17) for up in (0, 1)]), same)
+        best = F.when(F.length(p["digits"]) <= 15, p).otherwise(F.coalesce(F.get(tried, F.lit(0)), p))
+        return let(best, lambda b: F.concat(F.when(v.cast("string").startswith("-"), "-").otherwise(""), laid_out(b["digits"], b["place"] - 1)))
+
+    def spelled(v: Column) -> Column:
+        size = F.abs(v)
+        said = F.when((size >= float(1 << 53)) & (size < float(1 << 63)), F.concat(size.cast("bigint").cast("string"), F.lit(".0"))).otherwise(size.cast("string"))
+        return let(parts(said), lambda p: chosen(v, p))
 
-    exact = F.struct(digits.alias("digits"), place.alias("place"))
-    same = lambda c: F.concat(F.lit("0."), c["digits"], F.lit("E"), c["place"].cast("string")).cast("double") == F.abs(value)
-    tried = F.filter(F.array(*[rounded(F.lit(n), up) for n in (15, 16, 17) for up in (0, 1)]), same)
-    best = F.when(F.length(digits) <= 15, exact).otherwise(F.coalesce(F.get(tried, F.lit(0)), exact))
-    # A cast of a struct's fields through one array keeps the choice from being computed for each use.
-    return F.element_at(F.transform(F.array(best), lambda b: F.concat(sign, laid_out(b["digits"], b["place"] - 1))), 1)
+    return let(value, spelled)
 
 
 def laid_out(d: Column, e: Column) -> Column:
@@ -120,7 +129,8 @@ def canonical_column(value: Column, rows: DataFrame | None = None) -> Column:
     rows: the DataFrame that the column is to be selected from. With it the type is known and nothing leaves the JVM.
     """
     if rows is not None:
-        return compiled(value, rows.select(value.alias("v")).schema["v"].dataType)
+        kind = rows.select(value.alias("v")).schema["v"].dataType
+        return let(value, lambda v: compiled(v, kind))
 
     @F.arrow_udf("string")
     def of(values: pa.Array) -> pa.Array:
