@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tractloom import publish
 from tractloom.functions import canonical, coordinates, households, text
 from tractloom.functions import geometry as G
-from tractloom.operators import authority, binding, cells, checks, components, contracts, governance, identity, membership, spatial, support
+from tractloom.operators import authority, binding, cells, checks, components, contracts, governance, identity, membership, spatial, specifications, support
 from tractloom.plans import footprints
 from tractloom.session import table
 from tractloom.sources import handles, household_file, shapes, worksheet
@@ -690,6 +690,28 @@ def inventory_documents(spark, sf_dir):
     return docs.select("document", field("tract_count").cast("long").alias("tract_count"), field("inventory_sha256").alias("inventory_sha256"), field("qa_count_matches").cast("boolean").alias("qa_count_matches"))
 
 
+@query(
+    "specification_rules",
+    f"""WITH {POINTS_SQL}, g AS (SELECT market_id, list(tract_geoid ORDER BY tract_geoid) AS made, count(*) AS n FROM pts GROUP BY market_id),
+        d AS (SELECT 'inventory-' || market_id AS key, made, n, CASE WHEN market_id IN ('m1', 'm4') THEN list_reverse(made) ELSE made END AS listed, CASE WHEN market_id = 'm2' THEN ('1' || n)::BIGINT ELSE n END AS stated FROM g)
+        SELECT 'GEO04_CONTENT_HASH_MISMATCH' AS code, key, 1 AS n FROM d WHERE listed <> made OR stated <> n UNION ALL
+        SELECT 'GEO04_INVENTORY_ORDER_MISMATCH', key, count(*) FROM (SELECT key, unnest(listed[:-2]) AS a, unnest(listed[2:]) AS b FROM d) WHERE a > b GROUP BY key UNION ALL
+        SELECT 'GEO04_INVENTORY_HASH_MISMATCH', key, 1 FROM d WHERE sha256(array_to_string(listed, ',')) <> sha256(array_to_string(made, ',')) UNION ALL
+        SELECT 'GEO04_INVENTORY_COUNT_MISMATCH', key, 1 FROM d WHERE stated <> len(listed)""",
+)
+def specification_rules(spark, sf_dir):
+    """Inventories of all markets, two of them listed backwards and one with another count, under the rules of inventories."""
+    p, derivation = points(spark, sf_dir), {"artifact_id": "derivation", "content_sha256": "0" * 64}
+    expected = p.groupBy("market_id").agg(F.count("*").alias("expected"))
+    made = authority.inventory_documents(p.select("market_id", "tract_geoid"), expected, derivation)
+    listed = F.get_json_object("body", "$.ordered_geoids")
+    turned = F.replace("body", listed, F.to_json(F.reverse(F.from_json(listed, "array<string>"))))
+    counted = F.replace("body", F.lit('"tract_count":'), F.lit('"tract_count":1'))
+    spoilt = made.withColumn("body", F.when(F.col("document").isin("inventory-m1", "inventory-m4"), turned).when(F.col("document") == "inventory-m2", counted).otherwise(F.col("body")))
+    found = checks.union(specifications.inventory_rules(components.settle(spoilt), derivation, expected))
+    return found.groupBy("code", "key").agg(F.count("*").alias("n"))
+
+
 @query(
     "handle_resolution",
     """WITH wanted AS (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'x-' ELSE 'phandle-' END || c_custkey AS handle, 'table' AS kind FROM customer),
