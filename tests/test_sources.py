@@ -3,11 +3,13 @@ import struct
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tractloom import publish
 from tractloom.operators import checks
+from tractloom.plans import catalog
 from tractloom.sources import household_file, shapes, worksheet
 
 FIELDS = [("STATEFP", 2), ("COUNTYFP", 3), ("TRACTCE", 6), ("GEOID", 11), ("INTPTLAT", 11), ("INTPTLON", 12)]
@@ -178,3 +180,22 @@ def test_publish(spark, tmp_path):
     assert publish.write_once(spark, doc, {"a": 1}) and not publish.write_once(spark, doc, {"a": 1})
     with pytest.raises(checks.ConformanceError, match="IMMUTABLE_DOCUMENT_DIFFERS"):
         publish.write_once(spark, doc, {"a": 2})
+
+
+def test_small_files_share_batches_and_are_read_once(spark):
+    """Rows of many files fill a batch; attributes and polygons come from one reading; headers are not broadcast."""
+    rows = ((f"f{k // 2}", k % 2 + 1, k) for k in range(2 * shapes.BATCH + 1))
+    assert [b.num_rows for b in shapes.batches(rows, v=pa.int64())] == [shapes.BATCH, shapes.BATCH, 1]
+    files = catalog.files_of(spark, "/root/testdata/sf0.001", catalog.a_tract_file)
+    plan = shapes.tracts_of(files, ("GEOID",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    cells = worksheet.cells_of(catalog.files_of(spark, "/root/testdata/sf0.001", catalog.a_workbook), title="Rows", address_columns=("J",))
+    assert "broadcast" not in worksheet.locations(cells)._jdf.queryExecution().analyzed().toString()
+    full, short = (catalog.a_tract_file(k, 0.0) for k in (1, 2))
+    with zipfile.ZipFile(io.BytesIO(full)) as z:
+        dbf, shp_ = z.read("t.dbf"), z.read("t.shp")
+    one = struct.unpack_from(">I", shp_, 104)[0] * 2 + 8
+    cut = shp_[:24] + struct.pack(">I", (100 + one) // 2) + shp_[28 : 100 + one]
+    df = spark.createDataFrame([("ok", bytearray(short)), ("bad", bytearray(catalog.archive({"t.dbf": dbf, "t.shp": cut})))], "path string, content binary")
+    with pytest.raises(Exception, match="TIGER_RECORD_COUNT_MISMATCH: bad record 2"):
+        shapes.tracts_of(df, ("GEOID",)).collect()
