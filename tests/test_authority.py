@@ -185,3 +185,11 @@ def test_supersession(spark, tmp_path):
         again("second", supersedes=first)
     again("second", version="1.1.0", supersedes=first)
     assert publish.reconcile(spark, str(tmp_path / "second"))["supersedes"] == first
+
+
+def test_documents_are_read_once(spark):
+    """Of the rules of document_violations only the seal reads the documents again; nodes are dealt out once for the others."""
+    from tractloom.plans import catalog
+
+    plan = catalog.QUERIES["document_violations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
