@@ -149,10 +149,14 @@ def exact_fields(n: DataFrame, document: str, path: str, fields: tuple[str, ...]
     return checks.violations(wrong, order, code, F.concat_ws(":", F.lit(document), F.lit(path), "key"))
 
 
+def moves() -> Column:
+    """Whether a node's identity names a moving release."""
+    return F.col("key").isin(*MOVING_KEYS) & (F.col("kind") == "string") & F.lower("value").rlike(MOVING_WORDS)
+
+
 def moving(n: DataFrame, order: int, code: str) -> DataFrame:
     """Identities that name a moving release instead of a fixed one, at any depth."""
-    named_so = F.col("key").isin(*MOVING_KEYS) & (F.col("kind") == "string") & F.lower("value").rlike(MOVING_WORDS)
-    return checks.violations(n.where(named_so), order, code, named(), F.col("value"))
+    return checks.violations(n.where(moves()), order, code, named(), F.col("value"))
 
 
 def digests(n: DataFrame, links: list[tuple[str, str, str, str]], order: int, code: str) -> DataFrame:
