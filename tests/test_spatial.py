@@ -96,3 +96,41 @@ def test_holes_rings_and_edges(spark):
     assert r.a == -16.0 and (r.b.x0, r.b.y1) == (0.0, 4.0) and r.n == 8
     t = tracts(spark, (0, 0, 1, 1), (1, 0, 2, 1))
     assert spatial.market_boundary(t).count() == 6
+
+
+def test_overlaps_make_no_row_for_each_pair(spark, monkeypatch):
+    """Blocks of 20 contexts and pieces of an odd edge, by all pairs: two crowds, a hole, a slanted tract, contexts at one place and one alone."""
+    rng = np.random.default_rng(3)
+    hole = [{"outer": box(-R, -R, 2 * R, 2 * R), "holes": [box(0, 0, 900, 700)]}]
+    slanted = [{"outer": ring_of(np.array([(2.0 * R, -R), (5 * R, 0), (4 * R, 2 * R), (2 * R, R)])), "holes": []}]
+    t = spark.createDataFrame([("m", "00000000000", hole), ("m", "00000000001", slanted)], TRACTS)
+    at = [*rng.normal((0.3 * R, 0.2 * R), 0.6 * R, (70, 2)), *rng.normal((3 * R, 0.5 * R), 0.5 * R, (30, 2)), *[(100.0, 50.0)] * 3, (90 * R, 0)]
+    c = contexts(spark, *at)
+    index = spatial.clip_index(c, t)
+    pairs = [tuple(r) for r in spatial.jaccard_pairs(index, t).collect()]
+    near = {f"c{i}": [j for a, b, j in pairs if f"c{i}" in (a, b)] for i in range(len(at))}
+
+    def never(*_):
+        raise AssertionError("rows by pairs")
+
+    monkeypatch.setattr(spatial, "pair_bounds", never)
+    told, links = spatial.overlap(c, index, t, block=20, edge=1300.0)
+    for r in told.collect():
+        j = near[r.context_instance_id]
+        assert r.geometric_jaccard == pytest.approx(max(j, default=0.0), abs=1e-9) and r.threshold_neighbor_count == sum(x >= spatial.JACCARD_STRESS for x in j)
+    parts = {tuple(sorted(g)) for g in groups_of([f"c{i}" for i in range(len(at))], [(a, b) for a, b, j in pairs if j >= spatial.JACCARD_STRESS])}
+    assert {tuple(sorted(g)) for g in groups_of([f"c{i}" for i in range(len(at))], [(r.a, r.b) for r in links.collect()])} == parts
+    assert links.count() < len(pairs)
+
+
+def groups_of(names, links):
+    root = {n: n for n in names}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    return [[n for n in names if find(n) == r] for r in names if root[r] == r]
