@@ -103,6 +103,22 @@ def test_a_chain_of_places_takes_few_waves(spark):
     assert told.join(records.select("__at", "vintage_year"), "__at").groupBy("vintage_year", "why").count().count() == 3 and told.where("place is not null").select("place").distinct().count() == 1500
 
 
+def test_later_waves_decide_only_what_may_change(spark, monkeypatch):
+    """Lone places seen twice, which the first wave settles, and a chain in which a record waits for the one before it."""
+    rows = [row(DEV, k + 2, 2024, f"A{k}", 10 + k * 0.05, f"{k} Ave") for k in range(40)] + [row("NEW", k + 2, 2026, f"B{k}", 10 + k * 0.05, f"{k} Street") for k in range(40)]
+    rows += [row(DEV, 900, 2024, "X0", 40.0, "x"), row("NEW", 901, 2025, "X0", 40.003, "y"), row("NEW", 902, 2026, "X2", 40.006, "y")]
+    prepared = I.prepare_locations(spark.createDataFrame(rows, ROWS)).cache()
+    records, dues, wave = I.in_order(prepared), [], I.wave
+
+    def counted(records, near, close, assigned, due=None):
+        dues.append(None if due is None else due.count())
+        return wave(records, near, close, assigned, due)
+
+    monkeypatch.setattr(I, "wave", counted)
+    told = {r.source_row: r.place for r in I.assignment(records).join(records.select("__at", "source_row", "source_seed_point_id"), "__at").where("source_seed_point_id like 'X%'").collect()}
+    assert told[900] == told[901] == told[902] and dues[0] is None and len(dues) > 1 and all(n <= 3 for n in dues[1:])
+
+
 def test_counts_before(spark, monkeypatch):
     monkeypatch.setattr(I, "RANGE", 7)
     rng = random.Random(1)
